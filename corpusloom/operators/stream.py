@@ -16,7 +16,8 @@ EPOCH_LENGTH = 100_000  # fixed value: window draws per epoch
 
 def _placed(docs: DataFrame, ids: str) -> DataFrame:
     """Rows with the place of their first token in the stream of their split."""
-    keyed = docs.select("split", "bucket", "order_key", F.col(ids).alias("ids"), F.size(ids).cast("bigint").alias("n"))
+    n = F.col("n_tokens") if "n_tokens" in docs.columns else F.size(ids)
+    keyed = docs.select("split", "bucket", "order_key", F.col(ids).alias("ids"), n.cast("bigint").alias("n"))
     totals = keyed.groupBy("split", "bucket").agg(F.sum("n").alias("_n"))
     starts = bucket_prefix(totals, "_n", ("split",)).drop("_n")
     inside = Window.partitionBy("split", "bucket").orderBy("order_key").rowsBetween(UNBOUNDED, -1)
@@ -48,7 +49,8 @@ def lay_out_stream(docs: DataFrame, ids: str = "token_ids", chunk: int = CHUNK_T
     """Concatenate documents per split in seeded order, cut into chunks of fixed size.
 
     ``docs`` carries ``split, bucket, order_key`` from a split operator and should be a
-    stored table, as it is read twice (lengths first). Documents move once, to their
+    stored table, as it is read twice; with a stored ``n_tokens`` the first pass reads
+    only that. Documents move once, to their
     bucket; a bucket is a contiguous stretch of the stream, so whole chunks are built
     there, and only the chunks cut by a bucket's edge meet in a second, small shuffle.
     """
@@ -56,18 +58,22 @@ def lay_out_stream(docs: DataFrame, ids: str = "token_ids", chunk: int = CHUNK_T
     cut = placed.select("split", "bucket", F.inline(_slices(F.col("ids"), F.col("start"), F.col("n"), chunk)))
     together = lambda df, *keys: (
         df.groupBy(*keys)
-        .agg(F.min("at").alias("at"), F.collect_list(F.struct("at", "part")).alias("_parts"))
+        .agg(
+            F.min("at").alias("at"),
+            F.sum(F.size("part")).alias("n"),
+            F.collect_list(F.struct("at", "part")).alias("_parts"),
+        )
         .withColumn("part", in_order(F.col("_parts"), "part"))
         .drop("_parts")
     )
     local = together(cut, "split", "bucket", "chunk_id").drop("bucket")
-    whole = local.filter(F.size("part") == chunk)
-    edges = together(local.filter(F.size("part") < chunk), "split", "chunk_id")
+    whole = local.filter(F.col("n") == chunk)
+    edges = together(local.filter(F.col("n") < chunk), "split", "chunk_id")
     return whole.unionByName(edges).select(
         "split",
         F.col("chunk_id").cast("bigint").alias("chunk_id"),
         F.col("at").cast("bigint").alias("start_pos"),
-        F.size("part").cast("bigint").alias("n_tokens"),
+        F.col("n").alias("n_tokens"),
         ints(F.col("part")).alias("tokens"),
     )
 

@@ -330,25 +330,25 @@ def preparation_counts(spark, folder):
     vocab = tb.chat_vocabulary(spark, folder)
     rows = tb.pairs(spark, folder)
     sides = pr.to_chat(rows, "dolly", ["conv_id", "turn"])
-    long = sides.select(F.col("conv_id"), F.col("turn").alias("at"), "user", "assistant")
-    turns = pr.messages(long, ["conv_id", "at"])
-    coded = tk.tokenize_by_lookup(turns, vocab, ["conv_id", "at", "turn", "role"])
-    lengths = coded.groupBy("conv_id", "at").agg((F.sum(F.size("token_ids") + 2) + 1).alias("n"))
-    all_rows = rows.select("conv_id", F.col("turn").alias("at")).join(lengths, ["conv_id", "at"], "left")
+    long = sides.select(F.col("conv_id"), F.col("turn").alias("user_turn"), "user", "assistant")
+    turns = pr.messages(long, ["conv_id", "user_turn"])
+    coded = tk.tokenize_by_lookup(turns, vocab, ["conv_id", "user_turn", "turn", "role"])
+    lengths = coded.groupBy("conv_id", "user_turn").agg((F.sum(F.size("token_ids") + 2) + 1).alias("n"))
+    all_rows = rows.select("conv_id", F.col("turn").alias("user_turn")).join(lengths, ["conv_id", "user_turn"], "left")
     kept = F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH * 4
     return mt.write_counters(all_rows, kept, [], F.col("n"))
 
 
 def _examples(spark, folder, vocab):
-    rows = tb.pairs(spark, folder).withColumnRenamed("turn", "at")
-    encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "at", "turn", "role"])
-    return finetune.encoded_examples(rows, "dolly", vocab, encode, ["conv_id", "at"], SEQ_LENGTH * 4)
+    rows = tb.pairs(spark, folder).withColumnRenamed("turn", "user_turn")
+    encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "user_turn", "turn", "role"])
+    return finetune.encoded_examples(rows, "dolly", vocab, encode, ["conv_id", "user_turn"], SEQ_LENGTH * 4)
 
 
 @query
 def instruction_examples(spark, folder):
     coded = _examples(spark, folder, tb.chat_vocabulary(spark, folder))
-    return coded.select("conv_id", "at", written("token_ids").alias("ids"), written("loss_mask").alias("mask"))
+    return coded.select("conv_id", "user_turn", written("token_ids").alias("ids"), written("loss_mask").alias("mask"))
 
 
 @query
@@ -368,8 +368,8 @@ def example_split(spark, folder):
 @query
 def example_tensors(spark, folder):
     coded = _examples(spark, folder, tb.chat_vocabulary(spark, folder))
-    return finetune.split_tensors(coded, ["conv_id", "at"], SEQ_LENGTH).select(
-        "conv_id", "at", "split", written("x").alias("x"), written("y").alias("y")
+    return finetune.split_tensors(coded, ["conv_id", "user_turn"], SEQ_LENGTH).select(
+        "conv_id", "user_turn", "split", written("x").alias("x"), written("y").alias("y")
     )
 
 
@@ -477,8 +477,8 @@ def step_schedule(spark, folder):
 def batched_tensors(spark, folder):
     coded = _examples(spark, folder, tb.chat_vocabulary(spark, folder))
     tensors = stage(ex.to_tensors(coded, SEQ_LENGTH), "tensors")
-    dealt = finetune.batched(tensors, ["conv_id", "at"], BATCH, WORLD_SIZE)
-    return dealt.select("conv_id", "at", "rank", "batch_id", "slot", written("x").alias("x"), written("y").alias("y"))
+    dealt = finetune.batched(tensors, ["conv_id", "user_turn"], BATCH, WORLD_SIZE)
+    return dealt.select("conv_id", "user_turn", "rank", "batch_id", "slot", written("x").alias("x"), written("y").alias("y"))
 
 
 # --- metrics ---------------------------------------------------------------------------
@@ -553,7 +553,7 @@ def run_progress(spark, folder):
     steps = tb.steps(spark, folder).select("run", "step", "dt")
     rows = mt.progress(steps, ["run"], per_step, 1_000_000)
     return rows.select(
-        "run", "step", "tokens", rounded("elapsed"), rounded("tokens_per_sec", 4), rounded("percent", 8), rounded("eta", 4)
+        "run", "step", "tokens", rounded("elapsed"), rounded("tokens_per_sec", 4), rounded("percent", 8), rounded("eta")
     )
 
 
@@ -746,6 +746,8 @@ def _logits(spark, folder):
 
 
 SEQ = ["conv_id"]
+# A share that no ratio of token counts hits: exact ties would hang on the last bit of a sum.
+NUCLEUS = 0.8912345
 
 
 @query
@@ -761,7 +763,7 @@ def token_probabilities(spark, folder):
 
 @query
 def nucleus_tokens(spark, folder):
-    return dc.nucleus(_logits(spark, folder), SEQ, 0.9).select("conv_id", "token_id")
+    return dc.nucleus(_logits(spark, folder), SEQ, NUCLEUS).select("conv_id", "token_id")
 
 
 @query
@@ -820,8 +822,8 @@ def token_scores(spark, folder):
     vocab = tb.chat_vocabulary(spark, folder)
     model = lm.resize_vocab(_base_model(spark, folder), vocab.size)
     tensors = stage(_sft_tensors(spark, folder, vocab), "tensors")
-    scored = lm.score(model, tensors, ["conv_id", "at"])
-    return scored.filter(F.col("w3").isNotNull()).select("conv_id", "at", "pos", rounded("log_prob"))
+    scored = lm.score(model, tensors, ["conv_id", "user_turn"])
+    return scored.filter(F.col("w3").isNotNull()).select("conv_id", "user_turn", "pos", rounded("log_prob"))
 
 
 @query
@@ -839,12 +841,12 @@ def finetuned_loss(spark, folder):
     """Loss of the fine-tuned model on each held-out instruction example."""
     vocab = tb.chat_vocabulary(spark, folder)
     coded = _examples(spark, folder, vocab)
-    tensors = stage(finetune.split_tensors(coded, ["conv_id", "at"], SEQ_LENGTH, 0.2), "tensors")
+    tensors = stage(finetune.split_tensors(coded, ["conv_id", "user_turn"], SEQ_LENGTH, 0.2), "tensors")
     base = lm.resize_vocab(_base_model(spark, folder), vocab.size)
     tuned = lm.finetune_lm(base, tensors.filter("split = 'train'"))
-    scores = lm.batch_scores(tuned, tensors.filter("split = 'val'"), ["conv_id", "at"])
+    scores = lm.batch_scores(tuned, tensors.filter("split = 'val'"), ["conv_id", "user_turn"])
     known = F.when(~F.isnan("loss"), F.col("loss"))
-    return scores.select("conv_id", "at", F.round(known, 6).alias("loss"), "n_targets")
+    return scores.select("conv_id", "user_turn", F.round(known, 6).alias("loss"), "n_targets")
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from corpusloom.functions.text import CHAT_TOKENS, UNICODE_SPACE, WORD_SPLIT
-from corpusloom.plans.catalog import RUN_CONFIGS
+from corpusloom.plans.catalog import NUCLEUS, RUN_CONFIGS
 from corpusloom.plans.tables import BATCH, CHUNK, LM_TOP, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE
 
 EOS = VOCAB_SIZE - 1
@@ -45,39 +45,38 @@ def ordering(seed: str, key: str) -> str:
 
 PART: dict[str, str] = {}  # named parts of a query, in order of dependence
 
-PART["doc_parts"] = f"SELECT doc_id, lang, source, text, {split_text('text')} AS ps FROM documents"
-PART["doc_pieces"] = "SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS at FROM doc_parts"
+PART["doc_parts"] = f"SELECT doc_id, {split_text('text')} AS ps FROM documents"
+PART["doc_pieces"] = "SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM doc_parts"
 PART["piece_counts"] = "SELECT piece, count(*) AS n FROM doc_pieces GROUP BY piece"
 PART["vocab"] = f"""
     SELECT piece, (255 + row_number() OVER (ORDER BY n DESC, piece))::INT AS id FROM piece_counts
     WHERE octet_length(encode(piece)) > 1 QUALIFY row_number() OVER (ORDER BY n DESC, piece) <= {VOCAB_SIZE - 257}"""
-PART["turn_parts"] = f"SELECT conv_id, turn, role, text, {split_text('text')} AS ps FROM conversations"
-PART["turn_pieces"] = "SELECT conv_id, turn, role, unnest(ps) AS piece, generate_subscripts(ps, 1) AS at FROM turn_parts"
+PART["turn_parts"] = f"SELECT conv_id, turn, role, {split_text('text')} AS ps FROM conversations"
+PART["turn_pieces"] = "SELECT conv_id, turn, role, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM turn_parts"
 PART["pair_rows"] = """
-    SELECT u.conv_id, u.turn AS at, u.text AS instruction, a.text AS response, s.text AS context
+    SELECT u.conv_id, u.turn AS user_turn, u.text AS instruction, a.text AS response, s.text AS context
     FROM conversations u
     LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
     LEFT JOIN conversations s ON s.conv_id = u.conv_id AND s.turn = 0 AND s.role = 'system'
     WHERE u.role = 'user'"""
 PART["dolly_sides"] = """
-    SELECT conv_id, at, response AS assistant,
+    SELECT conv_id, user_turn, response AS assistant,
            instruction || CASE WHEN coalesce(context, '') = '' THEN '' ELSE chr(10) || chr(10) || 'Context: ' || context END AS "user"
     FROM pair_rows WHERE coalesce(instruction, '') <> '' AND coalesce(response, '') <> ''"""
 PART["side_parts"] = f"""
-    SELECT conv_id, at, {split_text('"user"')} AS ups, {split_text('assistant')} AS aps FROM dolly_sides"""
+    SELECT conv_id, user_turn, {split_text('"user"')} AS ups, {split_text('assistant')} AS aps FROM dolly_sides"""
 PART["side_pieces"] = """
-    SELECT conv_id, at, 'user' AS role, unnest(ups) AS piece, generate_subscripts(ups, 1) AS i FROM side_parts
+    SELECT conv_id, user_turn, 'user' AS role, unnest(ups) AS piece, generate_subscripts(ups, 1) AS i FROM side_parts
     UNION ALL
-    SELECT conv_id, at, 'assistant', unnest(aps), generate_subscripts(aps, 1) FROM side_parts"""
+    SELECT conv_id, user_turn, 'assistant', unnest(aps), generate_subscripts(aps, 1) FROM side_parts"""
 PART["piece_ids"] = f"""
     SELECT p.piece, CASE WHEN v.id IS NOT NULL THEN [v.id] ELSE {byte_list('p.piece')} END AS ids
     FROM (@ALL_PIECES@) p LEFT JOIN vocab v ON v.piece = p.piece"""
-PART["coded"] = """
-    SELECT d.doc_id, any_value(d.lang) AS lang, any_value(d.source) AS source, any_value(d.text) AS text,
-           flatten(list(i.ids ORDER BY p.at)) AS ids
-    FROM doc_parts d JOIN doc_pieces p USING (doc_id) JOIN piece_ids i USING (piece) GROUP BY d.doc_id"""
+PART["doc_ids"] = """
+    SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM doc_pieces JOIN piece_ids USING (piece) GROUP BY doc_id"""
+PART["coded"] = "SELECT doc_id, lang, source, text, ids FROM documents JOIN doc_ids USING (doc_id)"
 PART["turn_coded"] = """
-    SELECT conv_id, turn, any_value(role) AS role, flatten(list(ids ORDER BY at)) AS ids
+    SELECT conv_id, turn, any_value(role) AS role, flatten(list(ids ORDER BY i)) AS ids
     FROM turn_pieces JOIN piece_ids USING (piece) GROUP BY conv_id, turn"""
 PART["framed"] = f"""
     SELECT conv_id, turn, role,
@@ -86,16 +85,16 @@ PART["framed"] = f"""
            [0] || list_transform(range(len(ids) + 1), lambda x: CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) AS mask
     FROM turn_coded"""
 PART["examples"] = f"""
-    SELECT conv_id, at,
+    SELECT conv_id, user_turn,
            [{CHAT['user']}] || u || [{CHAT['end_turn']}, {CHAT['assistant']}] || a || [{CHAT['end_turn']}, {EOS}] AS ids,
            list_transform(range(len(u) + 3), lambda x: 0) || list_transform(range(len(a) + 1), lambda x: 1) || [0] AS mask
-    FROM (SELECT conv_id, at,
+    FROM (SELECT conv_id, user_turn,
                  flatten(list(ids ORDER BY i) FILTER (WHERE role = 'user')) AS u,
                  flatten(list(ids ORDER BY i) FILTER (WHERE role = 'assistant')) AS a
-          FROM side_pieces JOIN piece_ids USING (piece) GROUP BY conv_id, at)
+          FROM side_pieces JOIN piece_ids USING (piece) GROUP BY conv_id, user_turn)
     WHERE len(u) + len(a) + 5 <= {2 * EXAMPLE_LENGTH}"""
 PART["tensors"] = f"""
-    SELECT conv_id, at, len(ids) AS n, t[1:{SEQ_LENGTH}] AS x,
+    SELECT conv_id, user_turn, len(ids) AS n, t[1:{SEQ_LENGTH}] AS x,
            list_transform(range(2, {SEQ_LENGTH + 2}), lambda i: CASE WHEN m[i] = 0 THEN -1 ELSE t[i] END) AS y
     FROM (SELECT *, list_resize(ids, {SEQ_LENGTH + 1}, 0) AS t, list_resize(mask, {SEQ_LENGTH + 1}, 0) AS m FROM examples)"""
 PART["doc_order"] = f"""
@@ -118,16 +117,19 @@ PART["triples"] = """
     FROM stream WINDOW w AS (PARTITION BY split ORDER BY pos)"""
 PART["trained"] = "SELECT w1, w2, w3, count(*)::DOUBLE AS n FROM triples WHERE split = 'train' GROUP BY ALL"
 PART["targets"] = """
-    SELECT conv_id, at, i - 1 AS pos, CASE WHEN i = 1 THEN -1 ELSE x[i - 1] END AS w1, x[i] AS w2, y[i] AS w3
+    SELECT conv_id, user_turn, i - 1 AS pos, CASE WHEN i = 1 THEN -1 ELSE x[i - 1] END AS w1, x[i] AS w2, y[i] AS w3
     FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM tensors)"""
 PART["c1"] = "SELECT w3, sum(n) AS c1 FROM trained GROUP BY w3"
 PART["n1"] = "SELECT w2, sum(n) AS n1 FROM trained GROUP BY w2"
 PART["c2"] = "SELECT w2, w3, sum(n) AS c2 FROM trained GROUP BY ALL"
 PART["n2"] = "SELECT w1, w2, sum(n) AS n2 FROM trained GROUP BY ALL"
 PART["windows"] = f"""
-    SELECT i AS window_id, o AS "offset", t[o + 1:o + {SEQ_LENGTH}] AS x, t[o + 2:o + {SEQ_LENGTH + 1}] AS y
-    FROM (SELECT i, {hash60("'0:0:' || i")} % (len(t) - {SEQ_LENGTH + 1}) AS o, t
-          FROM (SELECT list(id ORDER BY pos) AS t FROM stream WHERE split = '@SPLIT@'), range((SELECT count(*) FROM documents)) r(i))"""
+    SELECT window_id, "offset", t[1:{SEQ_LENGTH}] AS x, t[2:{SEQ_LENGTH + 1}] AS y
+    FROM (SELECT window_id, "offset", list(id ORDER BY pos) AS t
+          FROM (SELECT *, unnest(range("offset", "offset" + {SEQ_LENGTH + 1})) AS pos FROM
+                (SELECT i AS window_id, {hash60("'0:0:' || i")} % ((SELECT count(*) FROM stream WHERE split = '@SPLIT@') - {SEQ_LENGTH + 1}) AS "offset"
+                 FROM range((SELECT count(*) FROM documents)) r(i)))
+          JOIN (SELECT pos, id FROM stream WHERE split = '@SPLIT@') USING (pos) GROUP BY ALL)"""
 PART["conv_logits"] = """
     SELECT conv_id, id AS token_id, ln(count(*)::DOUBLE) AS logit
     FROM (SELECT conv_id, unnest(ids) AS id FROM turn_coded) GROUP BY ALL"""
@@ -150,7 +152,7 @@ PART["epochs"] = "SELECT @EPOCHS@ AS epochs"
 PART["sharded"] = f"""
     SELECT conv_id, turn, epoch, (i % {WORLD_SIZE})::INT AS rank, i // {WORLD_SIZE} AS place, ceil(n / {WORLD_SIZE}) AS per_rank
     FROM (SELECT *, unnest(range(position, (ceil(n / {WORLD_SIZE}) * {WORLD_SIZE})::BIGINT, n)) AS i
-          FROM (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY {ordering("'42:' || epoch", "k || ':' || epoch")}) - 1 AS position
+          FROM (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY {ordering("'42:' || epoch", 'k')}) - 1 AS position
                 FROM (SELECT *, unnest(range((SELECT epochs FROM epochs)))::INT AS epoch FROM turn_keys)))"""
 PART["dealt"] = f"""
     SELECT conv_id, turn, epoch, rank, place // {BATCH} AS batch_id, (place % {BATCH})::INT AS slot
@@ -208,7 +210,7 @@ def build(body: str, **replace: str) -> str:
         wanted.add(name)
         todo |= needs(parts[name]) - wanted
     tables = [p for p in ("doc_pieces", "turn_pieces", "side_pieces") if p in wanted]
-    every = " UNION ".join(f"SELECT piece FROM {t}" for t in tables)
+    every = " UNION ".join(f"SELECT DISTINCT piece FROM {t}" for t in tables)
     chosen = [f"{n} AS MATERIALIZED ({parts[n].replace('@ALL_PIECES@', every)})" for n in parts if n in wanted]
     return f"WITH {', '.join(chosen)} {body}" if chosen else body
 
@@ -271,18 +273,18 @@ SQL["selected_documents"] = build(
     "SELECT doc_id, lang, position FROM documents JOIN doc_split USING (doc_id) WHERE split = 'train'"
 )
 SQL["picked_documents"] = build("SELECT doc_id, position, position * 2 + i AS slot FROM doc_split, range(2) r(i)")
-SQL["dolly_chat"] = build('SELECT conv_id, at AS turn, "user", assistant FROM dolly_sides')
+SQL["dolly_chat"] = build('SELECT conv_id, user_turn AS turn, "user", assistant FROM dolly_sides')
 SQL["alpaca_chat"] = build(
-    """SELECT conv_id, at AS turn, replace("user", 'Context: ' || context, 'Input: ' || context) AS "user", assistant
-       FROM (SELECT d.*, p.context FROM dolly_sides d JOIN pair_rows p USING (conv_id, at)) WHERE context IS NOT NULL
-       UNION ALL SELECT conv_id, at, "user", assistant FROM dolly_sides JOIN pair_rows p USING (conv_id, at) WHERE context IS NULL"""
+    """SELECT conv_id, user_turn AS turn, replace("user", 'Context: ' || context, 'Input: ' || context) AS "user", assistant
+       FROM (SELECT d.*, p.context FROM dolly_sides d JOIN pair_rows p USING (conv_id, user_turn)) WHERE context IS NOT NULL
+       UNION ALL SELECT conv_id, user_turn, "user", assistant FROM dolly_sides JOIN pair_rows p USING (conv_id, user_turn) WHERE context IS NULL"""
 )
 SQL["generic_chat"] = build(
-    """SELECT conv_id, at AS turn, instruction AS "user", response AS assistant FROM pair_rows
+    """SELECT conv_id, user_turn AS turn, instruction AS "user", response AS assistant FROM pair_rows
        WHERE context IS NULL AND coalesce(instruction, '') <> '' AND coalesce(response, '') <> ''"""
 )
 SQL["mixed_chat"] = build(
-    """SELECT conv_id, at AS turn, response AS assistant, CASE WHEN context IS NULL OR conv_id % 3 = 2 THEN instruction
+    """SELECT conv_id, user_turn AS turn, response AS assistant, CASE WHEN context IS NULL OR conv_id % 3 = 2 THEN instruction
          ELSE instruction || chr(10) || chr(10) || (CASE conv_id % 3 WHEN 0 THEN 'Context: ' ELSE 'Input: ' END) || context END AS "user"
        FROM pair_rows WHERE coalesce(instruction, '') <> '' AND coalesce(response, '') <> ''"""
 )
@@ -293,15 +295,15 @@ SQL["preparation_counts"] = build(
     """SELECT (SELECT count(*) FROM examples) AS written, (SELECT count(*) FROM pair_rows) - (SELECT count(*) FROM examples) AS skipped,
        (SELECT sum(len(ids)) FROM examples)::BIGINT AS tokens_written"""
 )
-SQL["instruction_examples"] = build(f"SELECT conv_id, at, {joined('ids')} AS ids, {joined('mask')} AS mask FROM examples")
+SQL["instruction_examples"] = build(f"SELECT conv_id, user_turn, {joined('ids')} AS ids, {joined('mask')} AS mask FROM examples")
 SQL["example_files"] = build(f"SELECT {joined('ids')} AS ids, {joined('mask')} AS mask FROM examples")
-EXAMPLE_ORDER = ordering("'42'", "conv_id || ':' || at")
+EXAMPLE_ORDER = ordering("'42'", "conv_id || ':' || user_turn")
 SQL["example_split"] = build(
-    f"""SELECT conv_id, at AS turn, CASE WHEN row_number() OVER (ORDER BY {EXAMPLE_ORDER}) <= greatest(floor(count(*) OVER () * 0.02::DOUBLE), 1)
+    f"""SELECT conv_id, user_turn AS turn, CASE WHEN row_number() OVER (ORDER BY {EXAMPLE_ORDER}) <= greatest(floor(count(*) OVER () * 0.02::DOUBLE), 1)
         THEN 'val' ELSE 'train' END AS split FROM pair_rows"""
 )
 SQL["example_tensors"] = build(
-    f"""SELECT conv_id, at, CASE WHEN row_number() OVER (ORDER BY {EXAMPLE_ORDER}) <= greatest(floor(count(*) OVER () * 0.02::DOUBLE), 1)
+    f"""SELECT conv_id, user_turn, CASE WHEN row_number() OVER (ORDER BY {EXAMPLE_ORDER}) <= greatest(floor(count(*) OVER () * 0.02::DOUBLE), 1)
         THEN 'val' ELSE 'train' END AS split, {joined('x')} AS x, {joined('y')} AS y FROM tensors"""
 )
 SQL["example_validity"] = build(
@@ -339,12 +341,12 @@ SQL["step_schedule"] = build(
         JOIN dealt d ON d.epoch = m.i // {PER_EPOCH} AND d.batch_id = m.i % {PER_EPOCH}""",
     EPOCHS=f"ceil({MICRO} / {PER_EPOCH})::BIGINT",
 )
-EXAMPLE_EPOCH = ordering("'42:0'", "conv_id || ':' || at || ':0'")
+EXAMPLE_EPOCH = ordering("'42:0'", "conv_id || ':' || user_turn")
 SQL["batched_tensors"] = build(
-    f"""SELECT conv_id, at, (i % {WORLD_SIZE})::INT AS rank, i // {WORLD_SIZE} // {BATCH} AS batch_id, (i // {WORLD_SIZE} % {BATCH})::INT AS slot,
+    f"""SELECT conv_id, user_turn, (i % {WORLD_SIZE})::INT AS rank, i // {WORLD_SIZE} // {BATCH} AS batch_id, (i // {WORLD_SIZE} % {BATCH})::INT AS slot,
         {joined('x')} AS x, {joined('y')} AS y
         FROM (SELECT *, unnest(range(p, (ceil(n / {WORLD_SIZE}) * {WORLD_SIZE})::BIGINT, n)) AS i
-              FROM (SELECT conv_id, at, x, y, count(*) OVER () AS n, row_number() OVER (ORDER BY {EXAMPLE_EPOCH}) - 1 AS p FROM tensors))
+              FROM (SELECT conv_id, user_turn, x, y, count(*) OVER () AS n, row_number() OVER (ORDER BY {EXAMPLE_EPOCH}) - 1 AS p FROM tensors))
         WHERE i // {WORLD_SIZE} // {BATCH} < floor(ceil(n / {WORLD_SIZE}) / {BATCH})"""
 )
 SQL["masked_cross_entropy"] = build("SELECT conv_id, turn, y, round(nll, 6) AS nll FROM turn_nll")
@@ -367,7 +369,7 @@ PER_STEP = BATCH * SEQ_LENGTH * WORLD_SIZE
 SQL["run_progress"] = build(
     f"""SELECT run, step, tokens, round(elapsed, 6) AS elapsed, round({PER_STEP}::DOUBLE / dt, 4) AS tokens_per_sec,
         round(tokens / {PER_STEP * 1_000_000}::DOUBLE * 100, 8) AS percent,
-        CASE WHEN step > first_step THEN round(elapsed / greatest(step - first_step, 1) * (1000000 - step), 4) END AS eta
+        CASE WHEN step > first_step THEN round(elapsed / greatest(step - first_step, 1) * (1000000 - step), 6) END AS eta
         FROM (SELECT *, (count(*) OVER w * {PER_STEP})::BIGINT AS tokens, sum(dt) OVER w AS elapsed, min(step) OVER (PARTITION BY run) AS first_step
               FROM steps WINDOW w AS (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING))"""
 )
@@ -452,8 +454,8 @@ SQL["token_probabilities"] = build(
     "SELECT conv_id, token_id, round(exp(logit) / sum(exp(logit)) OVER (PARTITION BY conv_id), 9) AS prob FROM conv_logits"
 )
 SQL["nucleus_tokens"] = build(
-    """SELECT conv_id, token_id FROM (SELECT *, exp(logit) / sum(exp(logit)) OVER (PARTITION BY conv_id) AS prob FROM conv_logits)
-       QUALIFY coalesce(sum(prob) OVER (PARTITION BY conv_id ORDER BY logit DESC, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 0.9"""
+    f"""SELECT conv_id, token_id FROM (SELECT *, exp(logit) / sum(exp(logit)) OVER (PARTITION BY conv_id) AS prob FROM conv_logits)
+       QUALIFY coalesce(sum(prob) OVER (PARTITION BY conv_id ORDER BY logit DESC, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < {NUCLEUS}"""
 )
 SQL["next_token_distribution"] = build("SELECT conv_id, token_id, round(prob, 9) AS prob FROM inside_prob")
 SQL["drawn_tokens"] = build(draws("inside_prob", 7, "logit DESC"))
@@ -468,7 +470,7 @@ SQL["finetuned_counts"] = build(
 )
 SQL["resumed_counts"] = build("SELECT w1, w2, w3, count(*)::DOUBLE AS n, 1 AS step FROM triples GROUP BY ALL")
 SQL["token_scores"] = build(
-    f"""SELECT conv_id, at, pos::INT AS pos, round({log_prob(VOCAB_SIZE + 4)}, 6) AS log_prob
+    f"""SELECT conv_id, user_turn, pos::INT AS pos, round({log_prob(VOCAB_SIZE + 4)}, 6) AS log_prob
         FROM (SELECT * FROM targets WHERE w3 <> -1) {LM_JOINS} """
 )
 WINDOW_TARGETS = """(SELECT window_id // 8 AS batch_id, CASE WHEN i = 1 THEN -1 ELSE x[i - 1] END AS w1, x[i] AS w2, y[i] AS w3

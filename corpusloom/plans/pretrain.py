@@ -29,7 +29,9 @@ def tokenized_corpus(
     path: str | None = None,
 ) -> DataFrame:
     """Encode once, label train / val, and store; what follows reads the stored table."""
-    coded = encode(corpus.select("doc_id", "text")).select("doc_id", "token_ids")
+    coded = encode(corpus.select("doc_id", "text")).select(
+        "doc_id", "token_ids", F.size("token_ids").cast("bigint").alias("n_tokens")
+    )
     return stage(split_corpus(coded, ["doc_id"], fraction, seed), "tokens", path)
 
 
