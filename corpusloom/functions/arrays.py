@@ -40,4 +40,4 @@ def cut_before(a: Column, stop_id: int) -> Column:
 
 def in_order(items: Column, field: str) -> Column:
     """Collected ``struct(position, <field>)`` values back in order, flattened."""
-    return F.flatten(F.transform(F.array_sort(items), lambda s: s[field]))
+    return F.flatten(F.transform(F.sort_array(items), lambda s: s[field]))

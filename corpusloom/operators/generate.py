@@ -42,7 +42,7 @@ def _choices(model: NgramModel, state: DataFrame, choose: Chooser, k: int) -> Da
     offered = candidates(model, state.select(*CONTEXT).distinct(), k)
     kept = cumulative(choose(offered, CONTEXT), CONTEXT)
     return kept.groupBy(*CONTEXT).agg(
-        F.array_sort(F.collect_list(F.struct("cum", "token_id"))).alias("_kept")
+        F.sort_array(F.collect_list(F.struct("cum", "token_id"))).alias("_kept")
     )
 
 

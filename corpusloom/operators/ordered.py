@@ -94,7 +94,7 @@ def key_at(keyed: DataFrame, wanted) -> DataFrame:
     locates the bucket that holds the position; a second pass ranks that bucket alone.
     """
     counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    entries = counts.agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("all"))
+    entries = counts.agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("all"))
     total = F.aggregate("all", F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
     target = entries.select("all", wanted(total).alias("_at")).select(
         F.inline(F.array(_bucket_holding(F.col("all"), F.col("_at")))).alias("_before", "bucket", "_want")

@@ -88,7 +88,7 @@ def detokenize(
     spelled = vocab.small(vocab.table.select("token_id", token_text(F.col("token")).alias("_spelled")))
     exploded = _by_key(df.select(*keys, ids), keys).select(*keys, F.posexplode_outer(ids).alias("at", "token_id"))
     joined = exploded.join(spelled, "token_id", "left")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "_spelled"))), lambda s: s["_spelled"])
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("at", "_spelled"))), lambda s: s["_spelled"])
     return joined.groupBy(*keys).agg(F.array_join(ordered, "").alias("_all")).select(
         *keys, from_latin(F.col("_all")).alias(out)
     )

@@ -88,7 +88,7 @@ def count_pieces(df: DataFrame, text: str = "text", pattern: str = SUBWORD_SPLIT
 def frequent_pieces(counts: DataFrame, room: int) -> DataFrame:
     """The ``room`` most frequent pieces of two bytes or more, numbered after the bytes."""
     top = counts.filter(F.octet_length("piece") > 1).orderBy(F.desc("n"), "piece").limit(room)
-    ranked = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "piece"))).alias("all"))
+    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "piece"))).alias("all"))
     return ranked.select(F.posexplode("all").alias("at", "entry")).select(
         (F.col("at") + N_BYTES).cast("int").alias("token_id"),
         F.encode("entry.piece", "UTF-8").alias("token"),

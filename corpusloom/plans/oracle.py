@@ -367,11 +367,11 @@ SQL["loss_over_ranks"] = build(
 SQL["step_loss"] = build("SELECT run, batch_id, round(sum(loss / 8), 6) AS loss FROM steps GROUP BY ALL")
 PER_STEP = BATCH * SEQ_LENGTH * WORLD_SIZE
 SQL["run_progress"] = build(
-    f"""SELECT run, step, tokens, round(elapsed, 6) AS elapsed, round({PER_STEP}::DOUBLE / dt, 4) AS tokens_per_sec,
+    f"""SELECT run, step, tokens, elapsed, round({PER_STEP}::DOUBLE / dt, 4) AS tokens_per_sec,
         round(tokens / {PER_STEP * 1_000_000}::DOUBLE * 100, 8) AS percent,
         CASE WHEN step > first_step THEN round(elapsed / greatest(step - first_step, 1) * (1000000 - step), 6) END AS eta
-        FROM (SELECT *, (count(*) OVER w * {PER_STEP})::BIGINT AS tokens, sum(dt) OVER w AS elapsed, min(step) OVER (PARTITION BY run) AS first_step
-              FROM steps WINDOW w AS (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING))"""
+        FROM (SELECT *, (count(*) OVER w * {PER_STEP})::BIGINT AS tokens, (sum(dt) OVER w)::BIGINT AS elapsed, min(step) OVER (PARTITION BY run) AS first_step
+              FROM (SELECT run, step, round(dt * 100)::BIGINT AS dt FROM steps) WINDOW w AS (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING))"""
 )
 SQL["best_evaluations"] = build(
     """SELECT run, step, round(loss, 6) AS val_loss, loss < coalesce(prev, 'inf'::DOUBLE) AS is_best, round(least(loss, prev), 6) AS best_loss

@@ -117,7 +117,7 @@ def read_samples(lines: DataFrame) -> DataFrame:
     bodies = (
         samples.filter((F.col("sample") > 0) & ~F.col("value").rlike(SAMPLES_LINE))
         .groupBy("file", "block", "sample")
-        .agg(F.transform(F.array_sort(F.collect_list(text)), lambda s: s["value"]).alias("_lines"))
+        .agg(F.transform(F.sort_array(F.collect_list(text)), lambda s: s["value"]).alias("_lines"))
     )
     prompt = F.substring(F.get("_lines", F.lit(0)), F.lit(len(PROMPT_MARK) + 1), F.length(F.get("_lines", F.lit(0))))
     body = F.array_join(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0))), "\n")
