@@ -69,9 +69,13 @@ class NgramModel:
     def p3(self) -> Column:
         return self.mix(F.col("c3"), F.col("n2"), self.p2())
 
+    def counted(self, path: str | None = None) -> "NgramModel":
+        """The same model with its counts written: what follows reads them, not the text."""
+        return replace(self, counts=stage(self.counts, "ngram-trigrams", path))
+
     def stored(self, name: str = "ngram") -> "NgramModel":
-        """The same model with its tables written, for repeated use."""
-        kept = replace(self, counts=stage(self.counts, f"{name}-trigrams"))
+        """The same model with all its tables written, for use token by token."""
+        kept = self.counted()
         for table in ("pairs", "pair_contexts"):
             kept.__dict__[table] = stage(getattr(kept, table), f"{name}-{table}")
         for table in ("contexts", "tokens"):
@@ -170,11 +174,14 @@ def score_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
 def score(model: NgramModel, examples: DataFrame, keep: list[str]) -> DataFrame:
     """Log-probability of every target; null where the target is ignored.
 
-    Each distinct triple is scored once and joined back to its positions.
+    Each distinct triple is scored once and joined back to its positions. Ignored
+    positions stay out of the join, where their null keys would meet in one task.
     """
     positions = example_positions(examples, keep)
-    distinct = positions.filter(F.col("w3").isNotNull()).select(*TRIGRAM).distinct()
-    return positions.join(score_triples(model, distinct), TRIGRAM, "left")
+    wanted = positions.filter(F.col("w3").isNotNull())
+    scored = wanted.join(score_triples(model, wanted.select(*TRIGRAM).distinct()), TRIGRAM, "left")
+    ignored = positions.filter(F.col("w3").isNull()).withColumn("log_prob", F.lit(None).cast("double"))
+    return scored.unionByName(ignored)
 
 
 def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> DataFrame:
@@ -184,15 +191,17 @@ def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> Da
     once per batch and not once per position.
     """
     positions = example_positions(examples, batch)
-    counted = positions.groupBy(*batch, *TRIGRAM).agg(F.count(F.lit(1)).alias("_n"))
-    distinct = positions.filter(F.col("w3").isNotNull()).select(*TRIGRAM).distinct()
-    scored = counted.join(score_triples(model, distinct), TRIGRAM, "left")
-    n_targets = F.sum(F.when(F.col("w3").isNotNull(), F.col("_n")).otherwise(0))
-    return scored.groupBy(*batch).agg(
-        F.when(n_targets > 0, -F.sum(F.col("_n") * F.col("log_prob")) / n_targets)
-        .otherwise(F.lit(NOT_A_NUMBER))
-        .alias("loss"),
-        n_targets.alias("n_targets"),
+    wanted = positions.filter(F.col("w3").isNotNull())
+    counted = wanted.groupBy(*batch, *TRIGRAM).agg(F.count(F.lit(1)).alias("_n"))
+    scores = score_triples(model, wanted.select(*TRIGRAM).distinct())
+    sums = counted.join(scores, TRIGRAM).groupBy(*batch).agg(
+        F.sum(F.col("_n") * F.col("log_prob")).alias("_sum"), F.sum("_n").alias("n_targets")
+    )
+    every = examples.select(*batch).distinct().join(sums, batch, "left")
+    return every.select(
+        *batch,
+        F.coalesce(-F.col("_sum") / F.col("n_targets"), F.lit(NOT_A_NUMBER)).alias("loss"),
+        F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
     )
 
 

@@ -94,14 +94,19 @@ def detokenize(
     )
 
 
-def compression_report(df: DataFrame, group: list[str], text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """Characters, bytes and subword tokens per group, and tokens per character."""
+def compression_report(
+    df: DataFrame, group: list[str], chars: str = "n_chars", size: str = "n_bytes", ids: str = "token_ids"
+) -> DataFrame:
+    """Characters, bytes and subword tokens per group, and tokens per character.
+
+    Lengths come as columns, so that the texts need not travel with the tokens.
+    """
     return df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_texts"),
-        F.sum(F.char_length(text)).alias("n_chars"),
-        F.sum(F.octet_length(text)).alias("n_bytes"),
+        F.sum(chars).alias("n_chars"),
+        F.sum(size).alias("n_bytes"),
         F.sum(F.size(ids)).alias("n_tokens"),
-        (F.sum(F.size(ids)) / F.sum(F.char_length(text))).alias("tokens_per_char"),
-        F.avg(F.char_length(text)).alias("avg_chars"),
+        (F.sum(F.size(ids)) / F.sum(chars)).alias("tokens_per_char"),
+        F.avg(chars).alias("avg_chars"),
         F.avg(F.size(ids)).alias("avg_tokens"),
     )

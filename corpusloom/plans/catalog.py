@@ -153,8 +153,10 @@ def decoded_documents(spark, folder):
 @query
 def compression_by_language(spark, folder):
     vocab = tb.vocabulary(spark, folder)
-    docs = tb.documents(spark, folder)
-    coded = tk.tokenize_by_lookup(docs, vocab, ["doc_id", "lang", "text"])
+    docs = tb.table(spark, folder, "documents").select(
+        "doc_id", "lang", "text", F.char_length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes")
+    )
+    coded = tk.tokenize_by_lookup(docs, vocab, ["doc_id", "lang", "n_chars", "n_bytes"])
     report = tk.compression_report(coded, ["lang"])
     return report.select(
         "lang",
@@ -788,7 +790,7 @@ def sampled_tokens(spark, folder):
 
 def _base_model(spark, folder, chunks=None):
     chunks = tb.stream(spark, folder) if chunks is None else chunks
-    return lm.fit_lm(chunks.filter("split = 'train'"), VOCAB_SIZE)
+    return lm.fit_lm(chunks.filter("split = 'train'"), VOCAB_SIZE).counted()
 
 
 def _sft_tensors(spark, folder, vocab):
@@ -797,7 +799,8 @@ def _sft_tensors(spark, folder, vocab):
 
 @query
 def trigram_counts(spark, folder):
-    return _base_model(spark, folder).counts
+    chunks = tb.stream(spark, folder)
+    return lm.fit_lm(chunks.filter("split = 'train'"), VOCAB_SIZE).counts
 
 
 @query

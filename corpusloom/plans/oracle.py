@@ -6,7 +6,7 @@ import re
 
 from corpusloom.functions.text import CHAT_TOKENS, UNICODE_SPACE, WORD_SPLIT
 from corpusloom.plans.catalog import NUCLEUS, RUN_CONFIGS
-from corpusloom.plans.tables import BATCH, CHUNK, LM_TOP, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE
+from corpusloom.plans.tables import BATCH, CHUNK, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE
 
 EOS = VOCAB_SIZE - 1
 CHAT = {name: VOCAB_SIZE + i for i, name in enumerate(CHAT_TOKENS)}
@@ -115,10 +115,15 @@ PART["chunks"] = f"""
 PART["triples"] = """
     SELECT split, coalesce(lag(id, 2) OVER w, -1) AS w1, coalesce(lag(id, 1) OVER w, -1) AS w2, id AS w3
     FROM stream WINDOW w AS (PARTITION BY split ORDER BY pos)"""
-PART["trained"] = "SELECT w1, w2, w3, count(*)::DOUBLE AS n FROM triples WHERE split = 'train' GROUP BY ALL"
 PART["targets"] = """
     SELECT conv_id, user_turn, i - 1 AS pos, CASE WHEN i = 1 THEN -1 ELSE x[i - 1] END AS w1, x[i] AS w2, y[i] AS w3
     FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM tensors)"""
+PART["split_tensors"] = f"""
+    SELECT *, CASE WHEN row_number() OVER (ORDER BY {ordering("'42'", "conv_id || ':' || user_turn")})
+                        <= greatest(floor(count(*) OVER () * 0.2::DOUBLE), 1) THEN 'val' ELSE 'train' END AS split FROM tensors"""
+PART["base"] = "SELECT w1, w2, w3, count(*)::DOUBLE AS n FROM triples WHERE split = 'train' GROUP BY ALL"
+PART["trained"] = "SELECT * FROM base@TUNED@"
+PART["summed"] = "SELECT w1, w2, w3, sum(n) AS n FROM trained GROUP BY ALL"
 PART["c1"] = "SELECT w3, sum(n) AS c1 FROM trained GROUP BY w3"
 PART["n1"] = "SELECT w2, sum(n) AS n1 FROM trained GROUP BY w2"
 PART["c2"] = "SELECT w2, w3, sum(n) AS c2 FROM trained GROUP BY ALL"
@@ -202,7 +207,7 @@ def build(body: str, **replace: str) -> str:
         return {p for p in PART if re.search(rf"\b(FROM|JOIN)\s+{p}\b", text)}
 
     parts = dict(PART)
-    for name, value in replace.items():
+    for name, value in {"TUNED": "", **replace}.items():
         parts = {k: v.replace(f"@{name}@", value) for k, v in parts.items()}
     wanted, todo = set(), needs(body)
     while todo:
@@ -465,8 +470,24 @@ SAMPLED = """(SELECT conv_id, token_id, prob, logit FROM
 SQL["sampled_tokens"] = build(draws(SAMPLED, 11, "logit DESC"))
 SQL["trigram_counts"] = build("SELECT w1, w2, w3, n FROM trained")
 SQL["finetuned_counts"] = build(
-    """SELECT w1, w2, w3, sum(n) AS n FROM (SELECT * FROM trained
-       UNION ALL SELECT w1, w2, w3, 2.0::DOUBLE FROM targets WHERE w3 <> -1) GROUP BY ALL"""
+    "SELECT w1, w2, w3, sum(n) AS n FROM trained GROUP BY ALL",
+    TUNED=" UNION ALL SELECT w1, w2, w3, 2.0::DOUBLE FROM targets WHERE w3 <> -1",
+)
+SQL["finetuned_loss"] = build(
+    f"""SELECT conv_id, user_turn, round(avg(-lp), 6) AS loss, count(lp) AS n_targets
+        FROM (SELECT s.conv_id, s.user_turn, p.lp FROM split_tensors s LEFT JOIN
+              (SELECT conv_id, user_turn, {log_prob(VOCAB_SIZE + 4)} AS lp
+               FROM (SELECT * FROM targets WHERE w3 <> -1) {LM_JOINS.replace('trained t', 'summed t')}) p USING (conv_id, user_turn)
+              WHERE s.split = 'val') GROUP BY ALL""",
+    TUNED=" UNION ALL SELECT w1, w2, w3, 1.0::DOUBLE FROM targets JOIN split_tensors USING (conv_id, user_turn) WHERE w3 <> -1 AND split = 'train'",
+)
+SQL["next_candidates"] = build(
+    f"""SELECT w1, w2, token_id, round(exp(logit) / sum(exp(logit)) OVER (PARTITION BY w1, w2), 9) AS prob FROM (
+          SELECT w1, w2, w3 AS token_id, {log_prob(VOCAB_SIZE)} AS logit FROM (SELECT w1, w2, w3 FROM (
+            SELECT DISTINCT coalesce(ids[len(ids) - 1], -1) AS w1, coalesce(ids[len(ids)], -1) AS w2
+            FROM (SELECT conv_id, arg_max(ids, turn) AS ids FROM turn_coded GROUP BY conv_id)) x,
+            (SELECT v::INT AS w3 FROM range({VOCAB_SIZE}) r(v)) y) {LM_JOINS}
+          QUALIFY rank() OVER (PARTITION BY w1, w2 ORDER BY logit DESC) <= 10)"""
 )
 SQL["resumed_counts"] = build("SELECT w1, w2, w3, count(*)::DOUBLE AS n, 1 AS step FROM triples GROUP BY ALL")
 SQL["token_scores"] = build(
