@@ -33,7 +33,7 @@ CONTEXT = ["w1", "w2"]
 Chooser = Callable[[DataFrame, list[str]], DataFrame]
 
 
-def _last(ids, back: int):
+def last_token(ids, back: int):
     return F.coalesce(F.get(ids, F.size(ids) - back), F.lit(START))
 
 
@@ -66,8 +66,8 @@ def generate(
     prompts = stage(prompts.select(key, ids), "prompts")
     state = prompts.select(
         key,
-        _last(F.col(ids), 2).alias("w1"),
-        _last(F.col(ids), 1).alias("w2"),
+        last_token(F.col(ids), 2).alias("w1"),
+        last_token(F.col(ids), 1).alias("w2"),
         ints(F.array()).alias("new_ids"),
     )
     for step in range(n_tokens):

@@ -870,7 +870,7 @@ def next_candidates(spark, folder):
     model = _base_model(spark, folder).stored()
     turns = tb.coded_turns(spark, folder, vocab)
     ends = turns.groupBy("conv_id").agg(F.max_by("token_ids", "turn").alias("ids"))
-    contexts = ends.select(gn._last(F.col("ids"), 2).alias("w1"), gn._last(F.col("ids"), 1).alias("w2")).distinct()
+    contexts = ends.select(gn.last_token(F.col("ids"), 2).alias("w1"), gn.last_token(F.col("ids"), 1).alias("w2")).distinct()
     kept = dc.softmax(dc.top_k(lm.candidates(model, contexts, LM_TOP), ["w1", "w2"], 10), ["w1", "w2"])
     return kept.select("w1", "w2", "token_id", rounded("prob", 9))
 
