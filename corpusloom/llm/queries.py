@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import contamination, mixing
+from corpusloom.llm import contamination, extraction, imatch, jaccard, language, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,13 @@ def read(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
 
 
+@query
+def op1_extraction(spark, folder):
+    pages = read(spark, folder, "pages", "page_id", "url", "html")
+    found = extraction.with_main_text(pages, extraction.learn(pages), drop=("html",))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op3_contamination(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text")
@@ -38,6 +45,21 @@ def op3_contamination(spark, folder):
     )
 
 
+@query
+def op4_imatch(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    found = imatch.with_neighbours(docs, imatch.learn_lexicon(docs))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 @query
 def op5_mixing(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text", "source")
@@ -45,3 +67,27 @@ def op5_mixing(spark, folder):
     return mix.select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken")
     )
+
+
+@query
+def op6_jaccard(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return jaccard.classes(docs).select("doc_id", "class_id", "n_links", "copies")
+
+
+@query
+def op8_language(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text", "lang")
+    held_out = language.fold_of(F.col("doc_id"), 4) == 2
+    learned = language.learn(docs.filter(~held_out))
+    return language.with_language(docs.select("doc_id", "text", held_out.alias("held_out")), learned, drop=("text",))
+
+
+@query
+def op10_toxicity(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    labels = read(spark, folder, "labels", "doc_id", "toxic")
+    held_out = language.fold_of(F.col("doc_id"), 5) == 0
+    model = toxicity.learn(docs, labels.filter(~held_out))
+    scored = toxicity.with_toxicity(docs.withColumn("held_out", held_out), model, drop=("text",))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
