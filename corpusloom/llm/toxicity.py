@@ -1,7 +1,8 @@
 """Toxicity from a weighted lexicon matched by Aho-Corasick.
 
-Texts are folded first: lower case, look-alike letters of other scripts, accents of single
-letters and digits or signs that stand for letters inside a word become plain letters. The
+Texts are folded first: lower case, look-alike letters of other scripts, styled letters and
+digits or signs that stand for letters inside a word become plain letters; an accent is part
+of its letter. The
 lexicon is learned from labelled texts: words that are far more frequent among toxic texts,
 weighted by the logarithm of the odds. One automaton finds its words and the exception
 phrases (a lexicon word with the word before or after it, frequent in clean texts alone)
@@ -34,7 +35,7 @@ from corpusloom.llm.arrow import add_columns, column, free_name
 from corpusloom.session import stage
 
 #: Labelled texts that the lexicon and the curve are fitted on, chosen by a hash of the id.
-FIT_ROWS = 20_000
+FIT_ROWS = 40_000
 MAX_WORDS = 5_000  # of the lexicon: the heaviest
 MIN_TOXIC = 5  # toxic texts that must hold a word
 MIN_ODDS = 2.0  # least logarithm of the odds ratio
@@ -61,9 +62,8 @@ class _Folding(dict):
 
     def __missing__(self, code: int):
         char = chr(code)
-        plain = unicodedata.normalize("NFKD", char)
-        plain = "".join(c for c in plain if not unicodedata.combining(c)).lower() or char
-        plain = "".join(LOOK_ALIKES.get(c, c) for c in plain)
+        plain = unicodedata.normalize("NFKC", char).lower()  # full-width and styled letters
+        plain = LOOK_ALIKES.get(plain, plain)
         if code < 128:
             plain = SUBSTITUTES[char] if char.isdigit() and char in SUBSTITUTES else plain
         # One character each, so that places in folded and raw text agree; l and i are one.
