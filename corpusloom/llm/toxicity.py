@@ -3,12 +3,12 @@
 Texts are folded first: lower case, look-alike letters of other scripts, styled letters and
 digits or signs that stand for letters inside a word become plain letters; an accent is part
 of its letter. The
-lexicon is learned from labelled texts: words that are far more frequent among toxic texts,
-weighted by the logarithm of the odds. One automaton finds its words and the exception
-phrases (a lexicon word with the word before or after it, frequent in clean texts alone)
-in a single pass; a match counts if it is a whole word outside every exception. The
-counted weights, whole and per hundred words of the text, go into a logistic curve, fitted
-to the same labels.
+lexicon is learned from labelled texts: words, and beginnings of words, that are far more
+frequent among toxic texts, weighted by the logarithm of the odds. One automaton finds them
+and the exception phrases (a matched word, alone or with the word before or after it, that
+is frequent in clean texts alone) in a single pass; a match counts if it starts a word
+outside every exception, the whole word before its longest beginning. The counted weights,
+whole and per hundred words of the text, go into a logistic curve, fitted to the same labels.
 
 Defined results: null, empty and wordless texts have no match and get the score of such
 texts; where nothing could be learned every score is the share of toxic labels (0 without
@@ -40,7 +40,9 @@ MAX_WORDS = 5_000  # of the lexicon: the heaviest
 MIN_TOXIC = 5  # toxic texts that must hold a word
 MIN_ODDS = 2.0  # least logarithm of the odds ratio
 MIN_SIGNIFICANCE = 4.0  # in standard errors
-MIN_CLEAN = 8  # clean texts that an exception must occur in, and no toxic one
+STEMS = range(4, 11)  # letters of a beginning of a word
+STEM_ODDS = 3.0  # of a beginning
+MIN_CLEAN = 8  # clean texts that an exception must occur in, for each toxic one
 
 # Letters of other scripts that look like Latin ones, as published in tables
 # of confusable characters.
@@ -100,27 +102,38 @@ class Model:
     @property
     def automaton(self):
         if "_automaton" not in self.__dict__:
-            made = ahocorasick.Automaton()
+            entries: dict[str, list] = {}
             for word, weight in self.lexicon.items():
-                made.add_word(word, (len(word), weight))
+                stem = word.rstrip("*")
+                entries.setdefault(stem, [len(stem), None, None, False])[1 if stem == word else 2] = weight
             for phrase in self.exceptions:
-                made.add_word(phrase, (len(phrase), None))
-            if len(made):
-                made.make_automaton()
+                entries.setdefault(phrase, [len(phrase), None, None, False])[3] = True
+            made = ahocorasick.Automaton()
+            for stem, entry in entries.items():
+                made.add_word(stem, tuple(entry))
+            made.make_automaton()
             self.__dict__["_automaton"] = made
         return self.__dict__["_automaton"]
 
     def matches(self, plain: str) -> list[tuple[int, int, float]]:
-        """``(begin, end, weight)`` of the lexicon words that count, in folded text."""
+        """``(begin, end, weight)`` of the words that count, in folded text."""
         if not self.lexicon:
             return []
-        hits, excepted = [], []
-        for last, (size, weight) in self.automaton.iter(plain):
+        hits: dict[int, tuple[int, float]] = {}
+        excepted = []
+        for last, (size, whole, beginning, exception) in self.automaton.iter(plain):
             begin, end = last + 1 - size, last + 1
-            if (begin and plain[begin - 1].isalpha()) or (end < len(plain) and plain[end].isalpha()):
+            if begin and plain[begin - 1].isalpha():
                 continue
-            (excepted if weight is None else hits).append((begin, end, weight))
-        return [h for h in hits if not any(b <= h[0] and h[1] <= e for b, e, _ in excepted)]
+            at_end = end == len(plain) or not plain[end].isalpha()
+            if exception and at_end:
+                excepted.append((begin, end))
+            # Later hits at the same begin are longer, and a whole word is the longest.
+            if at_end and whole is not None:
+                hits[begin] = (end, whole)
+            elif beginning is not None:
+                hits[begin] = (end, beginning)
+        return [(b, e, w) for b, (e, w) in hits.items() if not any(lo <= b < hi for lo, hi in excepted)]
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         """Whether a word matched, the logarithm of the weight, the weight per hundred words."""
@@ -147,15 +160,20 @@ def _labelled(docs, labels, doc_id, text, label, fit_rows) -> DataFrame:
     return stage(texts.join(marks, "id").select("text", "toxic"), "labelled")
 
 
-def _counted(rows: DataFrame, phrases_of=None) -> DataFrame:
-    """Toxic and clean texts per distinct word (or phrase) of the folded texts."""
+def patterns(plain: str) -> list[str]:
+    """The words of a folded text, and their beginnings with a star."""
+    words = set(_WORD.findall(plain))
+    return [*words, *(w[:k] + "*" for w in words for k in STEMS if k < len(w))]
+
+
+def _counted(rows: DataFrame, patterns_of) -> DataFrame:
+    """Toxic and clean texts that hold each pattern."""
 
     def count(batches):
         for batch in batches:
             total: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, toxic in zip(column(batch, "text").to_pylist(), column(batch, "toxic").to_pylist(), strict=True):
-                plain = folded(text or "")
-                total[toxic].update(set(phrases_of(plain)) if phrases_of else set(_WORD.findall(plain)))
+                total[toxic].update(set(patterns_of(folded(text or ""))))
             words = list(total[0].keys() | total[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array([total[1][w] for w in words], pa.int64()), pa.array([total[0][w] for w in words], pa.int64())],
@@ -178,10 +196,10 @@ def learn(
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(a / (n_toxic - F.col("toxic") + 0.5)) - F.log(b / (n - n_toxic - F.col("clean") + 0.5))
     words = (
-        _counted(rows)
+        _counted(rows, patterns)
         .filter(F.col("toxic") >= MIN_TOXIC)
         .withColumn("weight", odds)
-        .filter((F.col("weight") >= MIN_ODDS) & (F.col("weight") / F.sqrt(1 / a + 1 / b) >= MIN_SIGNIFICANCE))
+        .filter((F.col("weight") >= F.when(F.col("word").endswith("*"), STEM_ODDS).otherwise(MIN_ODDS)) & (F.col("weight") / F.sqrt(1 / a + 1 / b) >= MIN_SIGNIFICANCE))
         .orderBy(F.desc("weight"), "word")
         .limit(MAX_WORDS)
     )
@@ -191,12 +209,14 @@ def learn(
     def phrases_of(plain: str) -> list[str]:
         found = []
         for begin, end, _ in plain_model.matches(plain):
+            end += len(re.match(r"[^\W\d_]*", plain[end:])[0])
+            found.append(plain[begin:end])
             before, after = re.search(r"[^\W\d_]+ $", plain[max(0, begin - 40) : begin]), re.match(r" [^\W\d_]+", plain[end : end + 40])
             found += [before[0] + plain[begin:end]] if before else []
             found += [plain[begin:end] + after[0]] if after else []
         return found
 
-    phrases = _counted(rows, phrases_of).filter((F.col("toxic") == 0) & (F.col("clean") >= MIN_CLEAN))
+    phrases = _counted(rows, phrases_of).filter(F.col("clean") >= MIN_CLEAN * (F.col("toxic") + 1))
     exceptions = frozenset(r["word"] for r in phrases.orderBy(F.desc("clean"), "word").limit(MAX_WORDS).collect())
     model = Model(lexicon, exceptions)
 
