@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import contamination, extraction, imatch, jaccard, language, mixing, toxicity
+from corpusloom.llm import contamination, extraction, imatch, jaccard, language, mixing, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,17 @@ def op10_toxicity(spark, folder):
     model = toxicity.learn(docs, labels.filter(~held_out))
     scored = toxicity.with_toxicity(docs.withColumn("held_out", held_out), model, drop=("text",))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op9_repeats(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    cut = repeats.with_removed(docs, drop=("text",))
+    gone = F.aggregate("removed.spans", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["begin"])
+    return cut.select(
+        "doc_id",
+        "removed.n_bytes",
+        gone.alias("n_removed"),
+        F.size("removed.spans").cast("bigint").alias("n_spans"),
+        F.sha2("removed.kept", 256).alias("kept_sha256"),
+    )
