@@ -73,3 +73,134 @@ SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN size > 0 AND rest > 0 AND abs(run - rest) < abs(run - size - rest) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM o
 """
+
+_TEMPLATES = (
+    ("Apache-2.0", "licensed under the apache license version 2 0"),
+    ("Apache-2.0 header", "you may not use this file except in compliance with the license"),
+    ("BSD", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("CC-BY-NC-4.0", "licensed under cc by nc 4 0"),
+    ("GPL-3.0", "this work is licensed under the gnu general public license version 3"),
+    ("GPL notice", "under the terms of the gnu general public license as published by the free software foundation"),
+    ("ISC", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("MIT", "released under the mit license"),
+    ("MIT notice", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("MPL-2.0", "subject to the terms of the mozilla public license v 2 0"),
+)
+
+# Containment at every place, without retrieval. Places are the even ones, as windows begin there.
+SQL["op2_licenses"] = (
+    "WITH t(name, text) AS (VALUES "
+    + ", ".join(f"('{n}', '{t}')" for n, t in _TEMPLATES)
+    + r"""), tw AS (
+  SELECT name, string_split(text, ' ') AS w FROM t
+), ts AS (
+  SELECT DISTINCT name, len(w) - 1 AS n, w[i] || ' ' || w[i + 1] AS g FROM (SELECT name, w, unnest(range(1, len(w))) AS i FROM tw)
+), tn AS (
+  SELECT name, n, count(*) AS kinds FROM ts GROUP BY ALL
+), d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+), hit AS (
+  SELECT s.doc_id, ts.name, ts.n, s.i, s.g FROM s JOIN ts USING (g)
+), place AS (  -- a window of four words from word a0 + 1; what is looked a0 begins n - 2 shingles before it
+  SELECT DISTINCT h.doc_id, h.name, h.n, a0 FROM (
+    SELECT doc_id, name, n, unnest([i - 1, i - 2, i - 3]) AS a0 FROM hit) AS h WHERE a0 >= 0 AND a0 % 2 = 0
+), share AS (
+  SELECT p.doc_id, p.name, p.a0, count(DISTINCT h.g) AS got
+  FROM place p JOIN hit h ON h.doc_id = p.doc_id AND h.name = p.name
+   AND h.i >= greatest(p.a0 + 2 - p.n, 1) AND h.i < greatest(p.a0 + 2 - p.n, 1) + 2 * p.n + 4
+  GROUP BY ALL
+), found AS (
+  SELECT doc_id, name, max(got / kinds::DOUBLE) AS c FROM share JOIN tn USING (name) GROUP BY ALL HAVING max(got / kinds::DOUBLE) >= 0.8
+)
+SELECT d.doc_id, count(name) AS n_licenses, coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses, max(c) AS containment
+FROM d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id
+"""
+)
+
+SQL["op7_fixity"] = r"""
+WITH a AS (
+  SELECT page_id, crc, octet_length(encode(
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>'
+    || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: '
+    || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+    || chr(13) || chr(10) || chr(13) || chr(10))) AS size
+  FROM (SELECT *, ('0x' || substr(md5('decay:' || page_id), 1, 15))::BIGINT AS crc FROM pages)
+), m AS (
+  SELECT *, page_id >> 12 AS file, sum(size) OVER (PARTITION BY page_id >> 12 ORDER BY page_id)::BIGINT AS e FROM a
+)
+SELECT page_id AS record_id, file, e - size AS begin, e AS "end",
+       CASE WHEN crc % 193 = 0 THEN 'missing' ELSE 'changed' END AS status
+FROM m WHERE crc % 193 = 0 OR crc % 97 = 1
+"""
+
+SQL["op1_extraction"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages
+), b AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS body FROM a
+), c AS (
+  SELECT page_id, url, replace(replace(replace(replace(body, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS body FROM b
+)
+SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text, length(trim(regexp_replace(body, '\s+', ' ', 'g'))) AS n_chars FROM c
+"""
+
+SQL["op6_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y, c = nx.n AND nx.n = ny.n AS equal
+  FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 9 * c >= 4 * (nx.n + ny.n)
+), reach(doc_id, class_id) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT y, class_id FROM reach JOIN links ON x = reach.doc_id
+), least AS (
+  SELECT doc_id, min(class_id) AS class_id FROM reach GROUP BY doc_id
+), degree AS (
+  SELECT x AS doc_id, count(*) AS n_links, count(*) FILTER (equal) AS same FROM links GROUP BY x
+)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, 1 + coalesce(same, 0) AS copies FROM least LEFT JOIN degree USING (doc_id)
+"""
+
+SQL["op9_repeats"] = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+  SELECT doc_id, p, md5(substr(x, 2 * p + 1, 800)) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, strlen(x) // 2 - 399)) AS p FROM d)
+), twice AS (
+  SELECT h FROM w GROUP BY h HAVING count(*) > 1
+), hit AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400 THEN 0 ELSE 1 END AS new
+  FROM w JOIN twice USING (h)
+), run AS (
+  SELECT doc_id, min(p) AS b, max(p) + 400 AS e
+  FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM hit) GROUP BY doc_id, r
+), kept AS (  -- what lies before each run, and after the last one
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS f, b AS t FROM run
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(e), 0), max(strlen(x)) // 2 FROM d LEFT JOIN run USING (doc_id) GROUP BY d.doc_id
+), left_over AS (
+  SELECT kept.doc_id, string_agg(substr(x, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS y FROM kept JOIN d USING (doc_id) GROUP BY kept.doc_id
+), gone AS (
+  SELECT doc_id, sum(e - b)::BIGINT AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id
+)
+SELECT doc_id, strlen(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(y)) AS kept_sha256
+FROM d JOIN left_over USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import contamination, extraction, imatch, jaccard, language, mixing, repeats, toxicity
+from corpusloom.functions.keys import hash60
+from corpusloom.llm import contamination, extraction, fixity, imatch, jaccard, language, licenses, mixing, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,18 @@ def op1_extraction(spark, folder):
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+@query
+def op2_licenses(spark, folder):
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    found = licenses.with_licenses(docs)
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda x: x["name"]), ",").alias("licenses"),
+        F.array_max(F.transform("licenses", lambda x: x["containment"])).alias("containment"),
+    )
+
+
 @query
 def op3_contamination(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text")
@@ -75,6 +88,19 @@ def op6_jaccard(spark, folder):
     return jaccard.classes(docs).select("doc_id", "class_id", "n_links", "copies")
 
 
+@query
+def op7_fixity(spark, folder):
+    """Pages as WARC records, against a replica in which some bytes changed and some records are gone."""
+    pages = read(spark, folder, "pages", "page_id", "url", "html")
+    record = fixity.warc_record(F.col("url"), F.col("page_id"), F.col("html"))
+    ours = pages.select(F.col("page_id").alias("record_id"), record.alias("content"))
+    luck = hash60("decay", F.col("record_id"))
+    flipped = F.overlay(F.col("content"), F.lit(b"?"), F.lit(20))
+    theirs = ours.withColumn("luck", luck).filter(F.pmod("luck", F.lit(193)) != 0)
+    theirs = theirs.withColumn("content", F.when(F.pmod("luck", F.lit(97)) == 1, flipped).otherwise(F.col("content")))
+    return fixity.damaged(ours, theirs)
+
+
 @query
 def op8_language(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text", "lang")
