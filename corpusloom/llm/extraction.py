@@ -37,7 +37,7 @@ from corpusloom.llm.arrow import add_columns, column, free_name
 FIT_PAGES = 2_000
 LIMIT = 6.0  # of a weight, either way
 ASIDE = 4.0  # most that one run of words in a negative element costs
-INSIDE = 0.02  # share of its cost that a tag has in a positive element
+INSIDE = 0.02  # share of these costs inside a landmark or a positive element
 PLAIN = 1.0  # score of a word in no element with a weight
 
 # HTML elements by their role in the standard.
@@ -166,13 +166,11 @@ class Weights:
         scores = []
         for token in sequence:
             place = self.place(token.inside)
-            if token.tag:
-                cost = self.tags.get(token.tag, -1.0)
-                scores.append(cost * INSIDE if place > 0 else cost)
-            elif place > 0:
+            if place > 0 and not token.tag:
                 scores.append(token.words * place)
-            else:
-                scores.append(max(-ASIDE, token.words * place))
+                continue
+            cost = self.tags.get(token.tag, -1.0) if token.tag else max(-ASIDE, token.words * place)
+            scores.append(cost * INSIDE if place > 0 or token.inside & LANDMARKS else cost)
         begin, end = best_run(scores)
         blocks: list[list[str]] = [[]]
         for token in sequence[begin:end]:
