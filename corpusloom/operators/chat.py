@@ -22,8 +22,9 @@ TURN_BLOCK = 1024
 
 
 def role_id(role: Column, vocab: Vocabulary) -> Column:
-    """Id of a role's token; null for an unknown role."""
-    choice = F.lit(None).cast("int")
+    """Id of a role's token; an unknown role is an error that names it."""
+    unknown = F.concat(F.lit("unknown role: "), F.coalesce(role, F.lit("null")))
+    choice = F.raise_error(unknown).cast("int")
     for name in ROLES:
         choice = F.when(role == name, vocab.special(name)).otherwise(choice)
     return choice

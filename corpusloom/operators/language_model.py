@@ -206,17 +206,19 @@ def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> Da
 
 
 def _likely_after(model: NgramModel, lasts: DataFrame, n: int) -> DataFrame:
-    """``(w2, w3, p2)``: the ``n`` likeliest tokens after each last token, by pair estimate.
+    """``(w2, w3, p2)``: the tokens whose pair estimate reaches the ``n``-th largest after w2.
 
-    Candidates are the seen followers and the ``n`` commonest tokens; any other token has
-    only its smaller overall count.
+    Candidates are the seen followers and every token at least as common as the ``n``-th
+    commonest; any other token has only its smaller overall count. A model that has seen
+    fewer than ``n`` tokens offers all ids, as the unseen ones tie.
     """
-    common = model.tokens.orderBy(F.desc("c1"), "w3").limit(n)
-    listed = common.agg(F.collect_list("w3").alias("ids")).scalar()
-    # Low ids stand for the unseen tokens, so that small models still offer n of them.
-    floor = F.sequence(F.lit(0), F.lit(min(n, model.size) - 1))
+    top = model.tokens.orderBy(F.desc("c1")).limit(n).agg(F.count(F.lit(1)).alias("n"), F.min("c1").alias("c1")).first()
+    if top["n"] < min(n, model.size):
+        listed = F.sequence(F.lit(0), F.lit(model.size - 1))
+    else:
+        listed = model.tokens.filter(F.col("c1") >= top["c1"]).agg(F.collect_list("w3").alias("ids")).scalar()
     seen = lasts.join(model.pairs, "w2").select("w2", "w3", "c2")
-    always = lasts.select("w2", F.explode(F.array_union(listed, floor)).alias("w3"))
+    always = lasts.select("w2", F.explode(listed).alias("w3"))
     every = (
         seen.unionByName(always, True)
         .groupBy("w2", "w3")
@@ -225,16 +227,16 @@ def _likely_after(model: NgramModel, lasts: DataFrame, n: int) -> DataFrame:
         .join(model.tokens, "w3", "left")
         .select("w2", "w3", model.p2().alias("p2"))
     )
-    order = F.row_number().over(Window.partitionBy("w2").orderBy(F.desc("p2"), "w3"))
+    order = F.rank().over(Window.partitionBy("w2").orderBy(F.desc("p2")))
     return every.withColumn("_row", order).filter(F.col("_row") <= n).drop("_row")
 
 
 def candidates(model: NgramModel, contexts: DataFrame, n: int) -> DataFrame:
     """``(w1, w2, token_id, logit)``: what may follow each distinct context.
 
-    The seen continuations of the pair, plus the ``n`` likeliest tokens after its last
-    token. A token in neither is beaten by those ``n``, since for it only the pair
-    estimate counts, so top-k is exact for k <= n (ties at the k-th value may be cut).
+    The seen continuations of the pair, plus the tokens that reach the ``n``-th largest
+    estimate after its last token. A token in neither is beaten by ``n`` others, since for
+    it only the pair estimate counts, so top-k with all its ties is exact for k <= n.
     """
     by_last = contexts.join(_likely_after(model, contexts.select("w2").distinct(), n), "w2")
     by_pair = (
@@ -256,15 +258,23 @@ def candidates(model: NgramModel, contexts: DataFrame, n: int) -> DataFrame:
 
 
 def save_model(model: NgramModel, path: str) -> None:
-    """Counts and a one-row metadata table under ``path`` (use a new path per version)."""
+    """Counts and a one-row metadata table under ``path``, which must be new.
+
+    A folder is never overwritten: the model may be read from it.
+    """
     spark = model.counts.sparkSession
-    model.counts.write.mode("overwrite").parquet(f"{path}/counts")
+    model.counts.write.mode("errorifexists").parquet(f"{path}/counts")
     meta = [(model.size, model.weight, model.step, model.val_loss)]
     spark.createDataFrame(meta, "size int, weight double, step int, val_loss double").write.mode(
-        "overwrite"
+        "errorifexists"
     ).parquet(f"{path}/meta")
 
 
+def judged(model: NgramModel, loss: DataFrame) -> NgramModel:
+    """The model with the validation loss of a one-row evaluation, which is saved with it."""
+    return replace(model, val_loss=float(loss.first()["loss"]))
+
+
 def load_model(spark: SparkSession, path: str) -> NgramModel:
     meta = spark.read.parquet(f"{path}/meta").first()
     return NgramModel(

@@ -84,7 +84,8 @@ def log_normalizer(logits: DataFrame, position: list[str], logit: str = "logit")
 def token_losses(logits: DataFrame, targets: DataFrame, position: list[str]) -> DataFrame:
     """``targets`` plus the loss of each: log normaliser minus the target's logit.
 
-    Ignored targets (-1) keep their row with a null loss.
+    Ignored targets (-1) keep their row with a null loss. A target without a logit has
+    probability zero, and so an infinite loss.
     """
     wanted = targets.filter(F.col("y") != IGNORED).select(*position, F.col("y").alias("token_id"))
     hit = logits.join(wanted, [*position, "token_id"]).select(*position, F.col("logit").alias("_hit"))
@@ -92,7 +93,7 @@ def token_losses(logits: DataFrame, targets: DataFrame, position: list[str]) ->
     return (
         targets.join(norm, position, "left")
         .join(hit, position, "left")
-        .withColumn("nll", F.when(F.col("y") != IGNORED, F.col("log_norm") - F.col("_hit")))
+        .withColumn("nll", F.when(F.col("y") != IGNORED, F.coalesce(F.col("log_norm") - F.col("_hit"), F.lit(INFINITY))))
         .drop("_hit", "log_norm")
     )
 

@@ -34,15 +34,21 @@ def _field(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) if name in df.columns else F.lit("")
 
 
-def _first_present(df: DataFrame, names: tuple[str, ...]) -> Column:
-    """The first field that exists, empty or not; later ones are no substitute."""
-    return _field(df, next((n for n in names if n in df.columns), ""))
+def _first_present(df: DataFrame, names: tuple[str, ...], mixed: bool) -> Column:
+    """The first field that exists, empty or not; later ones are no substitute.
 
+    In a table that mixes layouts a row lacks the fields that are null; an empty text is there.
+    """
+    there = [n for n in names if n in df.columns]
+    if mixed:
+        return F.coalesce(*[F.col(n) for n in there], F.lit(""))
+    return _field(df, there[0] if there else "")
 
-def chat_sides(df: DataFrame, style: str) -> tuple[Column, Column]:
+
+def chat_sides(df: DataFrame, style: str, mixed: bool = False) -> tuple[Column, Column]:
     """User and assistant text of a row in the given layout."""
     if style not in LAYOUTS:
-        return _first_present(df, USER_FIELDS), _first_present(df, ASSISTANT_FIELDS)
+        return _first_present(df, USER_FIELDS, mixed), _first_present(df, ASSISTANT_FIELDS, mixed)
     layout = LAYOUTS[style]
     user, extra = _field(df, layout["user"]), _field(df, layout["extra"])
     with_extra = F.concat(user, F.lit(f"\n\n{layout['label']}: "), extra)
@@ -63,7 +69,7 @@ def to_chat_by_source(df: DataFrame, source: str, keep: list[str]) -> DataFrame:
     style = style_column(F.col(source))
     users, assistants = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name in ["generic", *LAYOUTS]:
-        user, assistant = chat_sides(df, name)
+        user, assistant = chat_sides(df, name, mixed=True)
         users = F.when(style == name, user).otherwise(users)
         assistants = F.when(style == name, assistant).otherwise(assistants)
     sides = df.select(*keep, users.alias("user"), assistants.alias("assistant"))

@@ -24,15 +24,21 @@ def _val_count(total, fraction: float):
 
 
 def split_corpus(
-    df: DataFrame, key: list[str], fraction: float = CORPUS_VAL_FRACTION, seed: int = SHUFFLE_SEED
+    df: DataFrame,
+    key: list[str],
+    fraction: float = CORPUS_VAL_FRACTION,
+    seed: int = SHUFFLE_SEED,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Label rows train / val; val is the last max(int(n * fraction), 1) of the shuffle.
 
     The label is a comparison with one key found from two narrow passes over the ids,
-    so the rows themselves are not shuffled.
+    so the rows themselves are not shuffled. Where ``df`` is costly to make, ``ids`` names
+    a cheaper table with the same keys for those passes.
     """
     keyed = seeded(df, key, seed)
-    cut = key_at(keyed, lambda n: n - _val_count(n, fraction)).scalar()
+    among = keyed if ids is None else seeded(ids, key, seed)
+    cut = key_at(among, lambda n: n - _val_count(n, fraction)).scalar()
     label = F.when(F.col("order_key") >= cut, "val").otherwise("train")
     return keyed.withColumn("split", label)
 

@@ -9,7 +9,6 @@ from corpusloom.functions.arrays import in_order, ints
 from corpusloom.functions.text import byte_ids, from_latin, pieces
 from corpusloom.operators.bpe import piece_encoder
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, token_text
-from corpusloom.session import task_count
 
 
 def split_pieces(vocab: Vocabulary, text: Column, allow_special: bool = True) -> Column:
@@ -21,7 +20,8 @@ def _finish(ids: Column, vocab: Vocabulary, add_eos: bool) -> Column:
 
 
 def _by_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.repartition(task_count(df.sparkSession), *keys)
+    """Texts by key; without a count, so that AQE sizes the tasks."""
+    return df.repartition(*keys)
 
 
 def tokenize(

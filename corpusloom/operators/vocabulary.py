@@ -143,7 +143,8 @@ def read_vocab(
 
     ``json``: one object, spelled token -> id. ``ranks``: lines of base64 token and rank;
     the special tokens are not in such a file. The default special is end of text as the
-    last id.
+    last id. The file is counted once: ids beyond ``size``, or one of a special, are an
+    error, as ``size`` bounds what is broadcast.
     """
     specials = {END_OF_TEXT: size - 1} if specials is None else specials
     if layout == "json":
@@ -159,6 +160,11 @@ def read_vocab(
         )
     else:
         raise ValueError(f"unknown vocabulary layout: {layout}")
+    n, last, clash = plain.agg(
+        F.count(F.lit(1)), F.max("token_id"), F.count_if(F.col("token_id").isin(*specials.values()))
+    ).first()
+    if n + len(specials) > size or (last or 0) >= size or clash:
+        raise ValueError(f"{path}: {n} tokens up to id {last}, {clash} of them with a special id, do not fit a size of {size}")
     table = plain.withColumn("is_special", F.lit(False)).unionByName(special_rows(spark, specials))
     return Vocabulary(table, size, specials[END_OF_TEXT], SUBWORD_SPLIT, specials)
 

@@ -183,6 +183,14 @@ def learned_tokens_decoded(spark, folder):
     return tk.detokenize(coded, vocab, ["doc_id"])
 
 
+@query
+def byte_pair_tokens(spark, folder):
+    """Ids by learned merges, in order of rank."""
+    docs = tb.documents(spark, folder)
+    coded = tk.tokenize(docs, bpe.learn_vocabulary(docs, 64))
+    return coded.select("doc_id", written("token_ids").alias("ids"))
+
+
 @query
 def saved_vocabulary(spark, folder):
     path = stage_path(spark, "vocab-file")
@@ -310,8 +318,18 @@ def generic_chat(spark, folder):
 
 def _named_pairs(spark, folder):
     names = F.element_at(F.array(F.lit("org/dolly-15k"), F.lit("org/alpaca"), F.lit("own")), (F.col("conv_id") % 3 + 1).cast("int"))
+    own = F.col("conv_id") % 3 == 2  # a set with fields of its own; the others' are null in its rows
     return tb.pairs(spark, folder).select(
-        "*", names.alias("dataset"), F.col("context").alias("input"), F.col("response").alias("output")
+        "conv_id",
+        "turn",
+        "context",
+        F.when(~own, F.col("instruction")).alias("instruction"),
+        F.when(~own, F.col("response")).alias("response"),
+        F.when(own, F.col("instruction")).alias("question"),
+        F.when(own, F.col("response")).alias("answer"),
+        names.alias("dataset"),
+        F.col("context").alias("input"),
+        F.when(~own, F.col("response")).alias("output"),
     )
 
 
@@ -337,14 +355,14 @@ def preparation_counts(spark, folder):
     coded = tk.tokenize_by_lookup(turns, vocab, ["conv_id", "user_turn", "turn", "role"])
     lengths = coded.groupBy("conv_id", "user_turn").agg((F.sum(F.size("token_ids") + 2) + 1).alias("n"))
     all_rows = rows.select("conv_id", F.col("turn").alias("user_turn")).join(lengths, ["conv_id", "user_turn"], "left")
-    kept = F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH * 4
+    kept = F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH
     return mt.write_counters(all_rows, kept, [], F.col("n"))
 
 
 def _examples(spark, folder, vocab):
     rows = tb.pairs(spark, folder).withColumnRenamed("turn", "user_turn")
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "user_turn", "turn", "role"])
-    return finetune.encoded_examples(rows, "dolly", vocab, encode, ["conv_id", "user_turn"], SEQ_LENGTH * 4)
+    return finetune.encoded_examples(rows, "dolly", vocab, encode, ["conv_id", "user_turn"], SEQ_LENGTH)
 
 
 @query
@@ -389,7 +407,7 @@ def example_validity(spark, folder):
 @query
 def encoded_conversations(spark, folder):
     vocab = tb.chat_vocabulary(spark, folder)
-    coded = ch.encode_chat(tb.coded_turns(spark, folder, vocab), vocab, ["conv_id"], SEQ_LENGTH * 16)
+    coded = ch.encode_chat(tb.coded_turns(spark, folder, vocab), vocab, ["conv_id"], SEQ_LENGTH * 2)
     return coded.select("conv_id", written("token_ids").alias("ids"), written("loss_mask").alias("mask"))
 
 
@@ -401,7 +419,7 @@ def encoded_turns(spark, folder):
 
 
 def _trimmed(spark, folder, vocab):
-    return ch.trim_history(tb.coded_turns(spark, folder, vocab), vocab, ["conv_id"], SEQ_LENGTH * 16, SEQ_LENGTH * 8)
+    return ch.trim_history(tb.coded_turns(spark, folder, vocab), vocab, ["conv_id"], SEQ_LENGTH * 2, SEQ_LENGTH)
 
 
 @query
@@ -497,6 +515,16 @@ def masked_cross_entropy(spark, folder):
     return losses.select("conv_id", "turn", "y", rounded("nll"))
 
 
+@query
+def absent_targets(spark, folder):
+    """Targets that the logits may lack: the id after the smallest of an assistant turn."""
+    vocab = tb.vocabulary(spark, folder)
+    targets = tb.turn_targets(spark, folder, vocab)
+    targets = targets.withColumn("y", F.when(F.col("y") >= 0, F.col("y") + 1).otherwise(F.col("y")))
+    losses = mt.token_losses(stage(tb.turn_logits(spark, folder, vocab), "logits"), targets, ["conv_id", "turn"])
+    return losses.select("conv_id", "turn", "y", rounded("nll"))
+
+
 @query
 def batch_loss(spark, folder):
     """Mean loss per conversation; one without an assistant turn has no loss (NaN)."""
@@ -733,7 +761,10 @@ def logged_samples(spark, folder):
     body = turns.select(
         "conv_id", "turn", F.format_string("  PROMPT: %s\n  OUTPUT: %s\n", "role", "text").alias("value")
     )
-    foot = head.select("conv_id", F.lit(1 << 20).cast("bigint").alias("turn"), F.lit("--- End samples ---\n").alias("value"))
+    # Every fifth run stopped in its samples; the next one's first step line follows.
+    stopped = F.lit("step=    10 | loss=6.0000 | lr=3.30e-06")
+    end = F.when(F.col("conv_id") % 5 == 0, stopped).otherwise("--- End samples ---\n")
+    foot = head.select("conv_id", F.lit(1 << 20).cast("bigint").alias("turn"), end.alias("value"))
     lines = head.unionByName(body).unionByName(foot).select(
         (F.col("conv_id") % 4).alias("part"), (F.col("conv_id") * (1 << 21) + F.col("turn")).alias("at"), "value"
     )
@@ -871,7 +902,7 @@ def next_candidates(spark, folder):
     turns = tb.coded_turns(spark, folder, vocab)
     ends = turns.groupBy("conv_id").agg(F.max_by("token_ids", "turn").alias("ids"))
     contexts = ends.select(gn.last_token(F.col("ids"), 2).alias("w1"), gn.last_token(F.col("ids"), 1).alias("w2")).distinct()
-    kept = dc.softmax(dc.top_k(lm.candidates(model, contexts, LM_TOP), ["w1", "w2"], 10), ["w1", "w2"])
+    kept = dc.softmax(dc.top_k(lm.candidates(model, contexts, LM_TOP), ["w1", "w2"], LM_TOP), ["w1", "w2"])
     return kept.select("w1", "w2", "token_id", rounded("prob", 9))
 
 
@@ -910,5 +941,5 @@ def chat_replies(spark, folder):
     tuned = lm.finetune_lm(base, _sft_tensors(spark, folder, vocab), 4.0)
     turns = tb.conversations(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "turn", "role"])
-    replies = gn.chat_replies(turns, tuned, vocab, encode, SEQ_LENGTH * 16, max_tokens=6)
+    replies = gn.chat_replies(turns, tuned, vocab, encode, SEQ_LENGTH * 2, max_tokens=6)
     return gn.continued(turns, replies)

@@ -6,11 +6,11 @@ import re
 
 from corpusloom.functions.text import CHAT_TOKENS, UNICODE_SPACE, WORD_SPLIT
 from corpusloom.plans.catalog import NUCLEUS, RUN_CONFIGS
-from corpusloom.plans.tables import BATCH, CHUNK, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE
+from corpusloom.plans.tables import BATCH, CHUNK, LM_TOP, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE
 
 EOS = VOCAB_SIZE - 1
 CHAT = {name: VOCAB_SIZE + i for i, name in enumerate(CHAT_TOKENS)}
-EXAMPLE_LENGTH = SEQ_LENGTH * 4
+EXAMPLE_LENGTH = SEQ_LENGTH
 WEIGHT = 0.7
 
 # The pattern engine here has no look-ahead. A mark in front of a white-space character
@@ -166,7 +166,7 @@ PART["trimmed"] = f"""
     SELECT conv_id, turn, ids FROM (
       SELECT *, sum(len(ids)) OVER w AS used, row_number() OVER w AS back FROM framed
       WINDOW w AS (PARTITION BY conv_id ORDER BY turn DESC ROWS UNBOUNDED PRECEDING))
-    WHERE used + 1 <= {SEQ_LENGTH * 8} OR back = 1"""
+    WHERE used + 1 <= {SEQ_LENGTH} OR back = 1"""
 PART["kept"] = """
     SELECT conv_id, token_id, logit / 0.7::DOUBLE AS logit FROM conv_logits
     QUALIFY rank() OVER (PARTITION BY conv_id ORDER BY logit DESC) <= 50"""
@@ -319,7 +319,7 @@ SQL["example_validity"] = build(
 SQL["encoded_turns"] = build(f"SELECT conv_id, turn, {joined('ids')} AS ids, {joined('mask')} AS mask FROM framed")
 SQL["encoded_conversations"] = build(
     f"""SELECT conv_id, {joined(f'flatten(list(ids ORDER BY turn)) || [{EOS}]')} AS ids, {joined('flatten(list(mask ORDER BY turn)) || [0]')} AS mask
-        FROM framed GROUP BY conv_id HAVING sum(len(ids)) + 1 <= {SEQ_LENGTH * 32}"""
+        FROM framed GROUP BY conv_id HAVING sum(len(ids)) + 1 <= {SEQ_LENGTH * 4}"""
 )
 SQL["trimmed_history"] = build("SELECT conv_id, turn FROM trimmed")
 SQL["chat_prompts"] = build(
@@ -487,7 +487,7 @@ SQL["next_candidates"] = build(
             SELECT DISTINCT coalesce(ids[len(ids) - 1], -1) AS w1, coalesce(ids[len(ids)], -1) AS w2
             FROM (SELECT conv_id, arg_max(ids, turn) AS ids FROM turn_coded GROUP BY conv_id)) x,
             (SELECT v::INT AS w3 FROM range({VOCAB_SIZE}) r(v)) y) {LM_JOINS}
-          QUALIFY rank() OVER (PARTITION BY w1, w2 ORDER BY logit DESC) <= 10)"""
+          QUALIFY rank() OVER (PARTITION BY w1, w2 ORDER BY logit DESC) <= {LM_TOP})"""
 )
 SQL["resumed_counts"] = build("SELECT w1, w2, w3, count(*)::DOUBLE AS n, 1 AS step FROM triples GROUP BY ALL")
 SQL["token_scores"] = build(
@@ -504,5 +504,133 @@ SQL["held_out_loss"] = build(
 SQL["untrained_perplexity"] = build(f"SELECT count(DISTINCT chunk_id) AS n_batches, {VOCAB_SIZE}::DOUBLE AS perplexity FROM chunks")
 
 
+def generated(prompts: str, size: int, steps: int, seed: int, model: str, kept: str, ranked: str) -> str:
+    """CTEs that unroll ``steps`` draws; the last is ``made(key, ids, new)``.
+
+    ``kept`` cuts ``(w1, w2, token_id, logit)`` to the tokens that may be drawn with their ``prob``.
+    """
+    parts = [
+        f"""state0 AS MATERIALIZED (SELECT key, ids, coalesce(ids[len(ids) - 1], -1) AS w1, coalesce(ids[len(ids)], -1) AS w2, []::INT[] AS new
+            FROM ({prompts}))"""
+    ]
+    for i in range(steps):
+        offered = f"""SELECT w1, w2, w3 AS token_id, {log_prob(size)} AS logit
+            FROM (SELECT w1, w2, w3 FROM (SELECT DISTINCT w1, w2 FROM state{i}) x, (SELECT v::INT AS w3 FROM range({size}) r(v)) y) {model}"""
+        parts.append(f"offered{i} AS MATERIALIZED ({offered})")
+        parts.append(f"kept{i} AS MATERIALIZED ({kept.replace('@OFFERED@', f'offered{i}')})")
+        parts.append(f"""cum{i} AS MATERIALIZED (
+            SELECT w1, w2, list({{'cum': cum, 'id': token_id}} ORDER BY cum, token_id) AS c FROM (
+              SELECT *, sum(prob) OVER (PARTITION BY w1, w2 ORDER BY {ranked} DESC, token_id ROWS UNBOUNDED PRECEDING) AS cum FROM kept{i})
+            GROUP BY w1, w2)""")
+        u = f"{hash60(f'{chr(39)}{seed}:{chr(39)} || key || {chr(39)}:{i}{chr(39)}')}::DOUBLE / {2**60}::DOUBLE"
+        parts.append(f"""state{i + 1} AS MATERIALIZED (
+            SELECT key, ids, w2 AS w1, id AS w2, list_append(new, id) AS new FROM (
+              SELECT s.*, coalesce(list_filter(c, lambda x: x.cum > {u} * c[len(c)].cum)[1].id, c[len(c)].id) AS id
+              FROM state{i} s JOIN cum{i} USING (w1, w2)))""")
+    parts.append(f"made AS (SELECT key, ids, new FROM state{steps})")
+    return ", ".join(parts)
+
+
+NUCLEUS_KEPT = """
+    WITH a AS (SELECT w1, w2, token_id, logit / 0.7::DOUBLE AS logit FROM @OFFERED@
+               QUALIFY rank() OVER (PARTITION BY w1, w2 ORDER BY logit / 0.7::DOUBLE DESC) <= 50),
+         b AS (SELECT *, exp(logit) / sum(exp(logit)) OVER (PARTITION BY w1, w2) AS prob FROM a),
+         d AS (SELECT w1, w2, token_id, logit FROM b QUALIFY coalesce(sum(prob) OVER (PARTITION BY w1, w2 ORDER BY logit DESC, token_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 0.9)
+    SELECT *, exp(logit) / sum(exp(logit)) OVER (PARTITION BY w1, w2) AS prob FROM d"""
+SAMPLE_KEPT = """
+    SELECT w1, w2, token_id, logit, exp(logit / 0.8) AS prob FROM @OFFERED@
+    QUALIFY row_number() OVER (PARTITION BY w1, w2 ORDER BY logit DESC, token_id) <= 40"""
+PROMPTS = "SELECT conv_id || '-' || turn AS key, ids FROM turn_coded WHERE role = 'user'"
+# Valid UTF-8 sequences in hex, then the longest beginnings of one, then any single byte.
+VALID = "[0-7].|(?:C[2-9A-F]|D.)[89AB].|(?:E0[AB].|E[1-9A-CEF][89AB].|ED[89].)[89AB].|(?:F0[9AB].|F[1-3][89AB].|F48.)[89AB].[89AB]."
+PART_OF = "(?:E0[AB].|E[1-9A-CEF][89AB].|ED[89].)|(?:F0[9AB].|F[1-3][89AB].|F48.)[89AB].|(?:F0[9AB].|F[1-3][89AB].|F48.)"
+
+
+def spelled(ids: str, size: int) -> str:
+    """Text of a list of ids; bytes that are no UTF-8 become U+FFFD, one for each broken sequence."""
+    token = f"CASE WHEN i < 256 THEN lpad(hex(i), 2, '0') WHEN i = {EOS} THEN hex(encode('<|endoftext|>')) ELSE (SELECT hex(encode(piece)) FROM vocab WHERE id = i) END"
+    for name, i in CHAT.items():
+        token = token.replace("ELSE", f"WHEN i = {i} THEN hex(encode('{CHAT_TOKENS[name]}')) ELSE", 1)
+    return f"""(SELECT decode(unhex(coalesce(string_agg(CASE WHEN regexp_full_match(s, '{VALID}') THEN s ELSE 'EFBFBD' END, '' ORDER BY k), '')))
+        FROM (SELECT unnest(a) AS s, generate_subscripts(a, 1) AS k FROM (SELECT regexp_extract_all(string_agg({token}, '' ORDER BY j), '{VALID}|{PART_OF}|..') AS a
+              FROM (SELECT unnest({ids}) AS i, generate_subscripts({ids}, 1) AS j))))"""
+
+
+GENERATED = "SELECT * FROM (WITH @CTES@ SELECT @SELECT@)"
+
+
+def generation(select: str, ctes: str, needs: str, **replace: str) -> str:
+    """``needs`` names the parts that the unrolled steps read."""
+    body = GENERATED.replace("@CTES@", ctes).replace("@SELECT@", select)
+    return build(body + f" /* {needs} */", **replace)
+
+
+LM_PARTS = "FROM trained FROM n2 FROM c2 FROM n1 FROM c1 FROM turn_coded FROM vocab"
+SQL["generated_tokens"] = generation(
+    f"key AS prompt_id, {joined('ids || new')} AS ids FROM made",
+    generated(PROMPTS, VOCAB_SIZE, 4, 3, LM_JOINS, NUCLEUS_KEPT, "logit"),
+    LM_PARTS,
+)
+for name, kept, ranked in (("prompt_completions", NUCLEUS_KEPT, "logit"), ("training_samples", SAMPLE_KEPT, "logit")):
+    SQL[name] = generation(
+        f"""key AS prompt_id, (SELECT text FROM conversations c WHERE c.conv_id || '-' || c.turn = key) AS prompt,
+            {spelled('made.ids || made.new', VOCAB_SIZE)} AS completion FROM made""",
+        generated(PROMPTS, VOCAB_SIZE, 4, 0, LM_JOINS, kept, ranked),
+        LM_PARTS,
+    )
+CHAT_PROMPTS = f"""
+    SELECT conv_id::VARCHAR AS key, flatten(list(ids ORDER BY turn)) || [{CHAT['assistant']}] AS ids FROM (
+      SELECT *, sum(len(ids)) OVER w AS used, row_number() OVER w AS back FROM framed
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn DESC ROWS UNBOUNDED PRECEDING))
+    WHERE used + 1 <= {SEQ_LENGTH * 2 - 6} OR back = 1 GROUP BY conv_id"""
+CUT = f"list_slice(new, 1, least(coalesce(list_position(new, {CHAT['end_turn']}), 99), coalesce(list_position(new, {EOS}), 99)) - 1)"
+SQL["chat_replies"] = generation(
+    f"""conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT conv_id, max(turn) + 1, 'assistant', any_value(trim(reply, chr(32) || chr(9) || chr(10) || chr(13))) FROM conversations
+        JOIN (SELECT key, {spelled('cut', VOCAB_SIZE)} AS reply FROM (SELECT key, {CUT} AS cut FROM made)) ON key = conv_id::VARCHAR GROUP BY conv_id""",
+    generated(CHAT_PROMPTS, VOCAB_SIZE + 4, 6, 0, LM_JOINS.replace("trained t", "summed t"), NUCLEUS_KEPT, "logit"),
+    LM_PARTS + " FROM summed FROM framed",
+    TUNED=" UNION ALL SELECT w1, w2, w3, 4.0::DOUBLE FROM targets WHERE w3 <> -1",
+)
+
+
+def merges(n: int) -> str:
+    """CTEs that learn ``n`` merges one at a time: ``words{n}(piece, word, n)`` and ``tok{n}(c, h)``."""
+    parts = [
+        f"""words0 AS MATERIALIZED (SELECT piece, array_to_string(list_transform({byte_list('piece')}, lambda b: chr(b)), '') AS word, n FROM piece_counts)""",
+        "tok0 AS MATERIALIZED (SELECT chr(i::INT) AS c, lpad(hex(i), 2, '0') AS h FROM range(256) r(i))",
+    ]
+    for i in range(n):
+        parts.append(f"""best{i} AS MATERIALIZED (
+            SELECT substr(word, p, 2) AS pair FROM (SELECT word, n, unnest(range(1, length(word))) AS p FROM words{i})
+            GROUP BY pair ORDER BY sum(n) DESC, substr(pair, 1, 1), substr(pair, 2, 1) LIMIT 1)""")
+        parts.append(f"""words{i + 1} AS MATERIALIZED (
+            SELECT piece, replace(word, (SELECT pair FROM best{i}), chr({256 + i})) AS word, n FROM words{i})""")
+        parts.append(f"""tok{i + 1} AS MATERIALIZED (SELECT * FROM tok{i} UNION ALL
+            SELECT chr({256 + i}), (SELECT h FROM tok{i} WHERE c = substr(pair, 1, 1)) || (SELECT h FROM tok{i} WHERE c = substr(pair, 2, 1)) FROM best{i})""")
+    return ", ".join(parts)
+
+
+SQL["learned_merges"] = generation(
+    """unicode(c) AS token_id, h AS token, false AS is_special FROM tok64
+       UNION ALL SELECT 320, hex(encode('<|endoftext|>')), true""",
+    merges(64),
+    "FROM piece_counts",
+)
+SQL["byte_pair_tokens"] = generation(
+    f"""doc_id, {joined("list_transform(regexp_extract_all(string_agg(word, '' ORDER BY i), '(?s).'), lambda c: unicode(c))")} AS ids
+        FROM doc_pieces JOIN words64 USING (piece) GROUP BY doc_id""",
+    merges(64),
+    "FROM piece_counts FROM doc_pieces",
+)
+SQL["absent_targets"] = build(
+    """SELECT t.conv_id, t.turn, t.y, CASE WHEN t.y = -1 THEN NULL ELSE coalesce(round(n.log_norm - l.logit, 6), 'inf'::DOUBLE) END AS nll
+       FROM (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN list_min(ids) + 1 ELSE -1 END AS y FROM turn_coded) t
+       LEFT JOIN (SELECT conv_id, turn, ln(sum(exp(logit))) AS log_norm FROM turn_logits GROUP BY ALL) n USING (conv_id, turn)
+       LEFT JOIN turn_logits l ON l.conv_id = t.conv_id AND l.turn = t.turn AND l.token_id = t.y"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

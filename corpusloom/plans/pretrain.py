@@ -32,7 +32,7 @@ def tokenized_corpus(
     coded = encode(corpus.select("doc_id", "text")).select(
         "doc_id", "token_ids", F.size("token_ids").cast("bigint").alias("n_tokens")
     )
-    return stage(split_corpus(coded, ["doc_id"], fraction, seed), "tokens", path)
+    return stage(split_corpus(coded, ["doc_id"], fraction, seed, corpus.select("doc_id")), "tokens", path)
 
 
 def token_stream(tokens: DataFrame, chunk: int = CHUNK_TOKENS, path: str | None = None) -> DataFrame:

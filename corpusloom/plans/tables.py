@@ -13,7 +13,7 @@ from corpusloom.session import spread, stage
 
 VOCAB_SIZE = 4096
 CHUNK = 4096
-SEQ_LENGTH = 64
+SEQ_LENGTH = 512
 WORLD_SIZE = 3
 BATCH = 4
 LM_TOP = 50
@@ -66,13 +66,23 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
     A user turn without an answer has a null response, a conversation without a system
     turn a null context.
     """
+    asks = F.col("role") == "user"
     turns = conversations(spark, folder)
-    users = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("instruction"))
-    answers = turns.filter("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    # A question and the answer a turn later meet on the question's turn.
+    paired = (
+        turns.filter("role IN ('user', 'assistant')")
+        .select(
+            "conv_id",
+            F.when(asks, F.col("turn")).otherwise(F.col("turn") - 1).alias("turn"),
+            F.when(asks, F.col("text")).alias("instruction"),
+            F.when(~asks, F.col("text")).alias("response"),
+            asks.alias("asked"),
+        )
+        .groupBy("conv_id", "turn")
+        .agg(F.max("instruction").alias("instruction"), F.max("response").alias("response"), F.max("asked").alias("asked"))
     )
     systems = turns.filter("role = 'system' AND turn = 0").select("conv_id", F.col("text").alias("context"))
-    return users.join(answers, ["conv_id", "turn"], "left").join(systems, "conv_id", "left")
+    return paired.filter("asked").drop("asked").join(systems, "conv_id", "left")
 
 
 def steps(spark: SparkSession, folder: str) -> DataFrame:

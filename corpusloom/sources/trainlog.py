@@ -15,6 +15,7 @@ STEP_LINE = r"^step=\s*(\d+) \| loss=(\S+)"
 EVAL_LINE = r"^\s*EVAL @ step ([\d,]+) \| elapsed (\S+)"
 SAMPLES_LINE = r"^--- Sample generations at step (\d+) ---"
 SAMPLES_END = "--- End samples ---"
+RULE_LINE = "^={60}$"
 PROMPT_MARK, OUTPUT_MARK = "  PROMPT: ", "  OUTPUT: "
 
 
@@ -103,21 +104,26 @@ def read_evals(lines: DataFrame) -> DataFrame:
 
 
 def read_samples(lines: DataFrame) -> DataFrame:
-    """One row per sample: step, ordinal, prompt, output (which may span lines)."""
-    in_step = _blocks(lines, SAMPLES_LINE, "block").filter("block > 0")
-    edges = F.when(F.col("value").rlike(SAMPLES_LINE), 1).when(F.col("value") == SAMPLES_END, 0)
-    opened = running(
-        in_step.withColumn("_part", F.col("part")), FILE, "line", {"_open": ("last", edges)}, block=F.col("_part")
-    ).filter("_open = 1")
-    samples = _blocks(opened.drop("_part", "_open"), "^" + PROMPT_MARK, "sample")
+    """One row per sample: step, ordinal, prompt, output (which may span lines).
+
+    A block that a stopped run left open ends at the next step line or rule.
+    """
+    value = F.col("value")
+    header, ends = value.rlike(SAMPLES_LINE), (value == SAMPLES_END) | value.rlike(STEP_LINE) | value.rlike(RULE_LINE)
+    counts = {
+        "block": ("sum", header.cast("int")),
+        "_open": ("last", F.when(header, 1).when(ends, 0)),
+        "sample": ("sum", value.rlike("^" + PROMPT_MARK).cast("int")),
+        "step": ("last", F.when(header, _part(SAMPLES_LINE, "bigint"))),
+    }
+    # Prompts are counted through the file, so samples of a block are numbered again below.
+    numbered = running(lines.withColumn("_part", F.col("part")), FILE, "line", counts, block=F.col("_part"))
     text = F.struct("part", "line", "value")
-    steps = samples.filter(F.col("value").rlike(SAMPLES_LINE)).select(
-        "file", "block", _part(SAMPLES_LINE, "bigint").alias("step")
-    )
     bodies = (
-        samples.filter((F.col("sample") > 0) & ~F.col("value").rlike(SAMPLES_LINE))
-        .groupBy("file", "block", "sample")
+        numbered.filter((F.col("_open") == 1) & ~header)
+        .groupBy("file", "block", "sample", "step")
         .agg(F.transform(F.sort_array(F.collect_list(text)), lambda s: s["value"]).alias("_lines"))
+        .filter(F.get("_lines", F.lit(0)).startswith(PROMPT_MARK))
     )
     prompt = F.substring(F.get("_lines", F.lit(0)), F.lit(len(PROMPT_MARK) + 1), F.length(F.get("_lines", F.lit(0))))
     body = F.array_join(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0))), "\n")
@@ -128,9 +134,9 @@ def read_samples(lines: DataFrame) -> DataFrame:
             "file",
             "block",
             "sample",
+            "step",
             prompt.alias("prompt"),
             F.substring(output, F.lit(len(OUTPUT_MARK) + 1), F.length(output)).alias("output"),
         )
-        .join(steps, ["file", "block"])
         .withColumn("sample", F.row_number().over(Window.partitionBy("file", "block").orderBy("sample")))
     )

@@ -174,6 +174,28 @@ def test_empty_field_is_no_reason_to_look_further(spark):
     assert prepare.to_chat(rows, "generic", ["id"]).count() == 0
 
 
+def test_null_fields_of_mixed_tables_are_absent(spark):
+    rows = spark.createDataFrame(
+        [(1, "x/dolly", "do", "done", None, None), (2, "own", None, None, "why", "so"), (3, "own", "", "r", "why", "so")],
+        "id int, dataset string, instruction string, response string, question string, answer string",
+    )
+    sides = prepare.to_chat_by_source(rows, "dataset", ["id"])
+    assert sorted((r["id"], r["user"], r["assistant"]) for r in sides.collect()) == [(1, "do", "done"), (2, "why", "so")]
+
+
+def test_unknown_role_is_an_error(spark, chat_vocab):
+    turns = spark.createDataFrame([(1, 0, "tool", [1])], "conv_id int, turn bigint, role string, token_ids array<int>")
+    with pytest.raises(Exception, match="unknown role: tool"):
+        chat.encode_chat(turns, chat_vocab, ["conv_id"], 8).collect()
+
+
+def test_target_without_logit_is_infinite(spark):
+    logits = spark.createDataFrame([(0, 1, 0.0), (0, 2, 0.0), (1, 1, 0.0)], "pos int, token_id int, logit double")
+    targets = spark.createDataFrame([(0, 1), (1, 2), (2, 1), (3, -1)], "pos int, y int")
+    losses = {r["pos"]: r["nll"] for r in metrics.token_losses(logits, targets, ["pos"]).collect()}
+    assert losses == {0: pytest.approx(math.log(2)), 1: math.inf, 2: math.inf, 3: None}
+
+
 def test_white_space_is_not_missing(spark):
     rows = spark.createDataFrame([(1, "q", "  ", "a"), (2, "", "c", "a"), (3, "q", None, None)], "id int, instruction string, context string, response string")
     assert [(r["id"], r["user"]) for r in prepare.to_chat(rows, "dolly", ["id"]).collect()] == [(1, "q\n\nContext:   ")]

@@ -13,6 +13,7 @@ from corpusloom.plans import tables as tb
 from corpusloom.sources.tables import STREAM_SCHEMA
 
 SIZE = 12
+TIED = [1, 2, 3, 1, 2, 4, 1, 2, 5, 1, 2, 6, 1, 2, 7, 1, 2, 8, 1, 2, 9, 1, 2, 10]  # eight followers, once each
 IDS = [1, 2, 3, 1, 2, 4, 1, 2, 3, 5, 6, 1, 2, 3, 7, 7, 7, 2, 3, 1]
 
 
@@ -105,7 +106,20 @@ def slow_generate(slow, key, prompt, n, t, k, p, seed):
     return ids[2:]
 
 
-@pytest.mark.parametrize("t, k, p", [(0.7, SIZE, 0.9), (1.0, SIZE, 1.0), (0.3, SIZE, 0.61)])
+def test_ties_at_the_last_place_stay(spark):
+    slow, model = Slow(TIED, 40), lm.resize_vocab(fitted(spark, TIED), 40).stored()
+    contexts = spark.createDataFrame([(1, 2), (5, 1), (30, 30)], "w1 int, w2 int")
+    for k in (1, 3, 8, 20):
+        found = defaultdict(dict)
+        for r in decoding.top_k(lm.candidates(model, contexts, k), ["w1", "w2"], k).collect():
+            found[r["w1"], r["w2"]][r["token_id"]] = math.exp(r["logit"])
+        for (w1, w2), kept in found.items():
+            probs = {t: slow.prob(w1, w2, t) for t in range(40)}
+            floor = sorted(probs.values(), reverse=True)[k - 1]
+            assert set(kept) == {t for t, p in probs.items() if p > floor * (1 - 1e-9)}
+
+
+@pytest.mark.parametrize("t, k, p", [(0.7, SIZE, 0.9), (1.0, SIZE, 1.0), (0.3, SIZE, 0.61), (0.7, 3, 0.95), (1.0, 1, 1.0)])
 def test_generation_equals_brute_force(spark, t, k, p):
     prompts = [(0, [1]), (1, [1, 2]), (2, [9, 9]), (3, [7]), (4, [])]
     rows = spark.createDataFrame(prompts, "prompt_id int, token_ids array<int>")
@@ -182,6 +196,16 @@ def test_split_moves_no_text(spark):
     assert plan.count("ReadSchema: struct<doc_id:bigint>") >= 2
 
 
+def test_tokens_are_split_by_the_ids_alone(spark, monkeypatch):
+    from corpusloom.operators.tokenize import byte_tokenize
+    from corpusloom.plans import pretrain
+
+    monkeypatch.setattr(pretrain, "stage", lambda df, *_: df)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = plan_of(pretrain.tokenized_corpus(docs, byte_tokenize))
+    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 1
+
+
 def test_lookup_shuffles_texts_once(spark):
     vocab = tb.vocabulary(spark, SMALL)
     from corpusloom.operators.tokenize import tokenize_by_lookup

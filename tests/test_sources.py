@@ -117,6 +117,36 @@ def test_train_log(spark, tmp_path, split_bytes):
     ]
 
 
+STOPPED = """--- Sample generations at step 20 ---
+  PROMPT: Open
+  OUTPUT: Open
+end
+step=    30 | loss=4.0000 | lr=3.30e-06
+  PROMPT: no sample
+--- Sample generations at step 40 ---
+  PROMPT: Next
+  OUTPUT: Next one
+============================================================
+  EVAL @ step 40 | elapsed 2m
+"""
+
+
+def test_open_sample_block_ends_at_the_next_line_of_another_kind(spark, tmp_path):
+    (tmp_path / "train.log").write_text(STOPPED)
+    samples = trainlog.read_samples(trainlog.read_lines(spark, str(tmp_path / "train.log"))).orderBy("step").collect()
+    assert [(r["step"], r["sample"], r["prompt"], r["output"]) for r in samples] == [
+        (20, 1, "Open", "Open\nend"), (40, 1, "Next", "Next one"),
+    ]
+
+
+def test_samples_and_evaluations_read_the_log_once(spark, tmp_path):
+    (tmp_path / "train.log").write_text(LOG)
+    lines = trainlog.read_lines(spark, str(tmp_path / "train.log"))
+    for table in (trainlog.read_samples(lines), trainlog.read_evals(lines)):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") <= 2  # rows, and the block totals carried to them
+
+
 def test_corpus_formats_and_ids(spark, tmp_path):
     rows = spark.createDataFrame([("a b", "s1"), ("a b", "s2"), ("c", "s1")], "text string, source string")
     for fmt in ("parquet", "json"):

@@ -133,5 +133,8 @@ def test_vocabulary_files(spark, tmp_path):
         assert found == dict(enumerate([*tokens, b"<|endoftext|>"]))
         ids = tokenize.tokenize(table(spark, [" thé"]), vocab).first()["token_ids"]
         assert ids == [257, 258]
+    for size in (len(tokens), len(tokens) - 1):
+        with pytest.raises(ValueError, match="do not fit"):
+            vocabulary.read_vocab(spark, str(tmp_path / "ranks.txt"), "ranks", size)
     assert vocabulary.extend(vocab).special("end_turn") == vocab.size + 3
     assert SUBWORD_SPLIT == vocab.pattern
