@@ -24,11 +24,11 @@ def contamination(text, items, window=10):
     for name, item in items:
         v = words(item)
         n = min(window, len(v))
-        for j in range(len(v) - n + 1 if n else 0):
-            for i in range(len(w) - n + 1):
-                if w[i : i + n] == v[j : j + n]:
-                    hit.update(range(i, i + n))
-                    names.add(str(name))
+        windows = {tuple(v[j : j + n]) for j in range(len(v) - n + 1)} if n else set()
+        for i in range(len(w) - n + 1):
+            if tuple(w[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+                names.add(str(name))
     return len(w), len(hit), sorted(names)
 
 
