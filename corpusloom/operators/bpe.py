@@ -21,6 +21,7 @@ from corpusloom.session import stage, task_count
 
 SURROGATES = (0xD800, 0xE000)
 MERGES_PER_PLAN = 64  # replacements chained before the table is written again
+SHORT_PIECE = 48  # bytes; longer pieces are merged with a queue
 MEMO_PIECES = 500_000  # pieces remembered by one Python worker
 
 
@@ -138,11 +139,31 @@ def learn_vocabulary(df: DataFrame, n_merges: int, text: str = "text", pattern:
     return Vocabulary(table.unionByName(special_rows(spark, specials)), eos + 1, eos, pattern, specials)
 
 
+def _merge_short(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
+    """The same for a few parts: look through all pairs each time."""
+    none = len(ranks) + N_BYTES + (1 << 40)
+    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == none:
+            break
+        at = pairs.index(best)
+        parts[at] += parts.pop(at + 1)
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+    return [ranks[p] for p in parts]
+
+
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Join the lowest-ranked adjacent pair until none is left."""
     if piece in ranks:
         return [ranks[piece]]
     parts = [piece[i : i + 1] for i in range(len(piece))]
+    if len(parts) <= SHORT_PIECE:
+        return _merge_short(parts, ranks)
     after = list(range(1, len(parts) + 1))
     before = list(range(-1, len(parts) - 1))
 
