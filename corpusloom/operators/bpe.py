@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -228,3 +229,32 @@ def piece_encoder(vocab: Vocabulary):
             )
 
     return F.arrow_udf(encode, "array<int>")
+
+
+def id_speller(vocab: Vocabulary):
+    """An Arrow function: array of ids -> their tokens' bytes, one after the other.
+
+    The tokens of a batch are taken from one table; the bytes of a row then lie side by
+    side, so that only offsets are worked out.
+    """
+    if not vocab.broadcastable:
+        raise ValueError(f"a vocabulary of {vocab.size} ids is too large to broadcast")
+    rows = vocab.table.select("token_id", "token").collect()
+    tokens = [b""] * (max((r["token_id"] for r in rows), default=-1) + 2)  # the last is for unknown ids
+    for row in rows:
+        tokens[row["token_id"]] = bytes(row["token"])
+    shared = vocab.table.sparkSession.sparkContext.broadcast(tokens)
+
+    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = pa.array(shared.value, pa.large_binary())
+        unknown = len(table) - 1
+        for column in batches:
+            ids = column.flatten().fill_null(unknown).to_numpy(zero_copy_only=False)
+            ids = np.where((ids >= 0) & (ids < unknown), ids, unknown)
+            taken = table.take(pa.array(ids))
+            ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1]
+            at = np.concatenate([[0], column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()])
+            offsets = pa.py_buffer(ends[at].astype(np.int32)) if len(ids) else pa.py_buffer(np.zeros(len(column) + 1, np.int32))
+            yield pa.BinaryArray.from_buffers(pa.binary(), len(column), [None, offsets, taken.buffers()[2]])
+
+    return F.arrow_udf(spell, "binary")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import in_order, ints
 from corpusloom.functions.text import byte_ids, from_latin, pieces
-from corpusloom.operators.bpe import piece_encoder
+from corpusloom.operators.bpe import id_speller, piece_encoder
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, token_text
 
 
@@ -84,7 +84,14 @@ def byte_tokenize(df: DataFrame, text: str = "text", out: str = "token_ids") ->
 def detokenize(
     df: DataFrame, vocab: Vocabulary, keys: list[str], ids: str = "token_ids", out: str = "text"
 ) -> DataFrame:
-    """Ids back to text: token bytes in order, decoded once per row."""
+    """Ids back to text: token bytes in order, decoded once per row.
+
+    Row-wise while the vocabulary may be broadcast. Unknown ids spell nothing; null ids are
+    an empty text, broken UTF-8 becomes U+FFFD.
+    """
+    if vocab.broadcastable:
+        spelled_bytes = F.coalesce(id_speller(vocab)(ints(F.col(ids))), F.lit(b""))
+        return df.select(*keys, F.make_valid_utf8(spelled_bytes.cast("string")).alias(out))
     spelled = vocab.small(vocab.table.select("token_id", token_text(F.col("token")).alias("_spelled")))
     exploded = _by_key(df.select(*keys, ids), keys).select(*keys, F.posexplode_outer(ids).alias("at", "token_id"))
     joined = exploded.join(spelled, "token_id", "left")
