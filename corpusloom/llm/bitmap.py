@@ -7,6 +7,7 @@ exact check again where the rows meet.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,16 @@ def bitmap_of(hashes: DataFrame) -> np.ndarray:
     return out
 
 
+def within(bitmap):
+    """A test of a bigint column against a broadcast bitmap; only that column goes to Python."""
+
+    @F.pandas_udf("boolean")
+    def test(h: pd.Series) -> pd.Series:
+        return pd.Series(contains(bitmap.value, h.to_numpy().view(np.uint64)))
+
+    return test
+
+
 def contains(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bit = hashes >> np.uint64(64 - BITS)
     return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 > 0

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from corpusloom.session import stage
 
 
-def _mark(links: DataFrame):
-    return links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "root"))).first()
+def _done(links: DataFrame) -> bool:
+    """Whether every node has one root, and no root is a node."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("node").alias("x"), F.lit(1).alias("n")), F.struct(F.col("root").alias("x"), F.lit(0).alias("n"))))).select("col.*")
+    seen = ends.groupBy("x").agg(F.sum("n").alias("links"), F.min("n").alias("least"))
+    return seen.filter((F.col("links") > 1) | ((F.col("links") == 1) & (F.col("least") == 0))).isEmpty()
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
@@ -26,8 +29,7 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     """
     links = links.filter(F.col("node") != F.col("root")).select("node", "root").distinct()
     links = stage(links, name)
-    mark = _mark(links)
-    while mark[0]:
+    while not _done(links):
         both = links.unionByName(links.select(F.col("root").alias("node"), F.col("node").alias("root")))
         least = both.groupBy("node").agg(F.min("root").alias("least"))
         least = least.select("node", F.least("node", "least").alias("least"))
@@ -42,7 +44,4 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
             .distinct()
         )
         links = stage(small, name)
-        before, mark = mark, _mark(links)
-        if mark == before:
-            break
     return links

@@ -31,6 +31,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrow import column, free_name, text_bytes, text_chunks
+from corpusloom.llm.bitmap import bitmap_of, within
 from corpusloom.llm.components import components
 from corpusloom.llm.words import grams, mix, word_hashes
 from corpusloom.session import stage
@@ -155,6 +156,14 @@ def _verified(table: pa.Table, threshold: float, k: int) -> pa.Table:
     )
 
 
+def _row_hash(doc_id: str, text_key: str) -> Column:
+    return F.xxhash64(doc_id, text_key)
+
+
+def _among(hashes: DataFrame):
+    return within(hashes.sparkSession.sparkContext.broadcast(bitmap_of(hashes)))
+
+
 def _text_key(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
@@ -187,11 +196,14 @@ def classes(
     )
     worded = sketch.filter("n > 0")
     nodes = worded.groupBy("node").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.max("n").alias("n")
+        F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct("doc_id", "text_key")).alias("rep"),
+        F.max("n").alias("n"),
+        F.first("paths").alias("paths"),  # equal nodes have equal paths
     )
-    nodes = stage(nodes, "nodes")
-    # Equal nodes have equal paths; copies are taken together before they are shuffled.
-    buckets = worded.select("node", F.explode("paths").alias("bucket")).distinct()
+    kept = stage(nodes, "nodes")
+    buckets = kept.select("node", F.explode("paths").alias("bucket"))
+    nodes = kept.drop("paths")
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("root"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     stars = buckets.join(heads.select("bucket", "root"), "bucket").select("node", "root")
     found = components(stars, "candidates")
@@ -208,6 +220,10 @@ def classes(
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select("root", "node", "copies", "blocks", "block", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
     )
+    placed = stage(placed, "placed")
+    # Few texts are candidates: a bitmap keeps most of the others out of the shuffle.
+    maybe = _among(placed.select(_row_hash("rep_id", "rep_key").alias("h")))
+    rows = rows.filter(maybe(_row_hash("doc_id", "text_key")))
     texts = rows.join(placed, rows["doc_id"].eqNullSafe(placed["rep_id"]) & (rows["text_key"] == placed["rep_key"]))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = texts.select("root", "node", "copies", "block", "text", other.alias("other"))
@@ -243,11 +259,19 @@ def classes(
 
 def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without those that a kept one of their class stands for, with their own columns."""
-    kept = classes(docs, doc_id, text, **options).filter("keep").select("doc_id", "text_key").distinct()
+    found = stage(classes(docs, doc_id, text, **options).select("doc_id", "text_key", "keep"), "kept")
+    kept = found.filter("keep").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    # Rows that may go: the others of a class, and rows equal in id and text to another.
+    maybe = found.filter("NOT keep").select("doc_id", "text_key").unionByName(kept.filter("n > 1").drop("n"))
+    maybe = _among(maybe.select(_row_hash("doc_id", "text_key").alias("h")))
     key, row = free_name(docs, "__key"), free_name(docs, "__row")
-    left = docs.withColumn(key, _text_key(text))
+    keyed = docs.withColumn(key, _text_key(text))
+    sure = keyed.filter(~maybe(_row_hash(doc_id, key))).select(*docs.columns)
+    left = keyed.filter(maybe(_row_hash(doc_id, key)))
     kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"))
     met = left.join(kept, left[doc_id].eqNullSafe(kept["__kept_id"]) & (left[key] == kept["__kept_key"]), "left_semi")
-    # Rows equal in id and text stay once; those without words are nobody's copies.
+    # Of rows equal in id and text one stays; those without words are nobody's copies.
     number = F.row_number().over(Window.partitionBy(doc_id, key).orderBy(F.lit(0)))
-    return met.withColumn(row, number).filter((F.col(row) == 1) | ~F.col(text).rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]") | F.col(text).isNull()).select(*docs.columns)
+    wordless = F.col(text).isNull() | ~F.col(text).rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
+    rest = met.withColumn(row, number).filter((F.col(row) == 1) | wordless).select(*docs.columns)
+    return sure.unionByName(rest)
