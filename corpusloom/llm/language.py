@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.arrow import add_columns, column, free_name
 from corpusloom.llm.words import mix
+from corpusloom.session import stage
 
 DIMENSIONS = 1024
 SEED = 8
@@ -173,7 +174,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     vector per language reaches the driver.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count()
+    # Written, so that the planner knows its size: one row per language, and texts stay where they are.
+    counts = stage(rows.groupBy("lang").count(), "languages")
     rate = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
     chosen = rows.join(counts.select(F.col("lang").alias("l"), rate.alias("rate")), F.col("lang") == F.col("l"))
     chosen = chosen.filter((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1e6) < F.col("rate"))
