@@ -34,7 +34,7 @@ def bitmap_of(hashes: DataFrame) -> np.ndarray:
 
     out = np.zeros(1 << (BITS - 3), np.uint8)
     step = 1 << (shift - 3)
-    for row in distinct.groupBy("part").applyInArrow(packed, "part int, bits binary").toLocalIterator():
+    for row in distinct.groupBy("part").applyInArrow(packed, "part int, bits binary").collect():
         out[row["part"] * step : (row["part"] + 1) * step] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out
 

@@ -101,7 +101,7 @@ def learn_lexicon(docs: DataFrame, text: str = "text", min_idf: float = MIN_IDF,
 
     bitmap = np.zeros(1 << (TERM_BITS - 3), np.uint8)
     step = 1 << (shift - 3)
-    for row in in_band.groupBy("part").applyInArrow(bits, "part int, bits binary").toLocalIterator():
+    for row in in_band.groupBy("part").applyInArrow(bits, "part int, bits binary").collect():
         bitmap[row["part"] * step : (row["part"] + 1) * step] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return bitmap
 

@@ -50,7 +50,8 @@ from corpusloom.session import stage
 LENGTH = 400
 GRAM = 256
 RUN_BYTES = 24_000_000  # of records that a task sorts at a time
-RANGE_BYTES = 32_000_000  # of the suffix array, about, per range
+RANGE_BYTES = 16_000_000  # of the suffix array at most, about, per range
+CHUNK = 1 << 18  # bytes of text whose windows are hashed at a time
 CLUSTER = 100_000
 
 _PLACE_BITS = np.uint64(31)  # a text has fewer than 2**31 bytes
@@ -92,7 +93,7 @@ def stretches(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> t
 
 def _stretches_of(batch: pa.RecordBatch, length: int, gram: int, among: np.ndarray | None = None):
     """Chunks of a batch with the stretches of anchors in the bitmap ``among`` (all, if None)."""
-    for begin, _, data, starts in text_chunks(column(batch, "text")):
+    for begin, _, data, starts in text_chunks(column(batch, "text"), CHUNK):
         first, last, anchor, h = stretches(data, starts, length, gram)
         if among is not None:
             keep = contains(among, h)
@@ -268,9 +269,10 @@ def _spans(docs: DataFrame, length: int, gram: int, cluster: int) -> DataFrame:
         "places",
     )
     counts = stage(places.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead")), "counts")
-    kinds = counts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("lead").alias("lead"))
+    kinds = counts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.min("lead").alias("lead"))
     several = stage(kinds.filter("kinds > 1"), "several")
-    n, n_dense = several.agg(F.sum("kinds"), F.sum(F.when(F.col("kinds") > cluster, 1))).first()
+    # A task sorts equal stretches once, but other tasks have them too: at most all rows go in.
+    n, n_dense = several.agg(F.sum("n"), F.sum(F.when(F.col("kinds") > cluster, 1))).first()
     runs_type = "array<struct<begin:bigint,end:bigint>>"
     # Longer than any stretch: every window of it.
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("begin"), F.lit(length).cast("bigint").alias("end")))

@@ -24,7 +24,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse for i < n, kept per process."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         for name, base in (("up", BASE), ("down", INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
