@@ -3,8 +3,8 @@
 Each letter has a random vector of signs, a function of its code point. A trigram of
 letters is the product of its letters' vectors, turned by two, one and no places, so that
 order counts. The trigrams of a text are added up to its profile; the unit profiles of the
-labelled texts of a language are added up to the language's prototype. A text gets the
-language whose prototype has the largest cosine with its profile, both taken from the mean
+different labelled texts of a language, each once however often it is repeated, are added up
+to the language's prototype. A text gets the language whose prototype has the largest cosine with its profile, both taken from the mean
 of all prototypes, which holds what the languages have in common.
 
 Letters are what Unicode calls letters, lower-cased; any run of other characters is one
@@ -32,8 +32,9 @@ from corpusloom.session import stage
 
 DIMENSIONS = 1024
 SEED = 8
-#: Texts per language that the prototypes are learned from, chosen by a hash of the text.
+#: Different texts per language that the prototypes are learned from, chosen by a hash of the text.
 FIT_PER_LANGUAGE = 5_000
+MAX_SEEN = 1 << 17  # chosen texts that a task remembers, to pass copies on once
 CHUNK_CHARS = 1 << 20
 MAX_CACHED = 1 << 15  # trigram vectors a worker keeps
 UNKNOWN = "und"
@@ -166,19 +167,37 @@ class Prototypes:
         return names, scores
 
 
+def _first_copies(batches):
+    """Rows of a task without the copies of texts that it has passed on before."""
+    seen: set[tuple[str, int]] = set()
+    for batch in batches:
+        keep = []
+        for i, key in enumerate(zip(column(batch, "lang").to_pylist(), column(batch, "hash").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+        if len(seen) > MAX_SEEN:
+            seen.clear()
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = FIT_PER_LANGUAGE) -> Prototypes:
-    """Prototypes from labelled texts, at most about ``per_language`` of each language.
+    """Prototypes from labelled texts, at most about ``per_language`` different ones of each language.
 
-    Counts per language come first; texts are then chosen by hash at that rate, so every
-    language is learned however rare. Profiles are added up on the executors; only one
-    vector per language reaches the driver.
+    Different texts are counted first, by hash; texts are then chosen by that hash at the
+    rate of the language's count, and learned once each. A language of ``per_language``
+    different texts or fewer is learned from all of them, however many rows repeat them.
+    Copies are dropped in the task that reads them, so a text moves once per task at most.
+    Profiles are added up on the executors; only one vector per language reaches the driver.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = rows.withColumn("hash", F.xxhash64("text"))
     # Written, so that the planner knows its size: one row per language, and texts stay where they are.
-    counts = stage(rows.groupBy("lang").count(), "languages")
+    counts = stage(rows.select("lang", "hash").distinct().groupBy("lang").count(), "languages")
     rate = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
     chosen = rows.join(counts.select(F.col("lang").alias("l"), rate.alias("rate")), F.col("lang") == F.col("l"))
-    chosen = chosen.filter((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1e6) < F.col("rate"))
+    chosen = chosen.filter((F.pmod(F.col("hash"), F.lit(1_000_000)) / 1e6) < F.col("rate")).select("lang", "text", "hash")
+    chosen = chosen.mapInArrow(_first_copies, chosen.schema).dropDuplicates(["lang", "hash"])
 
     def sums(batches):
         for batch in batches:

@@ -25,6 +25,17 @@ def test_prediction_rests_on_the_text_alone(spark):
     assert a == b
 
 
+def test_language_of_few_texts_in_many_rows(spark):
+    few = [("de", "der hund und die katze"), ("de", "ein haus am see"), ("de", "wir gehen nach hause")]
+    many = [("en", f"the dog number {i} and the cat") for i in range(40)]
+    skewed = spark.createDataFrame(few * 2000 + many + [("en", "zzz qqq xxx")] * 3000, "lang string, text string")
+    learned = language.learn(skewed.repartition(6), per_language=4)
+    assert learned.names == ["de", "en"]
+    once = language.learn(skewed.distinct(), per_language=4)
+    assert abs(learned.units - once.units).max() < 1e-9
+    assert abs(learned.units[0] - language.learn(spark.createDataFrame(few, "lang string, text string")).units[0]).max() < 1e-9
+
+
 def test_toxicity_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
