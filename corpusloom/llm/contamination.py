@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.arrow import add_columns, column, free_name, text_bytes, text_chunks
-from corpusloom.llm.words import grams, gram_fits, owner, winnowed, word_hashes
+from corpusloom.llm.bitmap import bitmap_of, contains
+from corpusloom.llm.words import grams, gram_fits, mix, owner, winnowed, word_hashes
+from corpusloom.session import stage
 
 WINDOW = 10  # words that must be shared in a row
 GRAM = 5  # words per fingerprint; WINDOW - GRAM + 1 neighbours are winnowed
 
 #: Bytes of benchmark text up to which its index goes to every task (about ten times as
-#: much memory); a larger benchmark is joined by shuffling fingerprints.
+#: much memory); a larger benchmark is joined by shuffling hashes of shared windows.
 BROADCAST_BYTES = 16_000_000
 
 SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
@@ -182,8 +184,8 @@ def with_contamination(
     """``docs`` and a struct column: n_words, n_hit, items and hit spans (in words).
 
     The size of the benchmark is measured first. Up to ``broadcast_bytes`` its index is
-    broadcast and documents are only mapped over; beyond that, fingerprints are joined by
-    shuffling, and only texts with a common fingerprint meet an item. The struct column gets
+    broadcast and documents are only mapped over; beyond that, hashes of the windows that
+    items and documents may share are joined by shuffling. The struct column gets
     underscores in front where ``docs`` has a column of that name.
     """
     bench = benchmark.select(
@@ -205,35 +207,40 @@ def with_contamination(
 
 
 def _by_shuffle(docs, bench, text, window, drop, name) -> DataFrame:
-    """The form for a benchmark too large to broadcast; results depend on the text alone."""
+    """The form for a benchmark too large to broadcast; results depend on the text alone.
+
+    What is joined are hashes of whole windows: the ``window``-grams of items of that many
+    words, and the one gram of a shorter item. Texts of documents give those of their grams
+    that may be an item's: of the lengths that items have, beside a winnowed fingerprint
+    that an item may hold too, and inside a bitmap of the items' windows. Bitmaps are of
+    fixed size and never miss. Item names are counted together per window before the join,
+    so a window meets one row, in however many items it occurs; no text meets another.
+    """
+    context = docs.sparkSession.sparkContext
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     key = free_name(docs, "__digest")
     keyed = docs.withColumn(key, digest)
-    # One row per text: its digest, its winnowed fingerprints.
-    grams_of = lambda side, label: side.mapInArrow(
-        lambda batches: _fingerprint_rows(batches, window), f"key {label}, fp bigint"
-    )
-    doc_fp = grams_of(keyed.select(F.col(key).alias("key"), F.col(text).alias("text")), "string").distinct()
-    items = bench.withColumn("key", F.sha2(F.concat_ws(":", "name", "text"), 256)).filter("text is not null")
-    item_fp = grams_of(items.select("key", "text"), "string").distinct()
-    pairs = doc_fp.join(item_fp.withColumnRenamed("key", "item"), "fp").select("key", "item").distinct()
-    texts = keyed.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        pairs.select("key").distinct(), "key", "left_semi"
+    item_rows = bench.filter("text IS NOT NULL").mapInArrow(
+        lambda batches: _item_rows(batches, window), "name string, size int, kind int, h bigint"
     )
-    pieces = (
-        texts.dropDuplicates(["key"])
-        .join(pairs, "key")
-        .join(items.select(F.col("key").alias("item"), "name", F.col("text").alias("item_text")), "item")
-        .select("key", "text", "name", "item_text")
-        .mapInArrow(
-            lambda batches: _verified_rows(batches, window),
-            T.StructType([T.StructField("key", T.StringType()), T.StructField("name", T.StringType()), T.StructField("spans", SPANS)]),
-        )
-    )
-    per_text = pieces.groupBy("key").agg(
-        F.array_sort(F.collect_set("name")).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("runs"),
+    item_rows = stage(item_rows.distinct(), "item_windows")
+    sizes = sorted(r["size"] for r in item_rows.filter(F.col("kind") == _WINDOW_KIND).select("size").distinct().collect())
+    wanted = context.broadcast(bitmap_of(item_rows.filter(F.col("kind") == _WINDOW_KIND)))
+    prints = context.broadcast(bitmap_of(item_rows.filter(F.col("kind") == _PRINT_KIND)))
+    hits = keyed.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
+        lambda batches: _document_rows(batches, sizes, window, wanted.value, prints.value),
+        "key string, h bigint, begin bigint, end bigint",
     )
+    hits = stage(hits.distinct(), "document_windows")
+    # Windows of the same items are one set of names; only windows that some text has are collected.
+    windows = item_rows.filter(F.col("kind") == _WINDOW_KIND).select("h", "name")
+    held = windows.join(hits.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    held = stage(held.withColumn("names_key", F.sha2(F.to_json("names"), 256)), "window_names")
+    met = stage(hits.join(held.select("h", "names_key"), "h"), "hits")
+    names = met.select("key", "names_key").distinct().join(held.select("names_key", "names").dropDuplicates(["names_key"]), "names_key")
+    named = names.select("key", F.explode("names").alias("name")).groupBy("key").agg(F.array_sort(F.collect_set("name")).alias("items"))
+    runs = met.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("runs"))
+    per_text = named.join(runs, "key")
     joined = keyed.join(per_text.withColumnRenamed("key", key), key, "left")
     fields = [T.StructField(free_name(joined, f"__{n}"), t) for n, t in (("n", T.LongType()), ("h", T.LongType()), ("s", SPANS))]
     counted = add_columns(joined, fields, lambda batch: _counted(column(batch, text), column(batch, "runs")), drop)
@@ -246,40 +253,61 @@ def _by_shuffle(docs, bench, text, window, drop, name) -> DataFrame:
     return counted.select(*[c for c in docs.columns if c not in drop], F.struct(*parts).alias(free_name(docs, name)))
 
 
-def _fingerprint_rows(batches, window: int):
-    """Rows of ``(key, fingerprint)``; every short gram too, so that short items meet their texts."""
+_WINDOW_KIND, _PRINT_KIND = 0, 1
+
+
+def _windows(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of ``size`` words, tagged with their length, and the positions of their first words."""
+    values = grams(words, size)
+    fits = np.flatnonzero(gram_fits(first, len(values), size))
+    return mix(values[fits] + np.uint64(size)), fits
+
+
+def _item_rows(batches, window: int):
+    """Rows of ``(name, size, kind, h)``: windows and fingerprints of long items, the whole of short ones."""
     for batch in batches:
         for begin, end, data, starts in text_chunks(column(batch, "text")):
             words, first = word_hashes(data, starts)
+            texts, lengths = owner(first), np.diff(first)
             values, at = fingerprints(words, first, window)
+            parts = [(values, texts[at], window, _PRINT_KIND)]
+            for size in [*np.unique(lengths[(lengths > 0) & (lengths < window)]).tolist(), window]:
+                values, at = _windows(words, first, size)
+                own = lengths[texts[at]] == size if size < window else np.ones(len(at), bool)
+                parts.append((values[own], texts[at[own]], size, _WINDOW_KIND))
+            names = column(batch, "name").slice(begin, end - begin)
+            for values, rows, size, kind in parts:
+                if len(values):
+                    same = [pa.array(np.full(len(values), x, np.int32)) for x in (size, kind)]
+                    yield pa.RecordBatch.from_arrays(
+                        [names.take(pa.array(rows)), *same, pa.array(values.view(np.int64))], ["name", "size", "kind", "h"]
+                    )
+
+
+def _document_rows(batches, sizes: list[int], window: int, wanted: np.ndarray, prints: np.ndarray):
+    """Rows of ``(key, h, begin, end)``: windows of documents that may be an item's."""
+    for batch in batches:
+        for begin, end, data, starts in text_chunks(column(batch, "text")):
+            words, first = word_hashes(data, starts)
             texts = owner(first)
-            hashes, rows = [values], [texts[at]]
-            for size in range(1, window):
-                whole = grams(words, size)
-                fits = np.flatnonzero(gram_fits(first, len(whole), size))
-                hashes.append(whole[fits])
-                rows.append(texts[fits])
             keys = column(batch, "key").slice(begin, end - begin)
-            yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(hashes).view(np.int64))], ["key", "fp"]
-            )
-
-
-def _verified_rows(batches, window: int):
-    for batch in batches:
-        keys, names, spans = [], [], []
-        items = column(batch, "item_text")
-        for row, name in enumerate(column(batch, "name").to_pylist()):
-            index = Index.of([name], items.slice(row, 1), window)
-            found = found_in(index, column(batch, "text").slice(row, 1))
-            if found[2][0].as_py():
-                keys.append(column(batch, "key")[row].as_py())
-                names.append(name)
-                spans.append(found[3][0].as_py())
-        span_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(names, pa.string()), pa.array(spans, span_type)], ["key", "name", "spans"]
-        )
+            for size in sizes:
+                values, at = _windows(words, first, size)
+                may = contains(wanted, values)
+                if size == window:
+                    shared, places = fingerprints(words, first, window)
+                    near = np.zeros(len(words) + window, bool)
+                    for back in range(window - GRAM + 1):  # windows that hold the fingerprint
+                        hold = places[contains(prints, shared)] - back
+                        near[hold[hold >= 0]] = True
+                    may &= near[at]
+                values, at = values[may], at[may]
+                if len(at):
+                    left = at - first[texts[at]]
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(texts[at])), pa.array(values.view(np.int64)), pa.array(left), pa.array(left + size)],
+                        ["key", "h", "begin", "end"],
+                    )
 
 
 def _counted(texts: pa.Array, runs: pa.Array) -> list:

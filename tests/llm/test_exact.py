@@ -51,6 +51,25 @@ def test_contamination(spark, broadcast_bytes):
         assert sum(s["end"] - s["begin"] for s in got[i]["spans"]) == hit
 
 
+def test_large_benchmark_of_common_words(spark):
+    """Texts and items of the same words: what is joined are shared windows, not words."""
+    draw = random.Random(11)
+    common = [f"w{i}" for i in range(60)]
+    some = lambda n: [draw.choice(common) for _ in range(n)]
+    opening = some(10)  # of every third item, and of some texts
+    items = [(i, " ".join((opening if i % 3 == 0 else []) + some(40))) for i in range(300)] + [(900, "w1 w2 w3"), (901, "w7")]
+    texts = [" ".join(some(60) + (opening if i % 4 == 0 else []) + (items[i][1].split()[5:20] if i % 5 == 0 else [])) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = contamination.with_contamination(table(spark, texts), bench, broadcast_bytes=0)
+    assert "item_text" not in found._jdf.queryExecution().optimizedPlan().toString()  # texts do not meet items
+    got = {r["doc_id"]: r["found"] for r in found.collect()}
+    small = contamination.with_contamination(table(spark, texts), bench)
+    assert got == {r["doc_id"]: r["found"] for r in small.collect()}
+    for i in range(0, 300, 20):
+        n, hit, names = brute_contamination(texts[i], items)
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) == (n, hit, names)
+
+
 @pytest.mark.parametrize("cluster", [100_000, 2])
 def test_repeats(spark, cluster):
     texts = made_up(2, 60)
