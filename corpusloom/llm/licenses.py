@@ -11,7 +11,8 @@ Bands of one row, so a window of similarity s is missed with probability (1 - s)
 template that occurs whole in ``WINDOW + STRIDE - 1`` words or more holds a window of the
 text whole, for which s is 1: it is never missed. With one word in five changed, every
 window has s of 1/5 or more, most 1/2: two windows of 1/2 are both missed with probability
-(1/2)**(2 * BANDS), 1 in 4096 for six bands.
+(1/2)**(2 * BANDS), 1 in 4096 for six bands. Shorter templates hold no window for certain:
+they are looked for wherever one of their shingles is, in a stretch of their own length.
 
 Everything happens inside the row: no shuffle, and only rows with a retrieved window pay
 for verification. Templates are a stated list; their windows are literals, in blocks.
@@ -35,8 +36,9 @@ BANDS = 6
 THRESHOLD = 0.8
 BLOCK = 64  # templates per pass over the windows
 
-# The opening words of common license notices, as published with them.
-TEMPLATES = {
+# The opening words of common license notices, as published with them. They do
+# not tell licenses apart that differ later only, and do not meet a text without its opening.
+OPENINGS = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 header": "you may not use this file except in compliance with the License",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -48,6 +50,7 @@ TEMPLATES = {
     "MIT notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
     "MPL-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
 }
+TEMPLATES = OPENINGS | {"All rights reserved": "All rights reserved"}
 
 _NOT_WORD = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -107,6 +110,20 @@ def _share_of(hashes: Column, own: list[int]):
     return share
 
 
+def _is_short(own: list[int]) -> bool:
+    return len(own) + SHINGLE - 1 < WINDOW + STRIDE - 1
+
+
+def _best_stretch(hashes: Column, own: list[int]) -> Column:
+    """The largest share of a template's shingles in a stretch of its length; the best begins with one of them."""
+    values = sorted(set(own))
+    every = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)))
+    places = F.filter(every, lambda at: F.get(hashes, at).isin(values))
+    wanted = F.array(*[F.lit(v) for v in values])
+    held = lambda at: F.size(F.array_intersect(F.slice(hashes, at + 1, F.lit(len(own))), wanted))
+    return F.array_max(F.transform(places, lambda at: held(at) / F.lit(float(len(values)))))
+
+
 def with_licenses(
     docs: DataFrame,
     text: str = "text",
@@ -120,16 +137,19 @@ def with_licenses(
     out = docs.withColumn(s, shingles(words(F.col(text))))
     hashes = F.col(s)
     first = F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0)), F.lit(STRIDE))
-    found = []
-    for block in range(0, len(wanted), BLOCK):
-        some = wanted[block : block + BLOCK]
+    best = {title: _best_stretch(hashes, own) for title, own, _ in wanted if _is_short(own)}
+    long = [x for x in wanted if not _is_short(x[1])]
+    for block in range(0, len(long), BLOCK):
+        some = long[block : block + BLOCK]
         every = [[v for _, _, bands in some for v in bands[j]] for j in range(BANDS)]
         place = f"{hits}{block}"
         out = out.withColumn(place, F.filter(first, _agrees(hashes, every)))
         for title, own, bands in some:
             shares = F.transform(F.filter(F.col(place), _agrees(hashes, bands)), _share_of(hashes, own))
-            best = F.when(F.size(place) > 0, F.array_max(shares))
-            found.append(F.struct(F.lit(title).alias("name"), F.coalesce(best, F.lit(0.0)).alias("containment")))
+            best[title] = F.when(F.size(place) > 0, F.array_max(shares))
+    found = [
+        F.struct(F.lit(title).alias("name"), F.coalesce(best[title], F.lit(0.0)).alias("containment")) for title, _, _ in wanted
+    ]
     both = F.array(*found) if found else F.array().cast("array<struct<name:string,containment:double>>")
     answer = F.filter(both, lambda x: x["containment"] >= threshold)
     return out.select(*docs.columns, answer.alias(free_name(docs, name)))

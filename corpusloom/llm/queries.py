@@ -33,7 +33,7 @@ def op1_extraction(spark, folder):
 @query
 def op2_licenses(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text")
-    found = licenses.with_licenses(docs)
+    found = licenses.with_licenses(docs, templates=licenses.OPENINGS)  # what its SQL states
     return found.select(
         "doc_id",
         F.size("licenses").cast("bigint").alias("n_licenses"),

@@ -214,6 +214,16 @@ def test_licenses(spark):
     assert got == [["MIT"], [], ["Apache-2.0"], ["MIT notice"], [], [], []]
 
 
+def test_short_license_templates(spark):
+    notices = [f"{'w ' * k}All rights reserved. {'v ' * j}" for k in range(6) for j in range(6)]
+    others = ["all rights are reserved", "all rights of mine, rights reserved", "rights reserved all", "", None]
+    docs = table(spark, notices + others)
+    got = [[(x["name"], x["containment"]) for x in r["licenses"]] for r in licenses.with_licenses(docs).orderBy("doc_id").collect()]
+    assert got == [[("All rights reserved", 1.0)]] * 36 + [[]] * 5
+    many = licenses.with_licenses(docs, templates={f"t{i}": f"{'v ' * i}reserved v" for i in range(3)}).count()
+    assert many == 41
+
+
 def test_fixity(spark):
     ours = spark.range(9000).selectExpr("id AS record_id", "cast(concat('record ', id) AS binary) AS content")
     theirs = ours.filter("record_id <> 4097").unionByName(spark.createDataFrame([(20000, b"new")], "record_id bigint, content binary"))
