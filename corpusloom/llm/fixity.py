@@ -10,9 +10,10 @@ records.
 Every level is one aggregation of at most ``FANOUT`` rows a group; levels are written, so
 that the way down reads hashes and no records.
 
-Defined results: a record that a replica lacks has the hash of nothing and is ``missing``,
-one of other bytes is ``changed``, one that the manifest does not list is ``extra``; null
-bytes are empty bytes; records listed twice are hashed together, in order of their bytes;
+Defined results: a record that a replica lacks has a mark that is no hash and is ``missing``,
+one of other bytes, none included, is ``changed``, one that the manifest does not list is ``extra``; null
+bytes are empty bytes; records listed twice are counted by their hashes, and the sum of the
+hashes of those counts is hashed, whatever their order;
 records with a null id are no records of the manifest; two empty archives agree; other
 columns are not looked at.
 """
@@ -26,6 +27,7 @@ from corpusloom.session import stage
 
 FANOUT_BITS = 4
 FANOUT = 1 << FANOUT_BITS
+ABSENT = "absent"  # in place of a hash; no bytes have it
 FILE_BITS = 12  # a file has at most 4,096 places
 
 
@@ -61,10 +63,16 @@ def manifest(records: DataFrame, record_id: str = "record_id", size: str = "size
 def leaves(listed: DataFrame, records: DataFrame, record_id: str = "record_id", content: str = "content") -> DataFrame:
     """``node, begin, end, hash`` of every listed record, as this replica holds it."""
     own = records.select(F.col(record_id).alias("id"), F.sha2(F.coalesce(F.col(content), F.lit(b"")), 256).alias("hash"))
-    own = own.filter("id IS NOT NULL").groupBy("id").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
-    held = F.when(F.size("hashes") > 1, F.sha2(F.concat_ws("", "hashes"), 256)).otherwise(F.col("hashes")[0])
-    met = listed.join(own, F.col("record_id") == F.col("id"), "left")
-    return met.select("node", "begin", "end", F.coalesce(held, F.sha2(F.lit(b""), 256)).alias("hash"))
+    # Counted by their bytes first, then added up, so that no id's records meet in one row.
+    own = own.filter("id IS NOT NULL").groupBy("id", "hash").agg(F.count(F.lit(1)).alias("n"))
+    each = F.sha2(F.concat_ws(":", "hash", F.col("n").cast("string")), 256)
+    parts = [F.conv(F.substring(each, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    sums = [F.sum(part).alias(f"s{i}") for i, part in enumerate(parts)]
+    own = own.groupBy("id").agg(F.sum("n").alias("n"), F.min("hash").alias("hash"), *sums)
+    several = F.sha2(F.concat_ws(":", F.col("n").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)]), 256)
+    held = F.when(F.col("n") > 1, several).otherwise(F.col("hash"))
+    met = listed.join(own.select("id", held.alias("held")), F.col("record_id") == F.col("id"), "left")
+    return met.select("node", "begin", "end", F.coalesce("held", F.lit(ABSENT)).alias("hash"))
 
 
 def _parents(nodes: DataFrame) -> DataFrame:
@@ -112,11 +120,10 @@ def damaged(records: DataFrame, replica: DataFrame, record_id: str = "record_id"
     node = F.shiftleft(F.col("file") - first, FILE_BITS).bitwiseOR(F.col("place") - 1)
     listed = listed.withColumn("node", node)
     found = audit(tree(leaves(listed, records, record_id, content), "ours"), tree(leaves(listed, replica, record_id, content), "theirs"))
-    nothing = F.sha2(F.lit(b""), 256)
     wrong = (
         found.select("node", "other_hash")
         .join(listed, "node")
-        .select("record_id", "file", "begin", "end", F.when(F.col("other_hash") == nothing, "missing").otherwise("changed").alias("status"))
+        .select("record_id", "file", "begin", "end", F.when(F.col("other_hash") == ABSENT, "missing").otherwise("changed").alias("status"))
     )
     extra = (
         replica.select(F.col(record_id).alias("record_id"))

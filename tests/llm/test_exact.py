@@ -224,6 +224,17 @@ def test_short_license_templates(spark):
     assert many == 41
 
 
+def test_fixity_of_empty_and_repeated_records(spark):
+    ours = spark.createDataFrame([(1, b""), (2, b"abc"), (3, b"x"), (4, None)], "record_id bigint, content binary")
+    theirs = spark.createDataFrame([(2, b""), (3, b"x"), (4, b"")], "record_id bigint, content binary")
+    got = {r["record_id"]: r["status"] for r in fixity.damaged(ours, theirs).collect()}
+    assert got == {1: "missing", 2: "changed"}
+    hot = spark.range(5000).selectExpr("7 AS record_id", "cast(id % 3 AS string) AS content")
+    hot = hot.selectExpr("record_id", "cast(content AS binary) AS content")
+    assert fixity.damaged(hot, hot.repartition(5)).count() == 0
+    assert [r["status"] for r in fixity.damaged(hot, hot.limit(4999)).collect()] == ["changed"]
+
+
 def test_fixity(spark):
     ours = spark.range(9000).selectExpr("id AS record_id", "cast(concat('record ', id) AS binary) AS content")
     theirs = ours.filter("record_id <> 4097").unionByName(spark.createDataFrame([(20000, b"new")], "record_id bigint, content binary"))
