@@ -4,7 +4,7 @@ Every source has a target of words. Each document first gets the whole copies th
 certain, ``floor(target / source size)``; what then lacks is a fixed size of words that is
 filled with documents in Pareto order: the random odds ``u / (1 - u)`` over the odds of the
 document's inclusion probability, smallest first. The probability is the source's rest over
-its size, so it differs between sources; a weight column makes it differ inside one too.
+its size, so it differs between sources only, and inside one the order is that of ``u``.
 The order is cut where the running size comes nearest the rest, so a source misses its
 target by at most half of one document. ``u`` is a hash of seed, id and text: reruns agree,
 and no partitioning changes a choice.
