@@ -5,7 +5,7 @@ frequency lies in a band: neither the words of every text nor the rare ones that
 makes. From it, ``FAMILIES`` series of random subsets are drawn; in a series each subset
 lies in the one before and has ``2 ** -0.25`` of its terms. A text's signature in a series
 is the hash of its sorted terms in the smallest subset that it touches, so that texts of any
-length have a few terms in it, and an edit changes only the signatures that its terms are
+length have a term or two in it (nearly MinHash, not I-Match), and an edit changes only the signatures that its terms are
 in. The fingerprint is the list of signatures; the likeness of two fingerprints is the
 share of series in which they agree.
 
