@@ -204,3 +204,107 @@ SELECT doc_id, strlen(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, c
        sha256(unhex(y)) AS kept_sha256
 FROM d JOIN left_over USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
+
+# Rows after damage with their first fault; then, row by row, the cheapest edits that lead to each
+# state of the pattern (0 nothing, 1 system, 2 user, 3 assistant), of equal cost the least audit.
+SQL["op11_repair"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(n))
+), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), luck AS (
+  SELECT c.*, xor(4294967295::BIGINT, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS luck
+  FROM c, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE luck WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE luck WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM luck, range(2) AS r(copy) WHERE luck <> 0 AND (copy = 0 OR luck = 3)
+), numbered AS (
+  SELECT *, row_number() OVER w AS i, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER w AS before
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))
+), rows AS (
+  SELECT *, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS left_over,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM numbered
+), marked AS (
+  SELECT *, CASE WHEN left_over = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN right(left_over, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault
+  FROM rows
+), inserts(f, t, n, cost, audit, lines) AS (VALUES
+  (0, 0, 0, 0, '', ''), (1, 1, 0, 0, '', ''), (2, 2, 0, 0, '', ''), (3, 3, 0, 0, '', ''),
+  (0, 2, 1, 3, 'I', E'\nuser:'), (1, 2, 1, 3, 'I', E'\nuser:'), (2, 3, 1, 3, 'I', E'\nassistant:'), (3, 2, 1, 3, 'I', E'\nuser:'),
+  (0, 3, 2, 6, 'II', E'\nuser:\nassistant:'), (1, 3, 2, 6, 'II', E'\nuser:\nassistant:'),
+  (2, 2, 2, 6, 'II', E'\nassistant:\nuser:'), (3, 3, 2, 6, 'II', E'\nuser:\nassistant:')
+), takes(f, initial, t, op) AS (VALUES
+  (0, 's', 1, 'K'), (0, 'u', 2, 'K'), (1, 'u', 2, 'K'), (2, 'a', 3, 'K'), (3, 'u', 2, 'K'),
+  (0, NULL, 2, 'R'), (1, NULL, 2, 'R'), (2, NULL, 3, 'R'), (3, NULL, 2, 'R'),
+  (0, NULL, 0, 'D'), (1, NULL, 1, 'D'), (2, NULL, 2, 'D'), (3, NULL, 3, 'D')
+), best(conv_id, i, state, b) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': '', 'lines': ''} FROM marked
+  UNION ALL
+  SELECT best.conv_id, m.i, takes.t, min({
+      'cost': b.cost + inserts.cost + CASE op WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN fault = 't' AND op <> 'D' THEN 3 ELSE 0 END,
+      'audit': b.audit || inserts.audit || op,
+      'lines': b.lines || inserts.lines || CASE op WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+        ELSE chr(10) || CASE takes.t WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || text END})
+  FROM best JOIN marked AS m ON m.conv_id IS NOT DISTINCT FROM best.conv_id AND m.i = best.i + 1
+    JOIN inserts ON inserts.f = best.state
+    JOIN takes ON takes.f = inserts.t AND (op <> 'K' OR takes.initial = m.initial) AND (op = 'D' OR fault NOT IN ('b', 'd'))
+  GROUP BY best.conv_id, m.i, takes.t
+), stats AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id
+), done AS (
+  SELECT best.conv_id, min({'cost': b.cost + inserts.cost, 'audit': b.audit || inserts.audit, 'lines': b.lines || inserts.lines}) AS b
+  FROM best JOIN stats ON stats.conv_id IS NOT DISTINCT FROM best.conv_id AND stats.n = best.i
+    JOIN inserts ON inserts.f = best.state AND inserts.t IN (0, 3)
+  GROUP BY best.conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+  coalesce(b.audit, '') AS audit, sha256(coalesce(substr(b.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS e
+  LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+SQL["op12_negatives"] = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+SQL["op13_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), m AS (  -- a backslash for each backslash and each control string
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g')) + len(regexp_extract_all(text, '</?s>|\[/?(INST|SYS|ROLE)\]|\[(BOT|TEXT)\]')) AS n,
+    length(role) + length(regexp_replace(role, '[^\\]', '', 'g')) + len(regexp_extract_all(role, '</?s>|\[/?(INST|SYS|ROLE)\]|\[(BOT|TEXT)\]')) AS r
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE r + 19 END)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
