@@ -2,7 +2,7 @@
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else, in the
 same text or another. Strings of that length are the windows; each has an anchor, the least
-hash of its grams of ``GRAM`` bytes (the last such), so equal windows have equal anchors at
+hash of its grams (16 bytes in 25 of the length; the last such), so equal windows have equal anchors at
 the same place, and neighbouring windows with one anchor make a stretch.
 
 1. Anchors are counted. Those seen once end it for their windows. A bitmap of fixed size of
@@ -11,7 +11,7 @@ the same place, and neighbouring windows with one anchor make a stretch.
    that occurs twice is repeated.
 3. Anchors with several different stretches go into a sparse suffix array: the suffixes
    that start at them, up to the end of the stretch. Tasks sort them into front-coded runs,
-   cut at splitters; ranges of runs are exchanged and merged by loser trees that use the
+   cut at splitters (by their first eight bytes, ties by anchor); ranges of runs are exchanged and merged by loser trees that use the
    LCPs they know. Along the merged array, windows at one distance from their anchors
    are equal if the LCPs in between reach far enough and the bytes before the anchors
    agree.
@@ -42,18 +42,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.arrow import add_columns, column, free_name, text_bytes, text_chunks
-from corpusloom.llm.bitmap import bitmap_of, contains
+from corpusloom.llm.bitmap import BITS, bitmap_of, contains
 from corpusloom.llm.suffixes import decoded, front_coded, merged
 from corpusloom.llm.words import mix, powers, sliding, span_hashes
 from corpusloom.session import stage
 
 LENGTH = 400
-GRAM = 256
 RUN_BYTES = 24_000_000  # of records that a task sorts at a time
 RANGE_BYTES = 16_000_000  # of the suffix array at most, about, per range
 CHUNK = 1 << 18  # bytes of text whose windows are hashed at a time
 CLUSTER = 100_000
 
+_EVEN = 64 - BITS
 _PLACE_BITS = np.uint64(31)  # a text has fewer than 2**31 bytes
 _RUN = "part int, lcp binary, tail binary, tails binary, left binary, lefts binary, hashes binary"
 
@@ -91,12 +91,21 @@ def stretches(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> t
     return whole[begin], whole[last], anchors[begin], grams[anchors[begin]]
 
 
+def _even(h: np.ndarray) -> np.ndarray:
+    """Anchors are least hashes, small ones: their even last bits lead in the bitmaps."""
+    return h << np.uint64(_EVEN)
+
+
+def _bitmap(anchors: DataFrame) -> np.ndarray:
+    return bitmap_of(anchors.select(F.shiftleft("h", _EVEN).alias("h")))
+
+
 def _stretches_of(batch: pa.RecordBatch, length: int, gram: int, among: np.ndarray | None = None):
     """Chunks of a batch with the stretches of anchors in the bitmap ``among`` (all, if None)."""
     for begin, _, data, starts in text_chunks(column(batch, "text"), CHUNK):
         first, last, anchor, h = stretches(data, starts, length, gram)
         if among is not None:
-            keep = contains(among, h)
+            keep = contains(among, _even(h))
             first, last, anchor, h = first[keep], last[keep], anchor[keep], h[keep]
         rows = np.searchsorted(starts, first, "right") - 1
         yield data, begin + rows, first - starts[rows], first, last, anchor, h
@@ -133,6 +142,16 @@ def _place_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, among
             )
 
 
+def parts_of(leads: np.ndarray, anchors: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """The range of each suffix: by how it begins, and among equal splitters by its anchor.
+
+    Suffixes of one anchor stay together, which is what equal windows need; a beginning that very
+    many suffixes share is spread over as many ranges as it fills.
+    """
+    low, high = (np.searchsorted(splitters, leads, side) for side in ("left", "right"))
+    return low + (mix(anchors) % (high - low + 1).astype(np.uint64)).astype(np.int64)
+
+
 def _sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, mixed, dense, splitters: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Front-coded sorted runs of suffixes, one row per range of the splitters."""
     names = ["part", "lcp", "tail", "tails", "left", "lefts", "hashes"]
@@ -142,7 +161,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, mixe
     def run() -> pa.RecordBatch:
         records = list(held.values())
         leads = np.array([int.from_bytes(r[0][:8], "big") - (1 << 63) for r in records], np.int64)
-        parts = np.searchsorted(splitters, leads, "right")
+        parts = parts_of(leads, np.array([r[2] for r in records], np.uint64), splitters)
         rows = []
         for part in np.unique(parts).tolist():
             coded = front_coded([records[i] for i in np.flatnonzero(parts == part).tolist()])
@@ -153,7 +172,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, mixe
     for batch in batches:
         for data, _, _, first, last, anchor, h in _stretches_of(batch, length, gram, mixed.value):
             if dense.value is not None:
-                keep = ~contains(dense.value, h)
+                keep = ~contains(dense.value, _even(h))
                 first, last, anchor, h = first[keep], last[keep], anchor[keep], h[keep]
             s = span_hashes(data, first, last + length)
             raw = data.tobytes()
@@ -204,10 +223,13 @@ def _equal_windows(block: list, lcps: np.ndarray, length: int) -> np.ndarray:
         has = np.flatnonzero((lefts >= d) & (reach >= length - d))
         if len(has) < 2:
             continue
-        segment = np.cumsum(lcps < length - d).astype(np.uint64)
-        key = mix(before[has] + mix(segment[has]))
-        _, place, count = np.unique(key, return_inverse=True, return_counts=True)
-        out[has, d] = count[place] > 1
+        segment = np.cumsum(lcps < length - d)[has]
+        order = np.lexsort((before[has], segment))
+        same = (segment[order[1:]] == segment[order[:-1]]) & (before[has][order[1:]] == before[has][order[:-1]])
+        twice = np.zeros(len(has), bool)
+        twice[order[1:]] |= same
+        twice[order[:-1]] |= same
+        out[has, d] = twice
     return out
 
 
@@ -260,7 +282,7 @@ def _spans(docs: DataFrame, length: int, gram: int, cluster: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("text").filter(F.octet_length("text") >= length)
     anchors = texts.mapInArrow(lambda b: _anchor_rows(b, length, gram), "h bigint, n bigint")
-    repeated = share(bitmap_of(anchors.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")))
+    repeated = share(_bitmap(anchors.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")))
     places = stage(
         docs.filter(F.octet_length("text") >= length).mapInArrow(
             lambda b: _place_rows(b, length, gram, repeated),
@@ -278,13 +300,13 @@ def _spans(docs: DataFrame, length: int, gram: int, cluster: int) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("begin"), F.lit(length).cast("bigint").alias("end")))
     verdicts = counts.filter("n > 1").select("h", "s", whole.cast(runs_type).alias("runs"))
     if n:
-        mixed = share(bitmap_of(several.select("h")))
-        dense = share(bitmap_of(several.filter(F.col("kinds") > cluster).select("h")) if n_dense else None)
+        mixed = share(_bitmap(several))
+        dense = share(_bitmap(several.filter(F.col("kinds") > cluster)) if n_dense else None)
         ranges = min(4096, max(1, n * (length + length - gram) // RANGE_BYTES + 1))
         cuts = np.zeros(0, np.int64)
         if ranges > 1:
             points = [i / ranges for i in range(1, ranges)]
-            cuts = np.unique(np.array(several.agg(F.percentile_approx("lead", points, 10_000)).first()[0], np.int64))
+            cuts = np.array(several.agg(F.percentile_approx("lead", points, 10_000)).first()[0], np.int64)
         runs = texts.mapInArrow(lambda b: _sorted_runs(b, length, gram, mixed, dense, cuts), _RUN)
         judged = runs.groupBy("part").applyInArrow(
             lambda table: _judged(table, length, gram), f"h bigint, s bigint, runs {runs_type}"
@@ -335,7 +357,7 @@ def with_removed(
     doc_id: str = "doc_id",
     text: str = "text",
     length: int = LENGTH,
-    gram: int = GRAM,
+    gram: int | None = None,
     cluster: int = CLUSTER,
     drop: tuple[str, ...] = (),
     name: str = "removed",
@@ -343,8 +365,10 @@ def with_removed(
 ) -> DataFrame:
     """``docs`` and a struct column: n_bytes, spans removed (in bytes), and the bytes kept.
 
-    ``as_text`` gives those as text, without what is left of characters cut in two.
+    ``as_text`` gives those as text, without what is left of characters cut in two. ``gram`` is the
+    size of an anchor, by default 16 bytes of 25 of the length.
     """
+    gram = gram or max(8, length * 16 // 25)
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("text_key"))
     spans = _spans(narrow, length, gram, cluster)
