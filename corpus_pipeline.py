@@ -6,7 +6,7 @@ All but the last return the columns of ``documents``.
 
 1. toxicity: documents that score 0.5 or more go; learned from ``labels``.
 2. near_duplicates: one document of each class of n-gram Jaccard 0.8 or more stays.
-3. repeats: passages of 400 bytes that occur twice go from the texts.
+3. repeats: passages of ``PASSAGE`` bytes that occur twice go from the texts.
 4. contamination: documents that share ten words in a row with ``benchmark`` go.
 5. mixing: what is left is mixed by source weights; ``copies`` says how often a row is taken.
 
@@ -23,6 +23,10 @@ from corpusloom.llm.language import fold_of
 from corpusloom.session import stage
 
 
+#: Fifty words of the shortest kind that texts here are made of; a shorter passage is a phrase.
+PASSAGE = 250
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(docs, labels.filter(fold_of(F.col("doc_id"), 5) != 0))
@@ -34,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(docs)
+    return repeats.without_repeats(docs, length=PASSAGE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
