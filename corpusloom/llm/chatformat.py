@@ -168,6 +168,15 @@ def with_turns(records: DataFrame, record: str = "record", layouts: tuple[Layout
     return out.withColumn(turns, made).drop(parsed)
 
 
+def turn_rows(found: DataFrame, keep: list[str], turns: str = "turns") -> DataFrame:
+    """One row per turn: ``keep, role, text``; records without turns have none.
+
+    The outer form of the generator, as for the inner one the optimiser adds a filter that
+    works out all turns again, outside generated code.
+    """
+    return found.select(*keep, F.inline_outer(turns)).filter(F.col("role").isNotNull())
+
+
 def layout_report(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``shape, layout, n_records``: what layouts there are, and which of them nothing is known about."""
     only = records.select(F.col(record).alias("record"))

@@ -213,7 +213,7 @@ def op13_formatting(spark, folder):
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), injected.alias("text")
     )
     records = in_many_layouts(turns.unionByName(said))
-    canonical = chatformat.with_turns(records).select("conv_id", "turn", F.inline("turns"))
+    canonical = chatformat.turn_rows(chatformat.with_turns(records), ["conv_id", "turn"])
     template = chatformat.Template()
     pieces = chatformat.formatted(canonical, template)
     pieces = pieces.select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("tie"), "piece.*")

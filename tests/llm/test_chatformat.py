@@ -42,6 +42,8 @@ def test_layouts(spark):
     for i, (_, layout, turns) in enumerate(RECORDS):
         assert got[i] == (layout, turns if layout is None or turns else []), RECORDS[i]
     assert all(got[i] == (None, None) for i in range(100, 105))
+    flat = [(r["layout"], r["role"], r["text"]) for r in chatformat.turn_rows(out, ["layout"]).collect()]
+    assert sorted(flat) == sorted((i, *t) for i, (_, _, turns) in enumerate(RECORDS) for t in turns or [])
     report = {(r["shape"], r["layout"]): r["n_records"] for r in chatformat.layout_report(df).collect()}
     assert report["OBJECT<completion, prompt>", "prompt_completion"] == 1
     assert report["OBJECT<completion: OBJECT<text>, prompt>", None] == 1 and report[None, None] == 3
