@@ -2,8 +2,7 @@
 
 While learning, a piece is a string with one character per token, where token ``i`` is
 spelled by code point ``i`` (stepping over the surrogates). A pair is then a two-character
-substring and a merge a plain string replacement, so each round is one aggregation
-built from Spark's own string functions.
+substring, counted by Spark's own string functions, and a merge a plain string replacement.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, byte_rows, coun
 from corpusloom.session import stage, task_count
 
 SURROGATES = (0xD800, 0xE000)
-MERGES_PER_PLAN = 64  # replacements chained before the table is written again
+LOOK_AHEAD = 2_048  # pairs of a round whose merges are looked through at once
+SEGMENTS = 200_000  # different stretches of such pairs on the driver at most
 SHORT_PIECE = 48  # bytes; longer pieces are merged with a queue
 MEMO_PIECES = 500_000  # pieces remembered by one Python worker
 
@@ -53,66 +53,147 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def independent_prefix(ranked: list[tuple[str, int]], room: int) -> list[str]:
-    """The pairs that one-at-a-time learning would also take next, in order.
+def segments_of(word: str, pairs: set[str]) -> Iterator[str]:
+    """The longest stretches of a word in which every two neighbours are one of ``pairs``."""
+    begin = 0
+    for i in range(1, len(word) + 1):
+        if i == len(word) or word[i - 1 : i + 1] not in pairs:
+            if i - begin > 1:
+                yield word[begin:i]
+            begin = i
 
-    A merge of (a, b) lowers only pairs that touch it (x, a) and (b, y), and the pairs it
-    creates occur at most as often as those. So walking down the ranking is exact until
-    a touched pair is met; pairs that tie with that one must wait for the next round.
+
+def _segment_counts(words: DataFrame, pairs: list[str]) -> DataFrame:
+    """``(segment, n)``; the parts of words that merges of ``pairs`` can change."""
+    known = set(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, int] = {}
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for segment in segments_of(word, known):
+                    found[segment] = found.get(segment, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["segment", "n"])
+
+    counted = words.select("word", F.col("n").cast("bigint").alias("n")).mapInArrow(run, "segment string, n bigint")
+    return counted.groupBy("segment").agg(F.sum("n").alias("n"))
+
+
+def continued_merges(segments: list[tuple[list[int], int]], limit: int, room: int, next_id: int) -> list[tuple[int, int]]:
+    """One-at-a-time merges of counted token sequences, as long as the best pair occurs more than ``limit`` times.
+
+    The first merge is taken in any case. An index from pairs to the sequences that hold them gives
+    each merge its few sequences, and the counts change by what changes there.
     """
-    taken: list[str] = []
-    counts: list[int] = []
-    limit = None
-    for at, (pair, n) in enumerate(ranked):
-        touched = any(pair[0] == t[1] or pair[1] == t[0] for t in taken)
-        if touched:
-            limit = n
+    counts: dict[tuple[int, int], int] = {}
+    holders: dict[tuple[int, int], set[int]] = {}
+    for at, (ids, n) in enumerate(segments):
+        for pair in zip(ids, ids[1:]):
+            counts[pair] = counts.get(pair, 0) + n
+            holders.setdefault(pair, set()).add(at)
+    queue = [(-n, *pair) for pair, n in counts.items()]
+    heapq.heapify(queue)
+    taken: list[tuple[int, int]] = []
+    while queue and len(taken) < room:
+        n, left, right = heapq.heappop(queue)
+        pair = (left, right)
+        if counts.get(pair, 0) != -n:
+            continue  # an older count
+        if taken and -n <= limit:
             break
         taken.append(pair)
-        counts.append(n)
-        if pair[0] == pair[1]:  # a doubled token also makes pairs with itself
-            limit = ranked[at + 1][1] if at + 1 < len(ranked) else 0
-            limit = max(limit, n // 2)
+        changed: dict[tuple[int, int], int] = {}
+        for at in holders.pop(pair):
+            ids, times = segments[at]
+            for old in zip(ids, ids[1:]):
+                changed[old] = changed.get(old, 0) - times
+            ids = _joined(ids, left, right, next_id)
+            segments[at] = ids, times
+            for new in zip(ids, ids[1:]):
+                changed[new] = changed.get(new, 0) + times
+                if next_id in new:
+                    holders.setdefault(new, set()).add(at)
+        for other, by in changed.items():
+            if by:
+                counts[other] = counts.get(other, 0) + by
+                if counts[other] > 0:
+                    heapq.heappush(queue, (-counts[other], *other))
+        counts.pop(pair, None)
+        next_id += 1
+        if -n <= limit:
             break
-    else:
-        if taken:
-            limit = counts[-1]  # unseen pairs may tie with the last one looked at
-    kept = [p for p, n in zip(taken, counts) if n > limit]
-    return (kept or taken[:1])[:room]
+    return taken
+
+
+def _joined(ids: list[int], left: int, right: int, new: int) -> list[int]:
+    out, i = [], 0
+    while i < len(ids):
+        if i + 1 < len(ids) and ids[i] == left and ids[i + 1] == right:
+            out.append(new)
+            i += 2
+        else:
+            out.append(ids[i])
+            i += 1
+    return out
+
+
+def _with_merges(words: DataFrame, merges: list[tuple[int, int]], next_id: int) -> DataFrame:
+    """The words after the merges, in order."""
+    steps = [(spelling(a) + spelling(b), spelling(next_id + i)) for i, (a, b) in enumerate(merges)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for word in batch.column(0).to_pylist():
+                for pair, token in steps:
+                    if len(word) < 2:
+                        break
+                    word = word.replace(pair, token)
+                out.append(word)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(1)], ["word", "n"])
+
+    return words.select("word", "n").mapInArrow(run, words.select("word", "n").schema)
 
 
 def learn_merges(
-    df: DataFrame, n_merges: int, text: str = "text", pattern: str = SUBWORD_SPLIT, look_ahead: int = 512
+    df: DataFrame, n_merges: int, text: str = "text", pattern: str = SUBWORD_SPLIT, look_ahead: int = LOOK_AHEAD, most: int = SEGMENTS
 ) -> tuple[list[tuple[int, int]], DataFrame]:
     """Learn merges by pair frequency; ties go to the smaller (left, right) ids.
 
     Returns the merges in order (token ``256 + i`` is merge ``i``) and the word table with
-    each word's encoding. Only the ``look_ahead`` best pairs of a round reach the driver.
+    each word's encoding.
+
+    A round counts all pairs and looks at the ``look_ahead`` best. Merges among them only
+    touch stretches of such pairs: a pair that a merge creates occurs no more often than the
+    pair at its seam, so any pair off the list, or made from one, occurs at most as often as the
+    best one left off. The counted stretches, equal ones together, are merged on the driver as
+    long as the best pair beats that, which is exactly what one-at-a-time learning would do; then
+    all words are rewritten once. If there are more than ``most`` stretches, fewer
+    pairs are looked at; one pair has few, so every size works, with more rounds.
     """
-    words = count_pieces(df, text, pattern).select(latin(F.col("piece")).alias("word"), "n")
+    words = count_pieces(df, text, pattern).select(latin(F.col("piece")).alias("word"), F.col("n").cast("bigint").alias("n"))
     # Spread evenly: the work per round is in the processor, not in the few bytes.
     words = stage(words.repartition(task_count(df.sparkSession)), "bpe-words")
     merges: list[tuple[int, int]] = []
-    pending = 0
+    ahead = look_ahead
     while len(merges) < n_merges:
-        best = (
-            _pair_counts(words)
-            .orderBy(F.desc("n"), F.substring("pair", 1, 1), F.substring("pair", 2, 1))
-            .limit(look_ahead)
-            .collect()
-        )
-        ranked = [(r["pair"], r["n"]) for r in best]
-        chosen = independent_prefix(ranked, n_merges - len(merges))
-        if not chosen:
+        order = (F.desc("n"), F.substring("pair", 1, 1), F.substring("pair", 2, 1))
+        best = [(r["pair"], r["n"]) for r in _pair_counts(words).orderBy(*order).limit(look_ahead + 1).collect()]
+        if not best:
             break
-        word = F.col("word")
-        for pair in chosen:
-            merges.append((token_of(pair[0]), token_of(pair[1])))
-            word = F.replace(word, F.lit(pair), F.lit(spelling(N_BYTES + len(merges) - 1)))
-        words = words.withColumn("word", word)
-        pending += len(chosen)
-        if pending >= MERGES_PER_PLAN:
-            words, pending = stage(words, "bpe-words"), 0
+        while True:
+            pairs = [pair for pair, _ in best[:ahead]]
+            found = _segment_counts(words, pairs).limit(most + 1).collect()
+            if len(found) <= most or ahead == 1:
+                break
+            ahead = max(1, ahead // 4)
+        limit = best[ahead][1] if ahead < len(best) else 0
+        segments = [([token_of(c) for c in r["segment"]], r["n"]) for r in found]
+        next_id = N_BYTES + len(merges)
+        taken = continued_merges(segments, limit, n_merges - len(merges), next_id)
+        words = stage(_with_merges(words, taken, next_id), "bpe-words")
+        merges += taken
+        ahead = min(look_ahead, ahead * 2)
     return merges, words
 
 

@@ -130,3 +130,25 @@ def sample_windows(
     total = one.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).scalar()
     offsets = draw_offsets(stream.sparkSession, total, draws, seq_length, seed, rank)
     return shifted(read_windows(one, offsets, seq_length, chunk)).drop("tokens")
+
+
+def consecutive_windows(stream: DataFrame, split: str, seq_length: int) -> DataFrame:
+    """The whole split as windows ``(window_id, x, y)`` one after the other; the last may be shorter.
+
+    Neighbours share one token, so that each token but the first is a target once. A chunk hands
+    each window its part of it; only those parts are shuffled.
+    """
+    end = F.col("start_pos") + F.size("tokens")
+    # A window's first token is also the last target of the one before.
+    first = F.floor(F.greatest(F.col("start_pos") - 1, F.lit(0)) / seq_length)
+    cut = (
+        stream.filter(F.col("split") == split)
+        .filter(F.size("tokens") > 0)
+        .select("start_pos", "tokens", end.alias("end"), F.explode(F.sequence(first, F.floor((end - 1) / seq_length))).alias("window_id"))
+    )
+    at = F.greatest(F.col("window_id") * seq_length, F.col("start_pos"))
+    upto = F.least(F.col("window_id") * seq_length + seq_length + 1, F.col("end"))
+    part = F.slice("tokens", (at - F.col("start_pos") + 1).cast("int"), (upto - at).cast("int"))
+    whole = cut.filter(upto > at).groupBy("window_id").agg(F.collect_list(F.struct(at.alias("at"), part.alias("part"))).alias("_parts"))
+    tokens = whole.select("window_id", ints(in_order(F.col("_parts"), "part")).alias("tokens")).filter(F.size("tokens") > 1)
+    return shifted(tokens).drop("tokens")

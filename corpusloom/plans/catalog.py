@@ -26,7 +26,7 @@ from corpusloom.operators import tokenize as tk
 from corpusloom.operators import vocabulary as vc
 from corpusloom.plans import finetune, pretrain
 from corpusloom.plans import tables as tb
-from corpusloom.plans.tables import BATCH, CHUNK, LM_TOP, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE, rounded, written
+from corpusloom.plans.tables import BATCH, CHUNK, LEARNED_MERGES, LM_TOP, SEQ_LENGTH, VOCAB_SIZE, WORLD_SIZE, rounded, written
 from corpusloom.session import stage, stage_path
 from corpusloom.sources import corpus as src
 from corpusloom.sources import tables as files
@@ -174,6 +174,13 @@ def learned_merges(spark, folder):
     return vocab.table.select("token_id", F.hex("token").alias("token"), "is_special")
 
 
+@query
+def learned_vocabulary(spark, folder):
+    """A vocabulary of a thousand merges, with what each token stands for."""
+    vocab = bpe.learn_vocabulary(tb.documents(spark, folder), LEARNED_MERGES)
+    return vocab.table.select("token_id", F.hex("token").alias("token"), "is_special")
+
+
 @query
 def learned_tokens_decoded(spark, folder):
     """Encode with a learned byte-pair vocabulary and decode again: the texts come back."""
@@ -863,11 +870,10 @@ def token_scores(spark, folder):
 
 @query
 def held_out_loss(spark, folder):
-    """Loss and perplexity on windows of the validation stream, as many as documents."""
+    """Loss and perplexity over the whole validation stream, batch after batch."""
     chunks = tb.stream(spark, folder)
-    draws = tb.table(spark, folder, "documents").count()
-    windows = stage(pretrain.evaluation_windows(chunks, SEQ_LENGTH, draws, chunk=CHUNK), "windows")
-    result = pretrain.evaluate(_base_model(spark, folder, chunks), windows, max_batches=draws)
+    windows = stage(pretrain.whole_split_windows(chunks, SEQ_LENGTH), "windows")
+    result = pretrain.evaluate(_base_model(spark, folder, chunks), windows, max_batches=1 << 40)
     return result.select(rounded("loss"), "n_batches", rounded("perplexity", 3))
 
 

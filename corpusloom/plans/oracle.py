@@ -494,8 +494,8 @@ SQL["token_scores"] = build(
     f"""SELECT conv_id, user_turn, pos::INT AS pos, round({log_prob(VOCAB_SIZE + 4)}, 6) AS log_prob
         FROM (SELECT * FROM targets WHERE w3 <> -1) {LM_JOINS} """
 )
-WINDOW_TARGETS = """(SELECT window_id // 8 AS batch_id, CASE WHEN i = 1 THEN -1 ELSE x[i - 1] END AS w1, x[i] AS w2, y[i] AS w3
-    FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM windows) WHERE window_id // 8 < (SELECT count(*) // 8 FROM documents))"""
+WINDOW_TARGETS = f"""(SELECT p // {8 * SEQ_LENGTH} AS batch_id, CASE WHEN p % {SEQ_LENGTH} = 0 THEN -1 ELSE v[p] END AS w1, v[p + 1] AS w2, v[p + 2] AS w3
+    FROM (SELECT flatten(list(tokens ORDER BY start_pos)) AS v FROM chunks WHERE split = 'val'), range(len(v) - 1) r(p))"""
 SQL["held_out_loss"] = build(
     f"""SELECT round(avg(loss), 6) AS loss, count(*) AS n_batches, round(exp(least(avg(loss), 100)), 3) AS perplexity
         FROM (SELECT batch_id, avg(-{log_prob(VOCAB_SIZE)}) AS loss FROM {WINDOW_TARGETS} {LM_JOINS} GROUP BY batch_id)""",

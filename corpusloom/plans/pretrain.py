@@ -12,7 +12,7 @@ from corpusloom.operators.batches import first_batches
 from corpusloom.operators.language_model import NgramModel, batch_scores
 from corpusloom.operators.metrics import overall_loss, stage_counters
 from corpusloom.operators.shuffle import CORPUS_VAL_FRACTION, SHUFFLE_SEED, split_corpus
-from corpusloom.operators.stream import CHUNK_TOKENS, lay_out_stream, sample_windows
+from corpusloom.operators.stream import CHUNK_TOKENS, consecutive_windows, lay_out_stream, sample_windows
 from corpusloom.session import stage
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -60,3 +60,9 @@ def evaluation_windows(
     full = draws // EVALUATION_BATCH
     batch = F.floor(F.col("window_id") / EVALUATION_BATCH)
     return windows.withColumn("batch_id", batch).filter(F.col("batch_id") < full)
+
+
+def whole_split_windows(stream: DataFrame, seq_length: int, split: str = "val") -> DataFrame:
+    """Every target of a split once, in windows dealt into batches; the last of either may be short."""
+    windows = consecutive_windows(stream, split, seq_length)
+    return windows.withColumn("batch_id", F.floor(F.col("window_id") / EVALUATION_BATCH))

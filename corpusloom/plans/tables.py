@@ -12,6 +12,7 @@ from corpusloom.plans.pretrain import tokenized_corpus
 from corpusloom.session import spread, stage
 
 VOCAB_SIZE = 4096
+LEARNED_MERGES = 1000
 CHUNK = 4096
 SEQ_LENGTH = 512
 WORLD_SIZE = 3

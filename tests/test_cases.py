@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import measures
 from corpusloom.operators import batches, chat, decoding, examples, metrics, prepare, runs, shuffle, stream
+from corpusloom.sources.tables import STREAM_SCHEMA
 
 END, USER, CUE, EOS = 260, 258, 259, 256
 
@@ -218,3 +219,15 @@ def test_elapsed(spark, text, seconds):
 def test_styles():
     names = {"databricks-dolly-15k": "dolly", "alpaca-cleaned": "alpaca", "squad": "generic", "dolly-alpaca": "dolly"}
     assert {n: prepare.style_for(n) for n in names} == names
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 50])
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 6, 11])
+def test_consecutive_windows(spark, chunk, n):
+    """Each token but the first is a target once, whatever the chunks."""
+    ids = list(range(100, 100 + n))
+    rows = [("val", at // chunk, at, len(ids[at : at + chunk]), ids[at : at + chunk]) for at in range(0, n, chunk)] + [("train", 0, 0, 1, [7])]
+    out = stream.consecutive_windows(spark.createDataFrame(rows, STREAM_SCHEMA), "val", 5).collect()
+    assert sorted((r["window_id"], r["x"], r["y"]) for r in out) == [
+        (w, ids[w * 5 : min(w * 5 + 5, n - 1)], ids[w * 5 + 1 : w * 5 + 6]) for w in range((max(n - 1, 0) + 4) // 5)
+    ]

@@ -2,6 +2,7 @@
 
 import base64
 import json
+import random
 from collections import Counter
 
 import pytest
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from corpusloom.functions.text import SUBWORD_SPLIT, pieces
 from corpusloom.operators import bpe, tokenize, vocabulary
 
@@ -79,6 +81,23 @@ def test_learning_on_documents_equals_one_at_a_time(spark):
     assert merges == slow_merges([r["text"] for r in docs.collect()], 48)
 
 
+@pytest.mark.parametrize("look_ahead,most", [(1, 1), (3, 200_000), (40, 60), (5_000, 200_000)])
+def test_merges_do_not_depend_on_how_many_are_looked_at(spark, look_ahead, most):
+    draw = random.Random(look_ahead)
+    texts = ["".join(draw.choice(["a", "aa", "ab", "ba", "aba", " b", "c", "é", " "]) for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    merges, _ = bpe.learn_merges(table(spark, texts), 25, look_ahead=look_ahead, most=most)
+    assert merges == slow_merges(texts, 25)
+
+
+def test_segments_and_their_merges():
+    assert list(bpe.segments_of("abcabd", {"ab", "bc"})) == ["abc", "ab"]
+    assert list(bpe.segments_of("", {"ab"})) == [] == list(bpe.segments_of("a", {"ab"}))
+    assert bpe.continued_merges([([1, 1, 1], 5), ([1, 2], 4)], 0, 9, 300) == [(1, 1), (300, 1), (1, 2)]
+    assert bpe.continued_merges([([1, 1, 1], 5), ([1, 2], 4)], 7, 9, 300) == [(1, 1)]
+    assert bpe.continued_merges([([1, 2], 4), ([3, 4], 4)], 4, 9, 300) == [(1, 2)]
+
+
+
 def test_encoding_equals_tiktoken(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     vocab = bpe.learn_vocabulary(docs, 60)
@@ -138,3 +157,15 @@ def test_vocabulary_files(spark, tmp_path):
             vocabulary.read_vocab(spark, str(tmp_path / "ranks.txt"), "ranks", size)
     assert vocabulary.extend(vocab).special("end_turn") == vocab.size + 3
     assert SUBWORD_SPLIT == vocab.pattern
+
+
+def test_a_thousand_merges_on_a_small_table(spark, tmp_path):
+    """The registered query against learning one at a time."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("length(text) < 400").orderBy("doc_id").limit(25)
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    made = queries()["learned_vocabulary"](spark, str(tmp_path)).filter("token_id >= 256 AND NOT is_special").orderBy("token_id").collect()
+    merges = slow_merges([r["text"] for r in docs.collect()], 1000)
+    tokens = [bytes([b]) for b in range(256)]
+    for left, right in merges:
+        tokens.append(tokens[left] + tokens[right])
+    assert [bytes.fromhex(r["token"]) for r in made] == tokens[256:]
