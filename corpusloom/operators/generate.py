@@ -1,4 +1,10 @@
-"""Autoregressive generation for many sequences at once, one Spark job per token."""
+"""Autoregressive generation for many sequences at once.
+
+A model whose counts fit a stated bound goes to the tasks whole: sequences are then written to
+their full length in one pass over the prompts, without a shuffle (``operators/drawing``). A
+larger one is joined by context, one Spark job and one written table per token. Both draw
+the same tokens.
+"""
 
 from __future__ import annotations
 
@@ -21,9 +27,8 @@ from corpusloom.operators.decoding import (
     SAMPLE_TOKENS,
     SAMPLE_TOP_K,
     cumulative,
-    distribution,
-    sample_distribution,
 )
+from corpusloom.operators.drawing import MODEL_ROWS, Rule, drawn_in_one_pass
 from corpusloom.operators.language_model import START, NgramModel, candidates
 from corpusloom.operators.tokenize import detokenize
 from corpusloom.operators.vocabulary import Vocabulary
@@ -55,12 +60,13 @@ def generate(
     k: int,
     seed: int = 0,
     ids: str = "token_ids",
+    stops: tuple[int, ...] = (),
+    model_rows: int = MODEL_ROWS,
 ) -> DataFrame:
-    """Prompt plus exactly ``n_tokens`` new ones: ``key, token_ids, new_ids``.
+    """Prompt plus ``n_tokens`` new ones: ``key, token_ids, new_ids``.
 
-    Each step scores every distinct context once, draws per sequence, and writes the small
-    state (key, last two tokens, new tokens) as a table, so no lineage builds up. The
-    draw hashes (seed, key, step); it does not depend on partitioning or retries.
+    A sequence that draws one of ``stops`` ends there. The draw hashes (seed, key, step); it does
+    not depend on partitioning, retries, or on whether the model fits ``model_rows``.
     """
     model = model.stored()
     prompts = stage(prompts.select(key, ids), "prompts")
@@ -70,27 +76,45 @@ def generate(
         last_token(F.col(ids), 1).alias("w2"),
         ints(F.array()).alias("new_ids"),
     )
+    made = drawn_in_one_pass(state, model, key, n_tokens, choose, seed, stops, model_rows) if isinstance(choose, Rule) else None
+    if made is None:
+        made = _drawn_step_by_step(state, model, key, n_tokens, choose, k, seed, stops)
+    made = stage(made, "generated")
+    return prompts.join(made, key).select(key, F.concat(ids, "new_ids").alias("token_ids"), "new_ids")
+
+
+def _drawn_step_by_step(
+    state: DataFrame, model: NgramModel, key: str, n_tokens: int, choose: Chooser, k: int, seed: int, stops: tuple[int, ...]
+) -> DataFrame:
+    """Each step scores every distinct context once, draws per sequence, and writes the small
+    state (key, last two tokens, new tokens) as a table, so no lineage builds up.
+    """
+    ended = F.coalesce(F.element_at("new_ids", -1).isin(*stops), F.lit(False)) if stops else F.lit(False)
     for step in range(n_tokens):
         state = stage(state, "generated")
+        over = F.when(F.size("new_ids") > 0, ended).otherwise(F.lit(False))
+        going = state.filter(~over)
+        if stops and going.isEmpty():
+            break
         u = uniform(seed, F.col(key), step) * F.element_at("_kept", -1)["cum"]
         passing = F.filter("_kept", lambda c: c["cum"] > F.col("_u"))
         drawn = F.coalesce(F.get(passing, F.lit(0))["token_id"], F.element_at("_kept", -1)["token_id"])
-        state = (
-            state.join(_choices(model, state, choose, k), CONTEXT)
+        grown = (
+            going.join(_choices(model, going, choose, k), CONTEXT)
             .withColumn("_u", u)
             .withColumn("_next", drawn)
             .select(key, F.col("w2").alias("w1"), F.col("_next").alias("w2"), F.array_append("new_ids", F.col("_next")).alias("new_ids"))
         )
-    state = stage(state.select(key, "new_ids"), "generated")
-    return prompts.join(state, key).select(key, F.concat(ids, "new_ids").alias("token_ids"), "new_ids")
+        state = grown.unionByName(state.filter(over)) if stops else grown
+    return state.select(key, "new_ids")
 
 
-def nucleus_chooser(t: float = REPLY_TEMPERATURE, k: int = REPLY_TOP_K, p: float = REPLY_TOP_P) -> Chooser:
-    return lambda logits, seq: distribution(logits, seq, t, k, p)
+def nucleus_chooser(t: float = REPLY_TEMPERATURE, k: int = REPLY_TOP_K, p: float = REPLY_TOP_P) -> Rule:
+    return Rule(t, k, p)
 
 
-def sample_chooser(t: float = SAMPLE_TEMPERATURE, k: int = SAMPLE_TOP_K) -> Chooser:
-    return lambda logits, seq: sample_distribution(logits, seq, t, k)
+def sample_chooser(t: float = SAMPLE_TEMPERATURE, k: int = SAMPLE_TOP_K) -> Rule:
+    return Rule(t, k)
 
 
 def completions(
@@ -143,7 +167,8 @@ def chat_replies(
     """
     spoken = stage(encode(drop_blank(turns)), "turns")
     prompts = chat_prompt(trim_history(spoken, vocab, [key], seq_length, max_tokens), vocab, [key])
-    made = generate(prompts, model, key, max_tokens, nucleus_chooser(), REPLY_TOP_K, seed)
+    stops = (vocab.special("end_turn"), vocab.eos_id)
+    made = generate(prompts, model, key, max_tokens, nucleus_chooser(), REPLY_TOP_K, seed, stops=stops)
     cut = made.select(key, cut_reply(F.col("new_ids"), vocab).alias("token_ids"))
     texts = detokenize(cut, vocab, [key], "token_ids", "reply")
     return texts.withColumn("reply", strip(F.coalesce("reply", F.lit(""))))

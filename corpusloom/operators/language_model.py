@@ -205,7 +205,7 @@ def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> Da
     )
 
 
-def _likely_after(model: NgramModel, lasts: DataFrame, n: int) -> DataFrame:
+def likely_after(model: NgramModel, lasts: DataFrame, n: int) -> DataFrame:
     """``(w2, w3, p2)``: the tokens whose pair estimate reaches the ``n``-th largest after w2.
 
     Candidates are the seen followers and every token at least as common as the ``n``-th
@@ -238,7 +238,7 @@ def candidates(model: NgramModel, contexts: DataFrame, n: int) -> DataFrame:
     estimate after its last token. A token in neither is beaten by ``n`` others, since for
     it only the pair estimate counts, so top-k with all its ties is exact for k <= n.
     """
-    by_last = contexts.join(_likely_after(model, contexts.select("w2").distinct(), n), "w2")
+    by_last = contexts.join(likely_after(model, contexts.select("w2").distinct(), n), "w2")
     by_pair = (
         contexts.join(model.counts, ["w1", "w2"])
         .withColumnRenamed("n", "c3")

@@ -940,12 +940,38 @@ def training_samples(spark, folder):
 
 
 @query
-def chat_replies(spark, folder):
+def evaluation_completions(spark, folder):
+    """Completions at the length of an evaluation."""
+    vocab = tb.vocabulary(spark, folder)
+    encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
+    return gn.completions(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=dc.EVAL_TOKENS)
+
+
+@query
+def evaluation_samples(spark, folder):
+    """The samples of an evaluation while training, at their length."""
+    vocab = tb.vocabulary(spark, folder)
+    encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
+    return gn.training_samples(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=dc.SAMPLE_TOKENS)
+
+
+def _replied(spark, folder, max_tokens: int) -> DataFrame:
     """A reply to every conversation from the fine-tuned model, appended as its next turn."""
     vocab = tb.chat_vocabulary(spark, folder)
     base = lm.resize_vocab(_base_model(spark, folder), vocab.size)
     tuned = lm.finetune_lm(base, _sft_tensors(spark, folder, vocab), 4.0)
     turns = tb.conversations(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "turn", "role"])
-    replies = gn.chat_replies(turns, tuned, vocab, encode, SEQ_LENGTH * 2, max_tokens=6)
+    replies = gn.chat_replies(turns, tuned, vocab, encode, SEQ_LENGTH * 2, max_tokens=max_tokens)
     return gn.continued(turns, replies)
+
+
+@query
+def chat_replies(spark, folder):
+    return _replied(spark, folder, 6)
+
+
+@query
+def whole_chat_replies(spark, folder):
+    """Replies up to their stop token, or to the length of a bulk reply."""
+    return _replied(spark, folder, dc.REPLY_TOKENS)

@@ -130,6 +130,32 @@ def test_generation_equals_brute_force(spark, t, k, p):
     }
 
 
+@pytest.mark.parametrize("rule", [generate.nucleus_chooser(0.7, SIZE, 0.9), generate.nucleus_chooser(1.0, 3, 1.0), generate.sample_chooser(0.8, 4)])
+def test_one_pass_draws_what_the_joins_draw(spark, rule):
+    """The model in the tasks or joined step by step, with and without stop tokens."""
+    prompts = [(0, [1]), (1, [1, 2]), (2, [9, 9]), (3, [7]), (4, []), (5, [11]), (6, [5, 6])]
+    rows = spark.createDataFrame(prompts, "prompt_id int, token_ids array<int>")
+    for stops in ((), (3, 7)):
+        made = [
+            {r["prompt_id"]: r["new_ids"] for r in generate.generate(rows, fitted(spark), "prompt_id", 6, rule, rule.k, 5, stops=stops, model_rows=most).collect()}
+            for most in (1_000, 0)
+        ]
+        assert made[0] == made[1] and set(made[0]) == set(range(7))
+        for new in made[0].values():
+            ends = [i for i, w in enumerate(new) if w in stops]
+            assert len(new) == (ends[0] + 1 if ends else 6)
+
+
+def test_long_sequences_equal_brute_force(spark):
+    prompts = [(key, [key % 9]) for key in range(12)]
+    rows = spark.createDataFrame(prompts, "prompt_id int, token_ids array<int>")
+    made = generate.generate(rows, fitted(spark), "prompt_id", 120, generate.nucleus_chooser(0.9, 6, 0.8), 6, seed=1)
+    slow = Slow(IDS)
+    assert {r["prompt_id"]: r["token_ids"] for r in made.collect()} == {
+        key: slow_generate(slow, key, ids, 120, 0.9, 6, 0.8, 1) for key, ids in prompts
+    }
+
+
 def test_saved_model_goes_on(spark, tmp_path):
     model = lm.resize_vocab(fitted(spark), SIZE + 4)
     lm.save_model(model, str(tmp_path / "v1"))
