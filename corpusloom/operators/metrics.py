@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import IGNORED
 from corpusloom.functions.measures import tokens_per_step
 from corpusloom.operators.ordered import running
+from corpusloom.session import stage
 
 INFINITY = float("inf")
 NOT_A_NUMBER = float("nan")
@@ -23,13 +24,27 @@ def stage_counters(df: DataFrame, group: list[str], ids: str = "token_ids") -> D
     )
 
 
-def write_counters(df: DataFrame, kept: Column, group: list[str], size: Column) -> DataFrame:
-    """Rows and tokens written, rows skipped, per group."""
-    return df.groupBy(*group).agg(
+def _written(kept: Column, size: Column) -> list[Column]:
+    return [
         F.count_if(kept).alias("written"),
         F.count_if(~kept).alias("skipped"),
         F.coalesce(F.sum(F.when(kept, size)), F.lit(0)).cast("bigint").alias("tokens_written"),
-    )
+    ]
+
+
+def write_counters(df: DataFrame, kept: Column, group: list[str], size: Column) -> DataFrame:
+    """Rows and tokens written, rows skipped, per group."""
+    return df.groupBy(*group).agg(*_written(kept, size))
+
+
+def stage_with_counters(df: DataFrame, kept: Column, size: Column, name: str, path: str | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """The rows kept, as a written table, and the same counters, observed while it was written.
+
+    There is no second pass: the tasks that write the rows count them on the way.
+    """
+    seen = Observation()
+    table = stage(df.observe(seen, *_written(kept, size)).filter(kept), name, path)
+    return table, seen.get
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, shares: dict[str, float]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import without_first, without_last
@@ -351,9 +351,8 @@ def dataset_styles(spark, folder):
     return rows.groupBy("style").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query
-def preparation_counts(spark, folder):
-    """Written and skipped rows of a preparation, incomplete and over-long ones apart."""
+def _prepared(spark, folder) -> tuple[DataFrame, Column]:
+    """Instruction rows with their encoded length (null: incomplete), and which are kept."""
     vocab = tb.chat_vocabulary(spark, folder)
     rows = tb.pairs(spark, folder)
     sides = pr.to_chat(rows, "dolly", ["conv_id", "turn"])
@@ -362,10 +361,26 @@ def preparation_counts(spark, folder):
     coded = tk.tokenize_by_lookup(turns, vocab, ["conv_id", "user_turn", "turn", "role"])
     lengths = coded.groupBy("conv_id", "user_turn").agg((F.sum(F.size("token_ids") + 2) + 1).alias("n"))
     all_rows = rows.select("conv_id", F.col("turn").alias("user_turn")).join(lengths, ["conv_id", "user_turn"], "left")
-    kept = F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH
+    return all_rows, F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH
+
+
+@query
+def preparation_counts(spark, folder):
+    """Written and skipped rows of a preparation, incomplete and over-long ones apart."""
+    all_rows, kept = _prepared(spark, folder)
     return mt.write_counters(all_rows, kept, [], F.col("n"))
 
 
+@query
+def preparation_counts_on_write(spark, folder):
+    """The same counters, observed while the rows are written."""
+    all_rows, kept = _prepared(spark, folder)
+    table, seen = mt.stage_with_counters(all_rows, kept, F.col("n"), "prepared")
+    return table.groupBy().agg(
+        F.lit(seen["written"]).alias("written"), F.lit(seen["skipped"]).alias("skipped"), F.lit(seen["tokens_written"]).alias("tokens_written")
+    )
+
+
 def _examples(spark, folder, vocab):
     rows = tb.pairs(spark, folder).withColumnRenamed("turn", "user_turn")
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "user_turn", "turn", "role"])

@@ -300,6 +300,7 @@ SQL["preparation_counts"] = build(
     """SELECT (SELECT count(*) FROM examples) AS written, (SELECT count(*) FROM pair_rows) - (SELECT count(*) FROM examples) AS skipped,
        (SELECT sum(len(ids)) FROM examples)::BIGINT AS tokens_written"""
 )
+SQL["preparation_counts_on_write"] = SQL["preparation_counts"]
 SQL["instruction_examples"] = build(f"SELECT conv_id, user_turn, {joined('ids')} AS ids, {joined('mask')} AS mask FROM examples")
 SQL["example_files"] = build(f"SELECT {joined('ids')} AS ids, {joined('mask')} AS mask FROM examples")
 EXAMPLE_ORDER = ordering("'42'", "conv_id || ':' || user_turn")

@@ -3,7 +3,8 @@
 A shard is an 8-byte header and little-endian ids. A folder written from Spark holds one
 run of shards per split and a manifest that lists the committed ones; files of failed
 task attempts are not in it. Reading splits shards by token range, so one large file is
-read by many tasks.
+read by many tasks. The manifest alone plans a read; filters on split, position and chunk are pushed
+down, and shards and ranges that they rule out are not opened.
 """
 
 from __future__ import annotations
@@ -22,7 +23,14 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 
@@ -89,28 +97,56 @@ class TokenBinReader(DataSourceReader):
         per_task = int(options.get("tokensPerTask", TOKENS_PER_TASK))
         self.per_task = max(per_task // self.chunk, 1) * self.chunk
 
-    def _shards(self, fs: pafs.FileSystem, root: str) -> list[tuple[str, str, int]]:
-        """(file, split, start) of every shard: from the manifest, or one stream per plain file."""
+        self.splits: set[str] | None = None  # those asked for, if any are named
+        self.low, self.high = 0, None  # first and last position of the rows asked for
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """A split named by a filter is settled here; bounds of positions only rule ranges out."""
+        for asked in filters:
+            column = asked.attribute if isinstance(asked, (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) else None
+            if column == ("split",) and isinstance(asked, (EqualTo, In)):
+                named = {asked.value} if isinstance(asked, EqualTo) else set(asked.value)
+                self.splits = named if self.splits is None else self.splits & named
+                continue
+            if column in (("start_pos",), ("chunk_id",)) and not isinstance(asked, In) and asked.value is not None:
+                # A chunk's row begins inside the chunk.
+                width = self.chunk if column == ("chunk_id",) else 1
+                if isinstance(asked, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    self.low = max(self.low, asked.value * width)
+                if isinstance(asked, (EqualTo, LessThan, LessThanOrEqual)):
+                    last = asked.value * width + width - 1
+                    self.high = last if self.high is None else min(self.high, last)
+            yield asked
+
+    def _shards(self, fs: pafs.FileSystem, root: str) -> Iterator[tuple[str, str, int, int, int]]:
+        """(file, split, start, tokens, code) of every shard: from the manifest, or one stream per plain file."""
         if fs.get_file_info(root).type == pafs.FileType.File:
-            return [(root, root.rsplit("/", 1)[-1].removesuffix(".bin"), 0)]
-        manifest = f"{root}/{MANIFEST}"
-        if fs.get_file_info(manifest).type == pafs.FileType.File:
-            with fs.open_input_stream(manifest) as f:
-                listed = json.loads(f.read())["shards"]
-            return [(f"{root}/{s['file']}", s["split"], s["start_pos"]) for s in listed]
-        found = fs.get_file_info(pafs.FileSelector(root))
-        return [(f.path, f.base_name.removesuffix(".bin"), 0) for f in found if f.path.endswith(".bin")]
+            names = [root]
+        else:
+            manifest = f"{root}/{MANIFEST}"
+            if fs.get_file_info(manifest).type == pafs.FileType.File:
+                with fs.open_input_stream(manifest) as f:
+                    listed = json.loads(f.read())
+                for s in listed["shards"]:
+                    if self.splits is None or s["split"] in self.splits:
+                        yield f"{root}/{s['file']}", s["split"], s["start_pos"], s["n_tokens"], s.get("code", listed["dtype"])
+                return
+            names = [f.path for f in fs.get_file_info(pafs.FileSelector(root)) if f.path.endswith(".bin")]
+        for name in names:
+            split = name.rsplit("/", 1)[-1].removesuffix(".bin")
+            if self.splits is None or split in self.splits:
+                with fs.open_input_file(name) as f:
+                    size, code = f.size(), parse_header(f.read(HEADER.size), name)
+                yield name, split, 0, (size - HEADER.size) // id_type(code).itemsize, code
 
     def partitions(self) -> list[TokenRange]:
         fs, root = filesystem(self.path)
         ranges = []
-        for name, split, start in self._shards(fs, root):
-            with fs.open_input_file(name) as f:
-                size, code = f.size(), parse_header(f.read(HEADER.size), name)
-            total = (size - HEADER.size) // id_type(code).itemsize
+        for name, split, start, total, code in self._shards(fs, root):
             for first in range(0, total, self.per_task):
                 count = min(self.per_task, total - first)
-                ranges.append(TokenRange(name, split, first, count, start, code))
+                if start + first + count > self.low and (self.high is None or start + first <= self.high):
+                    ranges.append(TokenRange(name, split, first, count, start, code))
         return ranges or [TokenRange("", "", 0, 0, 0, 0)]
 
     def read(self, partition: TokenRange) -> Iterator[pa.RecordBatch]:
@@ -119,6 +155,9 @@ class TokenBinReader(DataSourceReader):
         fs, _ = filesystem(self.path)
         kind = id_type(partition.code)
         with fs.open_input_file(partition.path) as f:
+            code, needed = parse_header(f.read(HEADER.size), partition.path), partition.first + partition.count
+            if id_type(code) != kind or f.size() < HEADER.size + needed * kind.itemsize:
+                raise ValueError(f"{partition.path}: not the shard that the manifest lists")
             f.seek(HEADER.size + partition.first * kind.itemsize)
             done = 0
             while done < partition.count:
@@ -168,7 +207,7 @@ class TokenBinWriter(DataSourceArrowWriter):
                         name = f"{split}-{start:020d}-{attempt}.bin"
                         out = fs.open_output_stream(f"{root}/{name}")
                         out.write(header(self.code))
-                        shards.append({"file": name, "split": split, "start_pos": start, "n_tokens": 0})
+                        shards.append({"file": name, "split": split, "start_pos": start, "n_tokens": 0, "code": self.code})
                     ids = tokens.values.to_numpy(zero_copy_only=False)
                     if len(ids) and (ids.min() < 0 or ids.max() > np.iinfo(kind).max):
                         raise ValueError(f"token id outside {kind}: set the vocabSize option")
@@ -218,15 +257,21 @@ class TokenBinSource(DataSource):
         return TokenBinWriter(self.options, overwrite)
 
 
+def register(spark: SparkSession) -> None:
+    """Make ``format("tokenbin")`` known; its reader takes filters, which a session must allow."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(TokenBinSource)
+
+
 def write_token_bin(stream: DataFrame, path: str, vocab_size: int) -> None:
     """Write a stream as shards in stream order; ids take 16 bits while the vocabulary allows."""
     spark = stream.sparkSession
-    spark.dataSource.register(TokenBinSource)
+    register(spark)
     ordered = stream.repartitionByRange("split", "start_pos").sortWithinPartitions("split", "start_pos")
     ordered.write.format("tokenbin").mode("overwrite").option("vocabSize", vocab_size).save(path)
 
 
 def read_token_bin(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
     """A token file, a folder of them, or a folder written by :func:`write_token_bin`."""
-    spark.dataSource.register(TokenBinSource)
+    register(spark)
     return spark.read.format("tokenbin").option("chunk", chunk).load(path)

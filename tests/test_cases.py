@@ -231,3 +231,18 @@ def test_consecutive_windows(spark, chunk, n):
     assert sorted((r["window_id"], r["x"], r["y"]) for r in out) == [
         (w, ids[w * 5 : min(w * 5 + 5, n - 1)], ids[w * 5 + 1 : w * 5 + 6]) for w in range((max(n - 1, 0) + 4) // 5)
     ]
+
+
+def test_counters_of_a_write_come_from_the_write(spark):
+    """Each row is worked on once: the rows kept and the counters are one pass."""
+    touched = spark.sparkContext.accumulator(0)
+
+    def touch(n):
+        touched.add(1)
+        return n
+
+    rows = spark.range(50).select("id", F.when(F.col("id") % 7 > 0, F.udf(touch, "bigint")("id")).alias("n")).repartition(4)
+    table, seen = metrics.stage_with_counters(rows, F.col("n").isNotNull() & (F.col("n") < 40), F.col("n"), "kept")
+    kept = [n for n in range(40) if n % 7]
+    assert seen == {"written": len(kept), "skipped": None, "tokens_written": sum(kept)} | {"skipped": 50 - len(kept)}
+    assert sorted(r["n"] for r in table.collect()) == kept and touched.value == 50

@@ -61,6 +61,33 @@ def test_large_file_is_read_by_several_tasks(spark, tmp_path):
     assert read.rdd.getNumPartitions() == 7 and read_ids(read) == list(range(100))
 
 
+def test_only_shards_asked_for_are_opened(spark, tmp_path):
+    """Filters prune at planning, from the manifest alone."""
+    rows = [("train", c, 10 * c, 10, list(range(10 * c, 10 * c + 10))) for c in range(40)] + [("val", 0, 0, 3, [7, 8, 9])]
+    path = str(tmp_path / "t")
+    tokenbin.write_token_bin(spark.createDataFrame(rows, tables.STREAM_SCHEMA), path, 1000)
+    read = lambda: spark.read.format("tokenbin").option("chunk", 10).option("tokensPerTask", 50).load(path)
+    every = sorted((r["split"], r["start_pos"], r["tokens"]) for r in read().collect())
+    assert every == sorted((s, p, t) for s, _, p, _, t in rows)
+    assert read().rdd.getNumPartitions() >= 9
+    for asked, n in (("split = 'val'", 1), ("split IN ('val', 'x')", 1), ("split = 'train' AND start_pos < 100", None), ("start_pos >= 370 AND split <> 'val'", None), ("chunk_id = 12", 1), ("split = 'x'", 1)):
+        found = read().filter(asked)
+        want = sorted((s, p) for s, c, p, _, _ in rows if eval_filter(asked, s, c, p))
+        assert sorted((r["split"], r["start_pos"]) for r in found.collect()) == want, asked
+        assert found.rdd.getNumPartitions() <= (n or 4), asked
+    for file in (tmp_path / "t").glob("train-*.bin"):
+        file.write_bytes(b"broken")
+    assert read_ids(read().filter("split = 'val'")) == [7, 8, 9]
+    assert read().filter("split = 'train'").rdd.getNumPartitions() >= 8  # planned without opening a shard
+    with pytest.raises(Exception, match="not a token file"):
+        read().collect()
+
+
+def eval_filter(asked, split, chunk_id, start_pos):
+    """A filter of the test above, in Python."""
+    return eval(asked.replace("<>", "!=").replace(" = ", " == ").replace(" AND ", " and ").replace(" IN ", " in "), {}, {"split": split, "chunk_id": chunk_id, "start_pos": start_pos})
+
+
 def test_windows_cross_chunks(spark):
     source = chunks(spark, list(range(40)), chunk=8)
     offsets = spark.createDataFrame([(0, 0), (1, 5), (2, 31)], "window_id bigint, offset bigint")
