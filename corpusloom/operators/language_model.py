@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import IGNORED
 from corpusloom.operators.metrics import NOT_A_NUMBER
+from corpusloom.operators.skew import split_join
 from corpusloom.operators.vocabulary import BROADCAST_ROWS
 from corpusloom.session import stage
 
@@ -161,25 +162,29 @@ def score_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
     def only(table: DataFrame, keys: list[str]) -> DataFrame:
         return table.join(wanted.select(*keys).distinct(), keys, "left_semi")
 
+    def by_token(found: DataFrame, table: DataFrame, key: str) -> DataFrame:
+        """Small tables are sent around; beyond that a frequent token's rows are split."""
+        return found.join(table, key, "left") if model.size <= BROADCAST_ROWS else split_join(found, table, [key], "left")
+
     found = (
         wanted.join(only(model.counts, TRIGRAM).withColumnRenamed("n", "c3"), TRIGRAM, "left")
         .join(only(model.pair_contexts, ["w1", "w2"]), ["w1", "w2"], "left")
         .join(only(model.pairs, ["w2", "w3"]), ["w2", "w3"], "left")
-        .join(model.contexts, "w2", "left")
-        .join(model.tokens, "w3", "left")
     )
+    found = by_token(by_token(found, model.contexts, "w2"), model.tokens, "w3")
     return found.select(*TRIGRAM, F.log(model.p3()).alias("log_prob"))
 
 
 def score(model: NgramModel, examples: DataFrame, keep: list[str]) -> DataFrame:
     """Log-probability of every target; null where the target is ignored.
 
-    Each distinct triple is scored once and joined back to its positions. Ignored
-    positions stay out of the join, where their null keys would meet in one task.
+    Each distinct triple is scored once and joined back to its positions, those of a frequent
+    one in several tasks. Ignored positions stay out of the join, where their null keys would meet in one task.
     """
     positions = example_positions(examples, keep)
     wanted = positions.filter(F.col("w3").isNotNull())
-    scored = wanted.join(score_triples(model, wanted.select(*TRIGRAM).distinct()), TRIGRAM, "left")
+    counts = stage(wanted.groupBy(*TRIGRAM).agg(F.count(F.lit(1)).alias("n")), "triples")
+    scored = split_join(wanted, score_triples(model, counts.select(*TRIGRAM)), TRIGRAM, "left", counts)
     ignored = positions.filter(F.col("w3").isNull()).withColumn("log_prob", F.lit(None).cast("double"))
     return scored.unionByName(ignored)
 
@@ -193,8 +198,10 @@ def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> Da
     positions = example_positions(examples, batch)
     wanted = positions.filter(F.col("w3").isNotNull())
     counted = wanted.groupBy(*batch, *TRIGRAM).agg(F.count(F.lit(1)).alias("_n"))
-    scores = score_triples(model, wanted.select(*TRIGRAM).distinct())
-    sums = counted.join(scores, TRIGRAM).groupBy(*batch).agg(
+    counted = stage(counted, "batch-triples")
+    counts = stage(counted.groupBy(*TRIGRAM).agg(F.count(F.lit(1)).alias("n")), "triples")
+    scores = score_triples(model, counts.select(*TRIGRAM))
+    sums = split_join(counted, scores, TRIGRAM, "inner", counts).groupBy(*batch).agg(
         F.sum(F.col("_n") * F.col("log_prob")).alias("_sum"), F.sum("_n").alias("n_targets")
     )
     every = examples.select(*batch).distinct().join(sums, batch, "left")

@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from corpusloom.operators import decoding, generate, language_model as lm, metrics, ordered, shuffle, stream
+from corpusloom.operators import decoding, generate, language_model as lm, metrics, ordered, shuffle, skew, stream
 from corpusloom.plans import tables as tb
 from corpusloom.sources.tables import STREAM_SCHEMA
 
@@ -173,6 +173,46 @@ def test_uniform_model(spark):
     assert lm.batch_scores(empty, rows, ["batch_id"]).first()["loss"] == pytest.approx(math.log(50))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_is_the_plain_join(spark, how):
+    """One key holds two thirds of the rows, another a tenth; some keys are null, missing or twice on the right."""
+    rows = [(7 if i % 3 else i % 40, "x" if i % 5 else None, i // 2) for i in range(600)] + [(None, "x", 1)] * 3 + [(7, "x", 1)] * 50
+    many = spark.createDataFrame(rows, "a int, b string, v int")
+    few = spark.createDataFrame([(i, "x", i * 10) for i in range(0, 40, 2)] + [(7, "x", 70), (7, "x", 71), (None, "x", 5)], "a int, b string, w int")
+    want = many.join(few, ["a", "b"], how).select("a", "b", "v", "w").collect()
+    got = skew.split_join(many, few, ["a", "b"], how)
+    assert got.columns == ["a", "b", "v", "w"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert skew.split_join(many.filter("false"), few, ["a", "b"], how).count() == 0
+
+
+def test_a_frequent_key_is_spread(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, value in (("spark.sql.shuffle.partitions", "16"), ("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(32_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("k"), "id")
+        few = many.select("k").distinct().withColumn("w", F.col("k") * 2)
+        sizes = lambda df: sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        plain, split = sizes(many.join(few, "k")), sizes(skew.split_join(many, few, ["k"]))
+        assert sum(plain) == sum(split) == 32_000 and plain[-1] > 10_000 and split[-1] < 5_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scores_of_a_stream_with_one_token_in_a_third_of_places(spark):
+    ids = [1, 1, 1, 2, 3, 1, 4, 1, 1, 5, 6, 7] * 12
+    slow = Slow(ids)
+    rows = spark.createDataFrame([(i, ids[i : i + 9], ids[i + 1 : i + 10]) for i in range(0, 90, 9)], "batch_id int, x array<int>, y array<int>")
+    losses = {r["batch_id"]: r["loss"] for r in lm.batch_scores(fitted(spark, ids), rows, ["batch_id"]).collect()}
+    for i in range(0, 90, 9):
+        context = [-1, *ids[i : i + 9]]
+        want = -sum(math.log(slow.prob(context[j], context[j + 1], ids[i + 1 + j])) for j in range(9)) / 9
+        assert losses[i] == pytest.approx(want)
+
+
 # --- ordered operators ------------------------------------------------------------------
 
 
