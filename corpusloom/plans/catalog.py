@@ -31,6 +31,7 @@ from corpusloom.session import stage, stage_path
 from corpusloom.sources import corpus as src
 from corpusloom.sources import tables as files
 from corpusloom.sources import tokenbin, trainlog
+from corpusloom.streaming import rowwise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -364,6 +365,26 @@ def _prepared(spark, folder) -> tuple[DataFrame, Column]:
     return all_rows, F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH
 
 
+PAIR_SCHEMA = "conv_id bigint, turn bigint, instruction string, context string, response string"
+
+
+@query
+def streamed_tensors(spark, folder):
+    """Tensors of instruction files that arrive in two lots; the stream is started anew for the second.
+
+    Its checkpoint remembers the first lot's files, so that each row is encoded once.
+    """
+    vocab = vc.extend(vc.byte_vocabulary(spark))
+    source, sink, checkpoint = (stage_path(spark, n) for n in ("arriving", "tensors", "progress"))
+    rows = tb.pairs(spark, folder).select("conv_id", "turn", "instruction", "context", "response")
+    for lot in (0, 1):
+        rows.filter(F.pmod("conv_id", F.lit(2)) == lot).write.mode("append").json(source)
+        rowwise.follow_instructions(
+            spark, source, PAIR_SCHEMA, "dolly", vocab, ["conv_id", "turn"], SEQ_LENGTH * 2, sink, checkpoint
+        ).awaitTermination()
+    return spark.read.parquet(sink).select("conv_id", "turn", written("x").alias("x"), written("y").alias("y"))
+
+
 @query
 def preparation_counts(spark, folder):
     """Written and skipped rows of a preparation, incomplete and over-long ones apart."""

@@ -7,7 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import stream
+from __spark_entry__ import queries
+from conftest import SMALL
+from corpusloom.operators import stream, vocabulary
+from corpusloom.plans import tables as tb
 from corpusloom.session import shared_folder, stage
 from corpusloom.sources import corpus, tables, tokenbin, trainlog
 from corpusloom.streaming.rowwise import follow_instructions, instruction_tensors
@@ -232,3 +235,12 @@ def test_text_formats_keep_rows(spark, tmp_path):
     rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(str(tmp_path / "c"))
     read = corpus.read_corpus(spark, str(tmp_path / "c"), "csv", schema="text string")
     assert read.select(F.col("text")).first()[0] == "x,\"y\"\nz"
+
+
+def test_streamed_tensors_equal_the_batch(spark):
+    """Two lots, one restart: no row lost, none twice."""
+    vocab = vocabulary.extend(vocabulary.byte_vocabulary(spark))
+    rows = tb.pairs(spark, SMALL)
+    batch = instruction_tensors(rows, "dolly", vocab, ["conv_id", "turn"], tb.SEQ_LENGTH * 2)
+    want = sorted((r["conv_id"], r["turn"], ",".join(map(str, r["x"])), ",".join(map(str, r["y"]))) for r in batch.collect())
+    assert sorted(map(tuple, queries()["streamed_tensors"](spark, SMALL).collect())) == want and len(want) > 20
