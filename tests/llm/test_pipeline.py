@@ -29,7 +29,7 @@ def test_stages(spark):
         return {ids[c]: rows[ids[c]] for c in classes}
 
     def cut(rows):
-        left = kept_bytes(rows.values())
+        left = kept_bytes(rows.values(), corpus_pipeline.PASSAGE)
         return {i: b.decode("utf-8", "ignore") for i, b in zip(rows, left, strict=True)}
 
     def clean(rows):
