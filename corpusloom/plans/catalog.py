@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from corpusloom.operators import runs as rn
 from corpusloom.operators import shuffle as sh
 from corpusloom.operators import stream as st
 from corpusloom.operators import tokenize as tk
+from corpusloom.operators import versions as vs
 from corpusloom.operators import vocabulary as vc
 from corpusloom.plans import finetune, pretrain
 from corpusloom.plans import tables as tb
@@ -365,6 +367,7 @@ def _prepared(spark, folder) -> tuple[DataFrame, Column]:
     return all_rows, F.coalesce(F.col("n"), F.lit(1 << 30)) <= pr.LENGTH_FACTOR * SEQ_LENGTH
 
 
+VERSION_WEIGHTS = (0.5, 0.7, 0.9)
 PAIR_SCHEMA = "conv_id bigint, turn bigint, instruction string, context string, response string"
 
 
@@ -913,6 +916,22 @@ def held_out_loss(spark, folder):
     return result.select(rounded("loss"), "n_batches", rounded("perplexity", 3))
 
 
+@query
+def best_version(spark, folder):
+    """Three weights against the next shorter context: each version's held-out loss, and which is loaded as best."""
+    chunks = tb.stream(spark, folder)
+    windows = stage(pretrain.whole_split_windows(chunks, SEQ_LENGTH), "windows")
+    base = _base_model(spark, folder, chunks).counted()
+    root = stage_path(spark, "versions")
+    for step, weight in enumerate(VERSION_WEIGHTS):
+        model = replace(base, weight=weight, step=step)
+        model = lm.judged(model, pretrain.evaluate(model, windows, max_batches=1 << 40))
+        vs.save_version(model, root, {"weight": weight, "seq_length": SEQ_LENGTH})
+    best, config = vs.load_version(spark, root, vs.BEST)
+    listed = vs.versions(spark, root)
+    return listed.select("step", rounded("val_loss"), (F.col("step") == best.step).alias("best"), F.lit(config["weight"]).alias("best_weight"))
+
+
 @query
 def finetuned_loss(spark, folder):
     """Loss of the fine-tuned model on each held-out instruction example."""

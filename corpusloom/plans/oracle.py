@@ -502,6 +502,21 @@ SQL["held_out_loss"] = build(
         FROM (SELECT batch_id, avg(-{log_prob(VOCAB_SIZE)}) AS loss FROM {WINDOW_TARGETS} {LM_JOINS} GROUP BY batch_id)""",
     SPLIT="val",
 )
+def weighted(weight: float) -> str:
+    """The log-probability of a model that trusts each order by ``weight``."""
+    return log_prob(VOCAB_SIZE).replace(f"{1 - WEIGHT}::DOUBLE", f"{1 - weight}::DOUBLE").replace(str(WEIGHT), str(weight))
+
+
+VERSION_LOSSES = " UNION ALL ".join(
+    f"""SELECT {step} AS step, avg(loss) AS loss
+        FROM (SELECT batch_id, avg(-{weighted(w)}) AS loss FROM {WINDOW_TARGETS} {LM_JOINS} GROUP BY batch_id)"""
+    for step, w in enumerate((0.5, 0.7, 0.9))
+)
+SQL["best_version"] = build(
+    f"""SELECT step, round(loss, 6) AS val_loss, loss = min(loss) OVER () AS best,
+          [0.5, 0.7, 0.9][1 + first_value(step) OVER (ORDER BY loss, step ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)]::DOUBLE AS best_weight
+        FROM ({VERSION_LOSSES})"""
+)
 SQL["untrained_perplexity"] = build(f"SELECT count(DISTINCT chunk_id) AS n_batches, {VOCAB_SIZE}::DOUBLE AS perplexity FROM chunks")
 
 

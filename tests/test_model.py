@@ -3,12 +3,13 @@
 import hashlib
 import math
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from corpusloom.operators import decoding, generate, language_model as lm, metrics, ordered, shuffle, skew, stream
+from corpusloom.operators import decoding, generate, language_model as lm, metrics, ordered, shuffle, skew, stream, versions
 from corpusloom.plans import tables as tb
 from corpusloom.sources.tables import STREAM_SCHEMA
 
@@ -173,6 +174,25 @@ def test_uniform_model(spark):
     assert lm.batch_scores(empty, rows, ["batch_id"]).first()["loss"] == pytest.approx(math.log(50))
 
 
+def test_versions(spark, tmp_path):
+    """Best and latest come from the log; a version that was not committed is not there; old ones go."""
+    root = str(tmp_path / "versions")
+    with pytest.raises(LookupError):
+        versions.load_version(spark, root)
+    model = fitted(spark)
+    names = []
+    for step, loss in enumerate([3.0, 1.5, float("nan"), 2.5, 1.5]):
+        names.append(versions.save_version(replace(model, step=step, val_loss=loss), root, {"seq": step}, keep=2))
+    lm.save_model(replace(model, step=99, val_loss=0.0), f"{root}/v000009-dead")  # its run died before the log
+    assert {r["name"] for r in versions.versions(spark, root).collect()} == {names[1], names[3], names[4]}
+    assert sorted(p.name for p in (tmp_path / "versions").glob("v*")) == [names[1], names[3], names[4], "v000009-dead"]
+    best, config = versions.load_version(spark, root, "best")
+    assert (best.step, best.val_loss, config) == (1, 1.5, {"seq": 1}) and best.counts.count() == model.counts.count()
+    assert versions.load_version(spark, root)[0].step == 4 and versions.load_version(spark, root, names[3])[1] == {"seq": 3}
+    with pytest.raises(LookupError):
+        versions.load_version(spark, root, names[0])
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_split_join_is_the_plain_join(spark, how):
     """One key holds two thirds of the rows, another a tenth; some keys are null, missing or twice on the right."""
