@@ -1,13 +1,15 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-Terms are the distinct words of a text. The lexicon holds those whose inverse document
-frequency lies in a band: neither the words of every text nor the rare ones that a typo
-makes. From it, ``FAMILIES`` series of random subsets are drawn; in a series each subset
-lies in the one before and has ``2 ** -0.25`` of its terms. A text's signature in a series
-is the hash of its sorted terms in the smallest subset that it touches, so that texts of any
-length have a term or two in it (nearly MinHash, not I-Match), and an edit changes only the signatures that its terms are
-in. The fingerprint is the list of signatures; the likeness of two fingerprints is the
-share of series in which they agree.
+Terms are the distinct words of a text. The lexicon is the band of those whose inverse
+document frequency is neither that of the words of every text nor that of the rare ones
+which a typo makes. A signature is the hash of a text's sorted terms inside a lexicon: one
+for the whole band, and one for each of ``DRAWS`` random subsets of it at each of the fixed
+rates 1/2, 1/4, ... ``2 ** -OCTAVES``. A text touches large subsets with many terms, which
+any edit changes, and small ones with a single term; which of them tell texts apart depends
+on their length, so all rates are drawn. The fingerprint is the list of signatures.
+
+The likeness of two fingerprints is the share of equal signatures among the ``NEAREST``
+smallest subsets that either text touches; it is 1 where both have the same terms.
 
 Defined results: a null text is the empty text; a text without a term of the lexicon is
 fingerprinted by all its words, one without words by its bytes; equal texts have equal
@@ -33,19 +35,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.arrow import column, text_chunks
-from corpusloom.llm.words import mix, owner, span_hashes, word_hashes
+from corpusloom.llm.words import GRAM, mix, owner, span_hashes, word_hashes
 from corpusloom.session import task_count
 
 TERM_BITS = 27
 MIN_IDF, MAX_IDF = 1.5, 8.0  # natural logarithm of documents / documents with the term
-FAMILIES = 64
+OCTAVES = 16
+DRAWS = 12
+NEAREST = 16
 SEED = 4
-STEPS = 4  # subsets per halving
 MOST_BUCKETS = 1024  # of the order, per shuffle partition at most 16
 
-_MULTIPLIERS = mix(np.arange(1, FAMILIES + 1, dtype=np.uint64) + np.uint64(SEED << 32)) | np.uint64(1)
-#: Upper ends of the nested subsets, rising.
-_ENDS = np.unique(np.array([int(2.0 ** (64 - i / STEPS)) - 1 for i in range(1, 64 * STEPS + 1)] + [2**64 - 1], dtype=np.uint64))
+#: Rate of each subset as a power of 1/2, the smallest subsets first, the whole band last.
+RATES = np.append(np.repeat(np.arange(OCTAVES, 0, -1), DRAWS), 0)
+SIGNATURES = len(RATES)
+_MULTIPLIERS = mix(np.arange(1, SIGNATURES + 1, dtype=np.uint64) + np.uint64(SEED << 32)) | np.uint64(1)
 
 
 def _terms(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,27 +111,27 @@ def learn_lexicon(docs: DataFrame, text: str = "text", min_idf: float = MIN_IDF,
 
 
 def _signatures(rows: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
-    """Signatures of ``n`` texts (rows by texts) from their terms in order of text."""
-    out = np.zeros((n, FAMILIES), np.uint32)
-    have = np.unique(rows)
-    if not len(have):
-        return out
-    begins = np.searchsorted(rows, have)
-    counts = np.diff(np.append(begins, len(rows)))
+    """Signatures of ``n`` texts (rows by texts) from their terms in order of text and term.
+
+    0 is the signature of no term.
+    """
+    out = np.zeros((n, SIGNATURES), np.uint16)
     spread = mix(terms + np.uint64(1))
-    for j, factor in enumerate(_MULTIPLIERS):
+    for j, (rate, factor) in enumerate(zip(RATES.tolist(), _MULTIPLIERS, strict=True)):
         place = spread * factor
-        least = np.minimum.reduceat(place, begins)
-        end = _ENDS[np.searchsorted(_ENDS, least)]
-        inside = place <= np.repeat(end, counts)
-        signature = np.add.reduceat(np.where(inside, mix(place), np.uint64(0)), begins)
-        out[have, j] = (mix(signature) >> np.uint64(32)).astype(np.uint32)
+        inside = np.flatnonzero(place <= np.uint64((1 << (64 - rate)) - 1))
+        if not len(inside):
+            continue
+        touched, begins, counts = np.unique(rows[inside], return_index=True, return_counts=True)
+        turn = (np.arange(len(inside)) - np.repeat(begins, counts)).astype(np.uint64)
+        listed = np.add.reduceat(mix(place[inside] + turn * GRAM), begins)
+        out[touched, j] = np.maximum(mix(listed) >> np.uint64(48), np.uint64(1)).astype(np.uint16)
     return out
 
 
 def fingerprints(texts: pa.Array, bitmap: np.ndarray) -> np.ndarray:
-    """One row of ``FAMILIES`` signatures of 16 bits for each text."""
-    out = [np.zeros((0, FAMILIES), np.uint16)]
+    """One row of ``SIGNATURES`` signatures of 16 bits for each text."""
+    out = [np.zeros((0, SIGNATURES), np.uint16)]
     for first, end, data, starts in text_chunks(texts):
         rows, terms = _terms(data, starts)
         at = (terms >> np.uint64(3)).astype(np.int64)
@@ -142,17 +146,19 @@ def fingerprints(texts: pa.Array, bitmap: np.ndarray) -> np.ndarray:
             rows, terms = np.concatenate([rows, wordless]), np.concatenate([terms, whole])
             order = np.argsort(rows, kind="stable")
             rows, terms = rows[order], terms[order]
-        out.append((_signatures(rows, terms, end - first) >> 16).astype(np.uint16))
+        out.append(_signatures(rows, terms, end - first))
     return np.concatenate(out)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).mean(axis=1)
+    touched = (a > 0) | (b > 0)  # every text has a term in the last one
+    near = touched & (np.cumsum(touched, axis=1) <= NEAREST)
+    return (near & (a == b)).sum(axis=1) / np.maximum(near.sum(axis=1), 1)
 
 
 def as_text(prints: np.ndarray) -> list[str]:
     """Four hexadecimal digits per signature."""
-    return [row.hex() for row in prints.astype(">u2").view(np.dtype((np.void, 2 * FAMILIES))).ravel().tolist()] if len(prints) else []
+    return [row.hex() for row in prints.astype(">u2").view(np.dtype((np.void, 2 * SIGNATURES))).ravel().tolist()] if len(prints) else []
 
 
 def edited(text: str, following: str) -> str:

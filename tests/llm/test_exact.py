@@ -1,10 +1,12 @@
 """Operators with one right answer, against brute force."""
 
+import math
 import random
+from collections import Counter
 
 import pytest
 from helpers import contamination as brute_contamination
-from helpers import jaccard_classes, kept_bytes, mixed
+from helpers import jaccard_classes, kept_bytes, mixed, words
 
 from corpusloom.llm import contamination, fixity, imatch, jaccard, licenses, mixing, repeats, suffixes
 from corpusloom.llm.components import components
@@ -191,6 +193,60 @@ def test_edited_texts_and_equal_fingerprints(spark):
     assert got[1]["fingerprint"] == got[2]["fingerprint"] and got[1]["near_edited"] == 1
 
 
+def _scrambled(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & MASK
+    return x ^ (x >> 31)
+
+
+MASK = 2**64 - 1
+
+
+def _hashed(data):
+    return _scrambled(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 2**64) for i, b in enumerate(data)) & MASK)
+
+
+def _signed(text, lexicon):
+    """Signatures of one text, a subset at a time, from sets of words."""
+    shift = 64 - imatch.TERM_BITS
+    terms = {_hashed(w.encode()) >> shift for w in words(text)}
+    terms = (terms & lexicon) or terms or {_hashed(text.encode())}
+    out = []
+    for j, rate in enumerate(imatch.RATES.tolist()):
+        factor = _scrambled((imatch.SEED << 32) + j + 1) | 1
+        places = [_scrambled(t + 1) * factor & MASK for t in sorted(terms)]
+        places = [p for p in places if p < 2 ** (64 - rate)]
+        listed = sum(_scrambled((p + i * 0xD6E8FEB86659FD93) & MASK) for i, p in enumerate(places)) & MASK
+        out.append(max(_scrambled(listed) >> 48, 1) if places else 0)
+    return out
+
+
+def test_fingerprints_and_likeness_by_brute_force(spark):
+    rng = random.Random(4)
+    pool = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(pool, k=rng.choice([1, 3, 40, 300]))) for _ in range(60)] + ["", "!?", None, "only here"]
+    rows = imatch.with_neighbours(table(spark, texts), imatch.learn_lexicon(table(spark, texts))).collect()
+    held = Counter(_hashed(w.encode()) >> (64 - imatch.TERM_BITS) for t in texts for w in set(words(t)))
+    low, high = len(texts) * math.exp(-imatch.MAX_IDF), len(texts) * math.exp(-imatch.MIN_IDF)
+    lexicon = {t for t, n in held.items() if low <= n <= high}
+    assert 0 < len(lexicon) < len(held)
+    plain = [t or "" for t in texts]
+
+    def like(a, b):
+        near = [x == y for x, y in zip(a, b, strict=True) if x or y][: imatch.NEAREST]
+        return sum(near) / len(near)
+
+    assert len(rows) == len(texts)
+    for r in rows:
+        i = r["doc_id"]
+        following = plain[(i + 1) % len(plain)]
+        own, other = _signed(plain[i], lexicon), _signed(imatch.edited(plain[i], following), lexicon)
+        assert r["fingerprint"] == "".join(f"{x:04x}" for x in own)
+        assert r["edited_fingerprint"] == "".join(f"{x:04x}" for x in other)
+        assert r["near_edited"] == pytest.approx(like(own, other))
+        assert r["near_next"] == pytest.approx(like(own, _signed(following, lexicon)))
+
+
 def test_order_across_buckets(spark):
     docs = spark.range(3000).selectExpr("id * 7 AS doc_id", "concat('text number ', id, ' of many') AS text").repartition(5)
     rows = imatch.with_neighbours(docs, imatch.learn_lexicon(docs)).collect()
