@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import END_OF_TEXT, SUBWORD_SPLIT, latin
+from corpusloom.operators.rankfile import RankFile, opened, publish
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, byte_rows, count_pieces, special_rows
 from corpusloom.session import stage, task_count
 
@@ -221,7 +222,7 @@ def learn_vocabulary(df: DataFrame, n_merges: int, text: str = "text", pattern:
     return Vocabulary(table.unionByName(special_rows(spark, specials)), eos + 1, eos, pattern, specials)
 
 
-def _merge_short(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
+def _merge_short(parts: list[bytes], ranks: dict[bytes, int] | RankFile) -> list[int]:
     """The same for a few parts: look through all pairs each time."""
     none = len(ranks) + N_BYTES + (1 << 40)
     pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
@@ -239,7 +240,7 @@ def _merge_short(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge_piece(piece: bytes, ranks: dict[bytes, int] | RankFile) -> list[int]:
     """Join the lowest-ranked adjacent pair until none is left."""
     if piece in ranks:
         return [ranks[piece]]
@@ -277,18 +278,23 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 def piece_encoder(vocab: Vocabulary):
     """An Arrow function: array of pieces -> array of ids, each distinct piece encoded once.
 
-    The vocabulary goes to the tasks as a broadcast; ``Vocabulary.size`` bounds it.
+    Ranks go to the tasks as a broadcast dictionary while ``Vocabulary.size`` allows it, as
+    files mapped into memory beyond that; only the special tokens are then collected. The
+    ids are the same.
     """
-    if not vocab.broadcastable:
-        raise ValueError(f"a vocabulary of {vocab.size} ids is too large to broadcast")
     spark = vocab.table.sparkSession
-    rows = vocab.table.select("token_id", "token", "is_special").collect()
-    ranks = spark.sparkContext.broadcast({bytes(r["token"]): r["token_id"] for r in rows if not r["is_special"]})
+    names: list[str] = []
+    if vocab.broadcastable:
+        rows = vocab.table.select("token_id", "token", "is_special").collect()
+        ranks = spark.sparkContext.broadcast({bytes(r["token"]): r["token_id"] for r in rows if not r["is_special"]})
+    else:
+        rows = vocab.table.filter("is_special").select("token_id", "token", "is_special").collect()
+        ranks, names = None, publish(vocab.table.filter(~F.col("is_special")))
     specials = {r["token"].decode(): [r["token_id"]] for r in rows if r["is_special"] and bytes(r["token"]).decode() in vocab.specials}
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict[str, list[int]] = dict(specials)
-        table = ranks.value
+        table = ranks.value if ranks is not None else opened(names)
         for column in batches:
             distinct = column.flatten().dictionary_encode()
             if len(memo) > MEMO_PIECES:

@@ -1,10 +1,13 @@
 """Tokenisation against independent implementations."""
 
 import base64
+import hashlib
 import json
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import regex
 import tiktoken
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from corpusloom.functions.text import SUBWORD_SPLIT, pieces
-from corpusloom.operators import bpe, tokenize, vocabulary
+from corpusloom.operators import bpe, rankfile, tokenize, vocabulary
 
 PUBLISHED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ODD_TEXTS = [
@@ -108,6 +111,29 @@ def test_encoding_equals_tiktoken(spark):
         assert row["token_ids"] == independent.encode(texts[row["doc_id"]], allowed_special="all")
 
 
+def test_encoding_with_a_vocabulary_too_large_to_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    vocab = bpe.learn_vocabulary(docs, 60)
+    rows = table(spark, ODD_TEXTS + ["a<|endoftext|> b", None, "", "abc " * 5_000]).unionByName(docs.limit(50))
+    want = tokenize.tokenize(rows, vocab).collect()
+    monkeypatch.setattr(vocabulary, "BROADCAST_ROWS", 10)
+    assert not vocab.broadcastable
+    assert tokenize.tokenize(rows, vocab).collect() == want
+
+
+def test_tokens_of_equal_hash_are_told_apart(tmp_path, monkeypatch):
+    key = hashlib.md5(b"ab").digest()[: rankfile.KEY_BYTES]
+    held = pa.table({"key": [key] * 3, "token_id": [4, 5, 6], "token": [b"x", b"ab", b""]})
+    pq.write_table(held, tmp_path / "part-0")
+    pq.write_table(held.slice(0, 0), tmp_path / "part-1")
+    monkeypatch.setattr(rankfile.SparkFiles, "getRootDirectory", lambda: str(tmp_path))
+    for _ in range(2):  # laid out, then found
+        ranks = rankfile.RankFile(["part-0", "part-1"])
+        assert (ranks[b"ab"], ranks.get(b"y", 9), b"abc" in ranks, len(ranks)) == (5, 9, False, 3)
+        monkeypatch.setattr(rankfile, "MEMO_RANKS", 0)
+    assert rankfile.RankFile(["part-1"]).get(b"ab") is None
+
+
 def test_null_and_empty_texts(spark, chat_vocab):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, "a<|user|>")], "doc_id int, text string")
     want = {1: [], 2: [], 3: [97, 258]}
