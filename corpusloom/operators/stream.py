@@ -9,8 +9,11 @@ from corpusloom.functions.arrays import in_order, ints
 from corpusloom.functions.keys import hash60
 from corpusloom.operators.examples import shifted
 from corpusloom.operators.ordered import UNBOUNDED, bucket_prefix
+from corpusloom.operators.skew import split_join
+from corpusloom.session import stage, task_count
 
 CHUNK_TOKENS = 8192
+BROADCAST_DRAWS = 1_000_000  # 24 bytes each
 EPOCH_LENGTH = 100_000  # fixed value: window draws per epoch
 
 
@@ -97,13 +100,35 @@ def draw_offsets(
     )
 
 
+def _touching(draws: DataFrame, chunks: DataFrame) -> DataFrame:
+    draws = stage(draws, "draws")
+    counts = stage(draws.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")), "draw-counts")
+    n = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    if n > BROADCAST_DRAWS:
+        return split_join(draws, chunks, ["chunk_id"], counts=counts)
+    share = n / task_count(draws.sparkSession)
+    frequent = [r["chunk_id"] for r in counts.filter(F.col("n") > 2 * share).collect()]
+    hot = F.col("chunk_id").isin(frequent)
+    met = chunks.join(F.broadcast(draws.filter(~hot)), "chunk_id").select(*draws.columns, "start_pos", "tokens")
+    if not frequent:
+        return met
+    spread = split_join(draws.filter(hot), chunks.filter(hot), ["chunk_id"], counts=counts)
+    return met.unionByName(spread.select(met.columns))
+
+
 def read_windows(stream: DataFrame, offsets: DataFrame, seq_length: int, chunk: int = CHUNK_TOKENS) -> DataFrame:
-    """The ``seq_length + 1`` tokens at each offset, by an equi-join on the chunks touched."""
+    """The ``seq_length + 1`` tokens at each offset, by an equi-join on the chunks touched.
+
+    Chunks stay where they are read: the draws, two numbers each, go to them while there are at
+    most ``BROADCAST_DRAWS``. Chunks that more than two task shares of the draws touch, fewer
+    than half the tasks, are copied to the parts over which their draws are dealt; so are
+    all when there are more draws.
+    """
     last = F.col("offset") + F.lit(seq_length)
     touched = offsets.withColumn(
         "chunk_id", F.explode(F.sequence(F.floor(F.col("offset") / chunk), F.floor(last / chunk)))
     )
-    met = touched.join(stream.select("chunk_id", "start_pos", "tokens"), "chunk_id")
+    met = _touching(touched, stream.select("chunk_id", "start_pos", "tokens"))
     at = F.greatest(F.col("offset"), F.col("start_pos"))
     end = F.least(last + 1, F.col("start_pos") + F.size("tokens"))
     part = F.slice("tokens", (at - F.col("start_pos") + 1).cast("int"), (end - at).cast("int"))

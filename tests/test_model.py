@@ -307,6 +307,26 @@ def test_windows_join_by_chunk(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_windows_of_a_hot_chunk(spark, monkeypatch, most):
+    monkeypatch.setattr(stream, "BROADCAST_DRAWS", most)
+    tokens = list(range(1000))
+    chunks = [("val", i // 64, i, len(tokens[i : i + 64]), tokens[i : i + 64]) for i in range(0, 1000, 64)]
+    laid = spark.createDataFrame(chunks, "split string, chunk_id bigint, start_pos bigint, n_tokens int, tokens array<int>")
+    offsets = spark.createDataFrame([(i, 70 + i % 3) for i in range(300)] + [(300 + i, 41 * i) for i in range(24)], "window_id bigint, offset bigint")
+    rows = stream.read_windows(laid, offsets, 16, chunk=64).collect()
+    assert sorted((r["window_id"], r["offset"], r["tokens"]) for r in rows) == [
+        (r["window_id"], r["offset"], tokens[r["offset"] : r["offset"] + 17]) for r in offsets.orderBy("window_id").collect()
+    ]
+
+
+def test_chunks_stay_where_they_are_read(spark):
+    laid = tb.stream(spark, SMALL).select("chunk_id", "start_pos", "tokens")
+    draws = laid.select("chunk_id", F.col("chunk_id").alias("window_id"), F.col("start_pos").alias("offset"))
+    plan = plan_of(stream._touching(draws, laid))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 @pytest.mark.parametrize("partitions", ["1", "32"])
 def test_partitioning_does_not_matter(spark, partitions):
     def rows():
