@@ -3,9 +3,10 @@
 Every source has a target of words. Each document first gets the whole copies that are
 certain, ``floor(target / source size)``; what then lacks is a fixed size of words that is
 filled with documents in Pareto order: the random odds ``u / (1 - u)`` over the odds of the
-document's inclusion probability, smallest first. The probability is the source's rest over
-its size, so it differs between sources only, and inside one the order is that of ``u``.
-The order is cut where the running size comes nearest the rest, so a source misses its
+document's inclusion probability, smallest first. The probability is proportional to the
+document's weight, up to 1: documents that reach it are certain and come first, and the
+others share what these leave, until no more become certain. Without a weight column all
+weights are 1, and the probability is the source's rest over its size. The order is cut where the running size comes nearest the rest, so a source misses its
 target by at most half of one document. ``u`` is a hash of seed, id and text: reruns agree,
 and no partitioning changes a choice.
 
@@ -15,7 +16,8 @@ ordered by row.
 
 Defined results: a null or blank text has size 0 and no copies; a null source is a source,
 the last one; rows equal in id and text share their u and are taken together; a source of
-size 0 has target 0; empty tables give empty results. Other columns are kept, whatever
+size 0 has target 0; a document whose weight is null, NaN or not positive gets whole copies only,
+and a source whose weighted documents are fewer words than its rest takes them all; empty tables give empty results. Other columns are kept, whatever
 their names; the answer's column gets underscores in front where its name is taken.
 """
 
@@ -91,20 +93,52 @@ def _odds(p: Column) -> Column:
     return F.coalesce(F.try_divide(p, F.lit(1.0) - p), F.lit(float("inf")))
 
 
-def _pareto(u: Column, rest: Column, size: Column) -> Column:
-    """The place in Pareto order: odds of u over the odds of inclusion."""
-    return F.try_divide(_odds(u), _odds(F.try_divide(rest, size)))
+def _inclusion(level: Column, weight: Column) -> Column:
+    return F.least(F.lit(1.0), level * weight)
 
 
-def _slice(u: Column) -> Column:
-    return F.floor(u * SLICES).cast("int")
+def _pareto(u: Column, inclusion: Column) -> Column:
+    """The place in Pareto order: odds of u over the odds of inclusion; none without a chance."""
+    return F.try_divide(_odds(u), _odds(inclusion))
 
 
-def planned(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """One row per source from ``rows`` (source, size, u): what the mix takes of it.
+def _slice(order: Column) -> Column:
+    return F.least(F.floor(order / (order + 1) * SLICES), F.lit(SLICES - 1)).cast("int")
+
+
+def _levels(drawn: DataFrame) -> DataFrame:
+    """Inclusion probability per unit of weight, ``s, level``, from source, rest, size and weight.
+
+    Each round adds up the certain documents and the weights of the others per source; the
+    certain ones only become more, so it ends. One row per source is all that a round passes on.
+    """
+    levels, certain = None, -1
+    while True:
+        if levels is None:
+            met = drawn.withColumn("level", F.lit(0.0))
+        else:
+            met = drawn.join(levels, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        full = F.col("level") * F.col("weight") >= 1
+        sums = met.groupBy("source", "rest").agg(
+            F.sum(F.when(full, F.col("size")).otherwise(0)).alias("spent"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("size") * F.col("weight"))).alias("open"),
+            F.sum(F.when(full, 1).otherwise(0)).alias("n"),
+        )
+        level = F.when(F.col("open") > 0, (F.col("rest") - F.col("spent")) / F.col("open")).otherwise(F.lit(float("inf")))
+        found = stage(sums.select(F.col("source").alias("s"), level.alias("level"), "n"), "levels")
+        n = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        levels = found.drop("n")
+        if n == certain:
+            return levels
+        certain = n
+
+
+def planned(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, weighted: bool = False) -> DataFrame:
+    """One row per source from ``rows`` (source, size, u, weight): what the mix takes of it.
 
     ``whole`` copies of each document, and one more of those that come before ``cut`` in
-    slices of u, or in that slice up to ``upto`` in Pareto order.
+    slices of the Pareto order, or in that slice up to ``upto``; ``level`` is the probability
+    of this one more per unit of weight.
     """
     targets = with_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     whole = F.least(F.floor(F.try_divide("target", "source_size")), F.lit(most))
@@ -112,11 +146,22 @@ def planned(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     per = per.withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
     wanted = per.filter("rest > 0").select(F.col("source").alias("s"), "rest", "source_size")
     drawn = (
-        rows.filter("size > 0")
-        .withColumn("slice", _slice(F.col("u")))
+        rows.filter("size > 0 AND weight > 0")
         .join(wanted, F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
     )
+    if weighted:
+        levels = _levels(drawn)
+    else:
+        levels = per.select(F.col("source").alias("s"), F.try_divide("rest", "source_size").alias("level"))
+    per = stage(per.join(levels, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "levels")
+    level = per.select(F.col("source").alias("s"), "level")
+    drawn = (
+        drawn.join(level, F.col("source").eqNullSafe(F.col("s")))
+        .drop("s")
+        .withColumn("order", _pareto(F.col("u"), _inclusion(F.col("level"), F.col("weight"))))
+        .withColumn("slice", _slice(F.col("order")))
+    )
     sums = drawn.groupBy("source", "rest", "slice").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
@@ -130,7 +175,6 @@ def planned(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     line = Window.partitionBy("source").orderBy("order").rangeBetween(Window.unboundedPreceding, 0)
     inside = (
         drawn.join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("cut")))
-        .withColumn("order", _pareto(F.col("u"), F.col("rest"), F.col("source_size")))
         .groupBy("source", "rest", "before", "order")  # equal rows share an order
         .agg(F.sum("size").alias("size"))
         .withColumn("run", F.col("before") + F.sum("size").over(line))
@@ -141,6 +185,7 @@ def planned(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     return (
         per.join(cuts.drop("before"), F.col("source").eqNullSafe(F.col("s")), "left")
         .drop("s")
+        .withColumn("cut", F.coalesce("cut", F.lit(SLICES)))  # fewer words than the rest: all of them
         .join(last, F.col("source").eqNullSafe(F.col("t")), "left")
         .drop("t")
     )
@@ -158,25 +203,29 @@ def with_copies(
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST,
     seed: int = SEED,
+    weight: str | None = None,
     drop: tuple[str, ...] = (),
     name: str = "mix",
 ) -> DataFrame:
     """``docs`` and a struct column: size, source_size, target, copies.
 
+    ``weight`` names a column to which the chance of a document inside its source is proportional.
+
     Two passes over the texts: one for the sizes, one for the answer, both without a
     shuffle of texts.
     """
     u, size = free_name(docs, "__u"), free_name(docs, "__size")
     sized = docs.withColumns({size: word_count(F.col(text)), u: _row_key(doc_id, text, seed)})
-    narrow = sized.select(F.col(source).alias("source"), F.col(size).alias("size"), F.col(u).alias("u"))
-    plan = stage(planned(stage(narrow, "sizes"), weights, most), "mix")
+    share = F.lit(1.0) if weight is None else F.coalesce(F.nanvl(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
+    narrow = sized.select(F.col(source).alias("source"), F.col(size).alias("size"), F.col(u).alias("u"), share.alias("weight"))
+    plan = stage(planned(stage(narrow, "sizes"), weights, most, weight is not None), "mix")
     # One row per source: the planner broadcasts it by its measured size, else AQE splits a hot one.
     per = plan.select(F.struct("*").alias(free_name(sized, "__per")))
     row = F.col(per.columns[0])
     met = sized.join(per, F.col(source).eqNullSafe(row["source"]))
-    at = _slice(F.col(u))
-    order = _pareto(F.col(u), row["rest"], row["source_size"])
-    extra = (F.col(size) > 0) & (row["rest"] > 0) & (
+    order = _pareto(F.col(u), _inclusion(row["level"], share))
+    at = _slice(order)
+    extra = (F.col(size) > 0) & (share > 0) & (row["rest"] > 0) & (
         (at < row["cut"]) | ((at == row["cut"]) & (order <= row["upto"]))
     )
     copies = (row["whole"] + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)).cast("bigint")

@@ -178,6 +178,49 @@ def test_mix_repeats_the_whole_copies(spark):
     assert copies[99] == 3 and sum(copies.values()) == 3 + 36  # of 420 words, b takes 60 and a the rest
 
 
+def test_weighted_mix_by_brute_force(spark):
+    draw = random.Random(7)
+    rows = [(i, "w " * draw.randint(1, 9), draw.choice("ab"), draw.choice([0.5, 1.0, 2.0, 9.0, 400.0])) for i in range(800)]
+    rows += [(2000, "w w", "a", None), (2001, "w w", "a", -1.0), (2002, "w", "b", float("nan")), (2003, None, "a", 5.0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, share double")
+    got = {r["doc_id"]: r for r in mixing.with_copies(docs, weight="share").select("doc_id", "source", "mix.*").collect()}
+    keyed = docs.select("doc_id", mixing._row_key("doc_id", "text", mixing.SEED).alias("u")).collect()
+    u = {r["doc_id"]: r["u"] for r in keyed}
+    for source in "ab":
+        mine = [(i, len((t or "").split()), w) for i, t, s, w in rows if s == source]
+        size, target = got[mine[0][0]]["source_size"], got[mine[0][0]]["target"]
+        whole = int(target // size)
+        rest = target - whole * size
+        live = [(i, n, w) for i, n, w in mine if n and w and w > 0]
+        certain = set()
+        while True:
+            level = (rest - sum(n for i, n, _ in live if i in certain)) / sum(n * w for i, n, w in live if i not in certain)
+            more = {i for i, _, w in live if i in certain or level * w >= 1}
+            if more == certain:
+                break
+            certain = more
+        odds = {i: 0.0 if i in certain else u[i] / (1 - u[i]) / (level * w / (1 - level * w)) for i, _, w in live}
+        taken, run = set(), 0
+        for order in sorted(set(odds.values())):
+            group = [(i, n) for i, n, _ in live if odds[i] == order]
+            words_of = sum(n for _, n in group)
+            if abs(run + words_of - rest) >= abs(run - rest):
+                break
+            run += words_of
+            taken |= {i for i, _ in group}
+        assert source == "b" or certain  # some of the heaviest are certain
+        assert {i for i, n, _ in mine if n and got[i]["copies"] == whole + 1} == taken
+        assert all(got[i]["copies"] == whole for i, n, _ in mine if n and i not in taken)
+        assert abs(run - rest) <= 5
+
+
+def test_a_mix_with_too_few_weighted_words_takes_them_all(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, "a", float(i == 0)) for i in range(20)] + [(99, "w " * 100, "b", 1.0)], "doc_id bigint, text string, source string, share double")
+    copies = {r["doc_id"]: r["mix"]["copies"] for r in mixing.with_copies(docs, weight="share").collect()}
+    whole = copies[1]
+    assert copies[0] == whole + 1 and {copies[i] for i in range(1, 20)} == {whole}
+
+
 def test_edited_texts_and_equal_fingerprints(spark):
     texts = ["abcdefgh", "", None, "xyz" * 50, "xyz" * 50, "one two three four five six", "日本語テキスト"]
     docs = table(spark, texts)
