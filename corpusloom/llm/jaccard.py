@@ -1,17 +1,22 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
 A text is the set of hashes of its shingles, five words in a row (all its words if it has
-fewer). A tree of the forest sorts texts by a path of MinHash values; texts whose paths
-share a prefix are candidates. Prefixes are shortened from ``DEPTH`` until the probability
-that a pair at the threshold shares one in any of the trees reaches the target recall.
-Candidates are verified exactly: every link returned has its Jaccard similarity, and every
-pair of candidates of a component is compared, so that a pair that no tree brought
-together is found too if others connect it.
+fewer). Each tree of the forest is a sorted prefix trie of paths, ``DEPTH`` MinHash values of
+a byte each. Texts that share a prefix are a bucket. Prefixes are shortened from ``START``
+values until a pair at the threshold shares one in any tree with the target recall: a long
+prefix brings the likeliest texts together first, and a shorter one is followed only where
+it joins texts that no longer one has linked, so that settled parts of a trie are left alone.
+
+The values of all trees together are a signature. Texts of a bucket are compared by it, and
+those whose share of equal values is within ``SLACK`` deviations of the threshold are
+connected; a crowd of texts that are merely somewhat alike falls apart here. Each component
+of what is left is then verified exactly, every text against every other, so that a pair
+that no tree brought together is found too if others connect it. Classes are components of
+verified links.
 
 Texts with equal shingle sets are one node, with a number of copies; only nodes are
-compared. Buckets are never expanded into pairs: a bucket links its nodes to its least one,
-and connected components of these links are cut into blocks of bounded size, which are
-compared block against block.
+compared. Buckets and components are never expanded into pairs: those of many nodes are cut
+into blocks of bounded size, which are compared block against block.
 
 Defined results: a text without words (null, empty) is linked to nothing; null ids are
 rows like others, and come first where the least id of a class is taken; repeated rows are
@@ -39,9 +44,13 @@ from corpusloom.session import stage
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 24
-DEPTH = 12
+DEPTH = 24  # values of a path; those beyond a prefix serve the signature
+START = 12
 RECALL = 0.9999
 SEED = 6
+SLACK = 4.5
+GLANCE = 96  # values looked at before the whole signature
+BLOCK_PATHS = 4096
 BLOCK_NODES = 512
 BLOCK_SHINGLES = 1_000_000
 
@@ -53,6 +62,11 @@ def depth_for(threshold: float, recall: float, trees: int, depth: int = DEPTH) -
     return depth
 
 
+def prefixes_for(floor: int) -> list[int]:
+    """Prefix lengths from ``START`` down to the one that reaches the recall."""
+    return sorted({max(START, floor), (max(START, floor) + floor) // 2, floor}, reverse=True)
+
+
 def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
     """Distinct shingle hashes of each text, sorted."""
     whole = grams(words, k)
@@ -67,44 +81,135 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> list[np.
     return out
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], trees: int, depth: int, k: int) -> Iterator[pa.RecordBatch]:
-    """A digest of the shingle set and the prefix of its path in each tree."""
-    factors = mix(np.arange(1, trees * depth + 1, dtype=np.uint64) + np.uint64(SEED << 32)) | np.uint64(1)
+def _sketches(batches: Iterator[pa.RecordBatch], trees: int, k: int) -> Iterator[pa.RecordBatch]:
+    """A digest of the shingle set, and the paths: for each tree its number and ``DEPTH`` values."""
+    factors = mix(np.arange(1, trees * DEPTH + 1, dtype=np.uint64) + np.uint64(SEED << 32)) | np.uint64(1)
     for batch in batches:
-        sizes, nodes, prefixes = [], [], []
+        sizes, nodes, paths = [], [], []
         for begin, end, data, starts in text_chunks(column(batch, "text")):
             sets = shingles(*word_hashes(data, starts), k)
             counts = np.array([len(s) for s in sets])
             sizes.append(counts)
             have = np.flatnonzero(counts)
             digest = np.zeros((end - begin, 2), np.uint64)
-            paths = np.zeros((end - begin, trees), np.uint64)
+            path = np.zeros((end - begin, trees, DEPTH + 1), np.uint8)
+            path[:, :, 0] = np.arange(trees)
             if len(have):
                 flat = np.concatenate(sets)
                 at = (np.cumsum(counts) - counts)[have]
                 digest[have, 0] = np.add.reduceat(mix(flat), at)
                 digest[have, 1] = np.add.reduceat(mix(flat ^ factors[0]), at)
-                for tree in range(trees):
-                    path = np.full(len(have), np.uint64(tree + 1))
-                    for factor in factors[tree * depth : (tree + 1) * depth]:
-                        path = mix(path ^ np.minimum.reduceat(flat * factor, at))
-                    paths[have, tree] = path
+                for number, factor in enumerate(factors):
+                    value = mix(np.minimum.reduceat(flat * factor, at)) >> np.uint64(56)
+                    path[have, number // DEPTH, number % DEPTH + 1] = value
             nodes += [row.tobytes() for row in digest]
-            prefixes.append(paths.view(np.int64))
-        paths = np.concatenate(prefixes) if prefixes else np.zeros((0, trees), np.int64)
-        offsets = np.arange(0, paths.size + 1, trees, dtype=np.int32)
+            paths += [row.tobytes() for row in path]
         yield pa.RecordBatch.from_arrays(
             [
                 column(batch, "doc_id"),
                 column(batch, "text_key"),
                 pa.array(nodes, pa.binary()),
                 pa.array(np.concatenate([np.zeros(0, np.int64), *sizes])),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(paths.ravel())),
+                pa.array(paths, pa.binary()),
             ],
             ["doc_id", "text_key", "node", "n", "paths"],
         )
 
 
+def _least_equal(threshold: float, values: int) -> float:
+    """Equal values that all but a few in a million pairs at the threshold have."""
+    return values * threshold - SLACK * (values * threshold * (1 - threshold)) ** 0.5
+
+
+def connected(signatures: np.ndarray, threshold: float) -> np.ndarray:
+    """For each row the first row of its component of probable links.
+
+    Rows are visited from link to link; each is compared with those not yet reached.
+    """
+    n, values = signatures.shape
+    glance = min(GLANCE, values)
+    first = np.ascontiguousarray(signatures[:, :glance])
+    some, all_ = _least_equal(threshold, glance), _least_equal(threshold, values)
+    root = np.arange(n)
+    place, live = np.arange(n), np.ones(n, bool)  # rows still compared with, and which of them are not reached
+    near = first
+    for seed in range(n):
+        if root[seed] != seed:
+            continue
+        live[np.searchsorted(place, seed)] = False
+        queue = [seed]
+        while queue:
+            at = queue.pop()
+            if 2 * np.count_nonzero(live) < len(live):
+                place, near = place[live], near[live]
+                live = np.ones(len(place), bool)
+            if not len(place):
+                break
+            maybe = np.flatnonzero(live & (np.count_nonzero(near == first[at], axis=1) >= some))
+            same = np.count_nonzero(signatures[place[maybe]] == signatures[at], axis=1)
+            maybe = maybe[same >= all_]
+            live[maybe] = False
+            root[place[maybe]] = seed
+            queue += place[maybe].tolist()
+    return root
+
+
+def _stars(batches: Iterator[pa.RecordBatch], trees: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    """``node, root`` for nodes of a cell with a probable link; rows come sorted by cell and node."""
+    held: list[pa.RecordBatch] = []
+
+    def stars(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        nodes = pa.concat_arrays([column(b, "node") for b in parts])
+        data = b"".join(column(b, "paths")[i].as_py() for b in parts for i in range(len(b)))
+        paths = np.frombuffer(data, np.uint8).reshape(len(nodes), trees, DEPTH + 1)[:, :, 1:]
+        root = connected(paths.reshape(len(nodes), trees * DEPTH), threshold)
+        linked = np.flatnonzero(root != np.arange(len(root)))
+        return pa.RecordBatch.from_arrays([nodes.take(pa.array(linked)), nodes.take(pa.array(root[linked]))], ["node", "root"])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        cells = column(batch, "cell").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+        for begin, end in zip(edges[:-1], edges[1:], strict=True):
+            if held and column(held[0], "cell")[0].as_py() != cells[begin]:
+                yield stars(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield stars(held)
+
+
+def _trie(nodes: DataFrame, trees: int, floor: int) -> DataFrame:
+    """``node, path``: the paths that share a prefix of ``floor`` values with another; others join nothing."""
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    path = F.transform(numbers, lambda tree: F.substring("paths", tree * (DEPTH + 1) + 1, F.lit(1 + max(START, floor))))
+    paths = nodes.select("node", F.explode(path).alias("path")).withColumn("prefix", F.substring("path", 1, 1 + floor))
+    shared = paths.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return paths.join(shared.select("prefix"), "prefix").select("node", "path")
+
+
+def _joined_by(trie: DataFrame, nodes: DataFrame, known: DataFrame, depth: int, trees: int, threshold: float) -> DataFrame:
+    """Probable links in the buckets of a prefix length that hold texts of more than one component."""
+    at = trie.select("node", F.substring("path", 1, 1 + depth).alias("bucket"))
+    rooted = at.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.groupBy("bucket").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count(F.lit(1)).alias("size"),
+        F.min("node").alias("head"),
+        F.bit_xor(F.xxhash64("node")).alias("members"),
+    )
+    open_ = open_.filter("low < high").groupBy("size", "head", "members").agg(F.min("bucket").alias("bucket"))
+    open_ = open_.select("bucket", F.ceil(F.col("size") / BLOCK_PATHS).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (F.col("blocks") == 1) | (x != F.col("block")))
+    cells = at.join(open_, "bucket").withColumn("block", block).withColumn("other", F.explode(others))
+    cells = cells.select("node", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("cell"))
+    rows = cells.join(nodes.select("node", "paths"), "node").repartition("cell").sortWithinPartitions("cell", "node")
+    return rows.mapInArrow(lambda batches: _stars(batches, trees, threshold), "node binary, root binary")
+
+
 def _verified(table: pa.Table, threshold: float, k: int) -> pa.Table:
     """Per node of the two blocks: documents it is linked to, and the least node it reaches."""
     limit = Fraction(str(threshold))
@@ -184,13 +289,13 @@ def classes(
     how many documents have the same shingles. ``keep`` marks the row of the class with the
     least (doc_id, text_key), and every row without words.
     """
-    depth = depth_for(threshold, recall, trees)
+    floor = depth_for(threshold, recall, trees)
     rows = docs.select(F.col(doc_id).alias("doc_id"), _text_key(text).alias("text_key"), F.col(text).alias("text"))
     id_type = docs.schema[doc_id].dataType.simpleString()
     sketch = stage(
         rows.mapInArrow(
-            lambda batches: _sketches(batches, trees, depth, k),
-            f"doc_id {id_type}, text_key bigint, node binary, n bigint, paths array<bigint>",
+            lambda batches: _sketches(batches, trees, k),
+            f"doc_id {id_type}, text_key bigint, node binary, n bigint, paths binary",
         ),
         "sketch",
     )
@@ -202,11 +307,11 @@ def classes(
         F.first("paths").alias("paths"),  # equal nodes have equal paths
     )
     kept = stage(nodes, "nodes")
-    buckets = kept.select("node", F.explode("paths").alias("bucket"))
     nodes = kept.drop("paths")
-    heads = buckets.groupBy("bucket").agg(F.min("node").alias("root"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    stars = buckets.join(heads.select("bucket", "root"), "bucket").select("node", "root")
-    found = components(stars, "candidates")
+    trie = stage(_trie(kept, trees, floor), "trie")
+    found = kept.sparkSession.createDataFrame([], "node binary, root binary")
+    for depth in prefixes_for(floor):
+        found = components(found.unionByName(_joined_by(trie, kept, found, depth, trees, threshold)), f"prefix-{depth}")
     roots = found.select("root").distinct().select(F.col("root").alias("node"), "root")
     member = found.select("node", "root").unionByName(roots)
     member = stage(member.join(nodes, "node"), "members")

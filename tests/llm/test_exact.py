@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import contamination as brute_contamination
 from helpers import jaccard_classes, kept_bytes, mixed, words
@@ -343,3 +344,39 @@ def test_fixity(spark):
     assert got == {0: ("changed", 0), 4097: ("missing", len("record 4096")), 8999: ("changed", begin), 20000: ("extra", None)}
     assert fixity.damaged(ours, ours).count() == 0
     assert fixity.damaged(ours.filter("false"), ours.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_crowd_falls_apart_before_it_is_verified(spark, monkeypatch, block):
+    """Texts of likeness 0.5 to each other, some with a near copy: only those are linked."""
+    monkeypatch.setattr(jaccard, "BLOCK_PATHS", block)
+    draw = random.Random(11)
+    common = [f"c{i}" for i in range(84)]
+    texts = []
+    for i in range(150):
+        own = common + [f"o{i}x{j}" for j in range(40)]
+        texts.append(" ".join(own))
+        if i % 10 == 0:
+            own[100] = "changed"
+            texts.append(" ".join(own))
+    draw.shuffle(texts)
+    seen = []
+    verified = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda links, name="links": (seen.append(verified(links, name)), seen[-1])[1])
+    rows = {r["doc_id"]: r for r in jaccard.classes(table(spark, texts)).collect()}
+    classes, degree = jaccard_classes(texts)
+    assert [rows[i]["class_id"] for i in range(len(texts))] == classes
+    assert [rows[i]["n_links"] for i in range(len(texts))] == degree
+    assert [found.count() for found in seen[-2:]] == [15, 15]  # candidates by signature, verified classes
+
+
+def test_signature_components():
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 256, (4, 576), dtype=np.uint8)
+    rows = []
+    for i in range(40):
+        row = base[i % 4].copy()
+        row[draw.choice(576, 60, replace=False)] = draw.integers(0, 256, 60)
+        rows.append(row)
+    assert jaccard.connected(np.array(rows), 0.8).tolist() == [i % 4 for i in range(40)]
+    assert jaccard.connected(np.zeros((0, 576), np.uint8), 0.8).tolist() == []
