@@ -99,8 +99,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], trees: int, k: int) -> Iterator
                 at = (np.cumsum(counts) - counts)[have]
                 digest[have, 0] = np.add.reduceat(mix(flat), at)
                 digest[have, 1] = np.add.reduceat(mix(flat ^ factors[0]), at)
-                for number, factor in enumerate(factors):
-                    value = mix(np.minimum.reduceat(flat * factor, at)) >> np.uint64(56)
+                half = (flat >> np.uint64(32)).astype(np.uint32)
+                for number, factor in enumerate(factors.astype(np.uint32)):
+                    value = mix(np.minimum.reduceat(half * factor, at).astype(np.uint64)) >> np.uint64(56)
                     path[have, number // DEPTH, number % DEPTH + 1] = value
             nodes += [row.tobytes() for row in digest]
             paths += [row.tobytes() for row in path]
