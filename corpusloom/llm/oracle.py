@@ -75,6 +75,7 @@ FROM o
 """
 
 _TEMPLATES = (
+    ("All rights reserved", "all rights reserved"),
     ("Apache-2.0", "licensed under the apache license version 2 0"),
     ("Apache-2.0 header", "you may not use this file except in compliance with the license"),
     ("BSD", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -108,14 +109,19 @@ SQL["op2_licenses"] = (
   SELECT s.doc_id, ts.name, ts.n, s.i, s.g FROM s JOIN ts USING (g)
 ), place AS (  -- a window of four words from word a0 + 1; what is looked a0 begins n - 2 shingles before it
   SELECT DISTINCT h.doc_id, h.name, h.n, a0 FROM (
-    SELECT doc_id, name, n, unnest([i - 1, i - 2, i - 3]) AS a0 FROM hit) AS h WHERE a0 >= 0 AND a0 % 2 = 0
+    SELECT doc_id, name, n, unnest([i - 1, i - 2, i - 3]) AS a0 FROM hit WHERE n >= 4) AS h WHERE a0 >= 0 AND a0 % 2 = 0
 ), share AS (
   SELECT p.doc_id, p.name, p.a0, count(DISTINCT h.g) AS got
   FROM place p JOIN hit h ON h.doc_id = p.doc_id AND h.name = p.name
    AND h.i >= greatest(p.a0 + 2 - p.n, 1) AND h.i < greatest(p.a0 + 2 - p.n, 1) + 2 * p.n + 4
   GROUP BY ALL
+), short AS (  -- templates that hold no window for certain: every stretch of their length that begins with a hit
+  SELECT p.doc_id, p.name, p.i, count(DISTINCT h.g) AS got
+  FROM hit p JOIN hit h ON h.doc_id = p.doc_id AND h.name = p.name AND h.i >= p.i AND h.i < p.i + p.n
+  WHERE p.n < 4 GROUP BY ALL
 ), found AS (
-  SELECT doc_id, name, max(got / kinds::DOUBLE) AS c FROM share JOIN tn USING (name) GROUP BY ALL HAVING max(got / kinds::DOUBLE) >= 0.8
+  SELECT doc_id, name, max(got / kinds::DOUBLE) AS c
+  FROM (SELECT doc_id, name, got FROM share UNION ALL SELECT doc_id, name, got FROM short) JOIN tn USING (name) GROUP BY ALL HAVING max(got / kinds::DOUBLE) >= 0.8
 )
 SELECT d.doc_id, count(name) AS n_licenses, coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses, max(c) AS containment
 FROM d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id
