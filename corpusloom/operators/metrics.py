@@ -62,8 +62,11 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, shares: dict[st
 
 
 def token_statistics(df: DataFrame, group: list[str], ids: str = "token_ids") -> DataFrame:
-    """Documents, tokens, mean, extremes and quartiles of length per group."""
-    sized = df.select(*group, F.size(ids).cast("bigint").alias("n"))
+    """Documents, tokens, mean, extremes and quartiles of length per group.
+
+    The lengths are written, as two passes read them: the texts are encoded once.
+    """
+    sized = stage(df.select(*group, F.size(ids).cast("bigint").alias("n")), "sizes")
     plain = sized.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum("n").alias("n_tokens"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import in_order, ints
 from corpusloom.functions.text import byte_ids, from_latin, pieces
 from corpusloom.operators.bpe import id_speller, piece_encoder
+from corpusloom.operators.lookup import piece_finder
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, token_text
 
 
@@ -51,21 +52,29 @@ def tokenize_by_lookup(
     add_eos: bool = False,
     allow_special: bool = True,
 ) -> DataFrame:
-    """Whole-piece look-up as a join; pieces outside the vocabulary become their bytes.
+    """Whole-piece look-up; pieces outside the vocabulary become their bytes.
 
     ``keys`` identify a row and are carried through. The one shuffle moves the texts by
-    key; with a broadcast vocabulary, exploding, joining and regrouping then all happen
-    where the text already is, and no exploded piece crosses the network.
+    key. While the vocabulary may be broadcast, each text's pieces are looked up side by side
+    where the text then is, so no piece becomes a row; a larger one is joined. Rows of equal
+    keys become one: first pieces first, then second ones, equal places in order of their ids.
     """
     known = vocab.table.filter((F.col("token_id") >= N_BYTES) & (F.octet_length("token") > 1)).select(
         F.col("token").cast("string").alias("piece"), "token_id", "is_special"
     )
     if not allow_special:
         known = known.filter(~F.col("is_special"))
-    exploded = _by_key(df.select(*keys, text), keys).select(
-        *keys, F.posexplode_outer(split_pieces(vocab, F.col(text), allow_special)).alias("at", "piece")
-    )
-    found = exploded.join(vocab.small(known.drop("is_special")), "piece", "left")
+    texts = _by_key(df.select(*keys, F.col(text).alias("_text")), keys)
+    if vocab.broadcastable:
+        split = lambda t: split_pieces(vocab, t, allow_special)
+        places = lambda t: F.transform(split(t), lambda _, at: at)
+        one = texts.groupBy(*keys).agg(F.collect_list("_text").alias("_texts"))
+        repeated = F.size("_texts") > 1
+        found = F.when(repeated, F.flatten(F.transform("_texts", split))).otherwise(split(F.get("_texts", F.lit(0))))
+        ids = piece_finder(known)(found, F.when(repeated, F.flatten(F.transform("_texts", places))))
+        return one.select(*keys, _finish(F.coalesce(ids, ints(F.array())), vocab, add_eos).alias(out))
+    exploded = texts.select(*keys, F.posexplode_outer(split_pieces(vocab, F.col("_text"), allow_special)).alias("at", "piece"))
+    found = exploded.join(known.drop("is_special"), "piece", "left")
     ids = F.when(F.col("token_id").isNull(), byte_ids(F.col("piece"))).otherwise(F.array("token_id"))
     ids = F.coalesce(ids, ints(F.array()))
     return (
