@@ -6,19 +6,24 @@ re-aggregations. Positions before the start of a stream or example count as toke
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import IGNORED
+from corpusloom.functions.arrays import IGNORED, ints
 from corpusloom.operators.metrics import NOT_A_NUMBER
 from corpusloom.operators.skew import split_join
 from corpusloom.operators.vocabulary import BROADCAST_ROWS
 from corpusloom.session import stage
 
 START = -1
+INT_MIN = -(1 << 31)
+COUNTED_TOKENS = 1 << 21  # 17 MB a column while they are sorted
 TRIGRAM = ["w1", "w2", "w3"]
 WEIGHT = 0.7  # share of each order's own estimate against the order below
 
@@ -93,14 +98,53 @@ def _triples(tokens: Column) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), triple))
 
 
-def stream_triples(stream: DataFrame) -> DataFrame:
-    """Every token of a stream with the two before it.
+def packed_triples(arrays: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The different triples of some token arrays as three columns, and how often each occurs."""
+    w1, w2, w3 = (np.concatenate([a[i : len(a) - 2 + i] for a in arrays if len(a) > 2] or [np.zeros(0, np.int32)]).astype(np.int64) for i in range(3))
+    least = min((int(a.min()) for a in (w1, w2, w3) if len(a)), default=0)
+    if all(int(a.max()) - least < 1 << 21 for a in (w1, w2, w3) if len(a)):
+        keys, n = np.unique(((w1 - least) << 42) + ((w2 - least) << 21) + w3 - least, return_counts=True)
+        return *(((keys >> by & (1 << 21) - 1) + least).astype(np.int32) for by in (42, 21, 0)), n
+    # Pairs are numbered, so that a number and an id of any size share 64 bits.
+    pairs, at = np.unique((w1 << 32) + w2, return_inverse=True)
+    keys, n = np.unique((at.astype(np.int64) << 32) + w3 - INT_MIN, return_counts=True)
+    pair = pairs[keys >> 32]
+    # The lower half of a pair carries the sign of its second token.
+    second = (pair & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+    return ((pair - second) >> 32).astype(np.int32), second, ((keys & 0xFFFFFFFF) + INT_MIN).astype(np.int32), n
+
+
+def _inner_counts(stream: DataFrame) -> DataFrame:
+    """``(w1, w2, w3, n)`` of the triples inside chunks, counted ``COUNTED_TOKENS`` tokens at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in packed_triples(held)], [*TRIGRAM, "n"])
+
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for tokens in batch.column(0):
+                if tokens.is_valid and len(tokens) > 2:
+                    held.append(tokens.values.to_numpy(zero_copy_only=False))
+                    size += len(held[-1])
+                if size >= COUNTED_TOKENS:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    return stream.select(ints(F.col("tokens"))).mapInArrow(run, "w1 int, w2 int, w3 int, n bigint")
+
+
+def stream_counts(stream: DataFrame, weight: float = 1.0) -> DataFrame:
+    """How often each token of a stream comes after the two before it.
 
     Triples inside a chunk come from the chunk alone; the first two tokens of a chunk
     take their context from the last two of the chunk before, an equi-join on two-token
-    rows. Chunks other than the last must hold at least two tokens.
+    rows. Chunks other than the last must hold at least two tokens. Each task counts the
+    former in arrays, so that only different triples become rows.
     """
-    inside = stream.select(F.inline(_triples(F.col("tokens"))))
     ends = stream.select(
         "split", "chunk_id", F.slice("tokens", 1, 2).alias("head"), F.slice("tokens", -2, 2).alias("tail")
     )
@@ -108,7 +152,9 @@ def stream_triples(stream: DataFrame) -> DataFrame:
     start = F.array(F.lit(START), F.lit(START))
     met = ends.join(previous, ["split", "chunk_id"], "left")
     edge = met.select(F.concat(F.coalesce("lead", start), "head").alias("tokens"))
-    return inside.unionByName(edge.select(F.inline(_triples(F.col("tokens")))))
+    across = edge.select(F.inline(_triples(F.col("tokens")))).withColumn("n", F.lit(1).cast("bigint"))
+    both = _inner_counts(stream).unionByName(across).groupBy(*TRIGRAM)
+    return both.agg((F.sum("n") * F.lit(float(weight))).alias("n"))
 
 
 def example_positions(examples: DataFrame, keep: list[str]) -> DataFrame:
@@ -128,7 +174,7 @@ def count_triples(triples: DataFrame, weight: float = 1.0) -> DataFrame:
 
 def fit_lm(stream: DataFrame, size: int, weight: float = WEIGHT) -> NgramModel:
     """Count a token stream; duplicates combine before the shuffle."""
-    return NgramModel(count_triples(stream_triples(stream)), size, weight)
+    return NgramModel(stream_counts(stream), size, weight)
 
 
 def merged(model: NgramModel, more: DataFrame) -> NgramModel:
@@ -144,7 +190,7 @@ def finetune_lm(model: NgramModel, examples: DataFrame, weight: float = 1.0) ->
 
 def resume_lm(model: NgramModel, stream: DataFrame) -> NgramModel:
     """Go on training: add a stream to the old counts, one step later."""
-    grown = merged(model, count_triples(stream_triples(stream)))
+    grown = merged(model, stream_counts(stream))
     return replace(grown, step=model.step + 1)
 
 
