@@ -1,9 +1,9 @@
 """Autoregressive generation for many sequences at once.
 
-A model whose counts fit a stated bound goes to the tasks whole: sequences are then written to
-their full length in one pass over the prompts, without a shuffle (``operators/drawing``). A
-larger one is joined by context, one Spark job and one written table per token. Both draw
-the same tokens.
+A model goes to the tasks as arrays, or as a file if its counts exceed a stated bound: sequences
+are written to their full length in one pass over the prompts, without a shuffle
+(``operators/drawing``). One too large even for the executors' disks, or a rule of one's own, is
+joined by context, one Spark job and one written table per token. All draw the same tokens.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from corpusloom.operators.decoding import (
     SAMPLE_TOP_K,
     cumulative,
 )
-from corpusloom.operators.drawing import MODEL_ROWS, Rule, drawn_in_one_pass
+from corpusloom.operators.drawing import FILE_ROWS, MODEL_ROWS, Rule, drawn_in_one_pass
 from corpusloom.operators.language_model import START, NgramModel, candidates
 from corpusloom.operators.tokenize import detokenize
 from corpusloom.operators.vocabulary import Vocabulary
@@ -62,11 +62,12 @@ def generate(
     ids: str = "token_ids",
     stops: tuple[int, ...] = (),
     model_rows: int = MODEL_ROWS,
+    file_rows: int = FILE_ROWS,
 ) -> DataFrame:
     """Prompt plus ``n_tokens`` new ones: ``key, token_ids, new_ids``.
 
     A sequence that draws one of ``stops`` ends there. The draw hashes (seed, key, step); it does
-    not depend on partitioning, retries, or on whether the model fits ``model_rows``.
+    not depend on partitioning, retries, or on whether the model fits ``model_rows`` or ``file_rows``.
     """
     model = model.stored()
     prompts = stage(prompts.select(key, ids), "prompts")
@@ -76,7 +77,7 @@ def generate(
         last_token(F.col(ids), 1).alias("w2"),
         ints(F.array()).alias("new_ids"),
     )
-    made = drawn_in_one_pass(state, model, key, n_tokens, choose, seed, stops, model_rows) if isinstance(choose, Rule) else None
+    made = drawn_in_one_pass(state, model, key, n_tokens, choose, seed, stops, model_rows, file_rows) if isinstance(choose, Rule) else None
     if made is None:
         made = _drawn_step_by_step(state, model, key, n_tokens, choose, k, seed, stops)
     made = stage(made, "generated")

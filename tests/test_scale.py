@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from corpusloom.operators import language_model as lm, lookup, metrics, tokenize, vocabulary
+from corpusloom.operators import generate, language_model as lm, lookup, metrics, rowfile, tokenize, vocabulary
 from corpusloom.plans import tables as tb
 
 
@@ -68,3 +68,29 @@ def test_counting_explodes_edges_only(spark, monkeypatch):
         counts = lm.fit_lm(stream, 5).counts
         assert plan_of(counts).count("MapInArrow") == 1
         assert {tuple(r)[:3]: r["n"] for r in counts.collect()} == Counter(zip(ids, ids[1:], ids[2:]))
+
+
+@pytest.mark.parametrize("rule", [generate.nucleus_chooser(0.7, 12, 0.9), generate.sample_chooser(0.8, 4)])
+def test_a_model_in_files_draws_what_the_joins_draw(spark, monkeypatch, rule):
+    """Beyond the bound of the arrays there is still one pass, not a job a token."""
+    some = np.random.default_rng(2)
+    tokens = [int(t) for t in some.integers(0, 11, size=900)]
+    stream = spark.createDataFrame([("train", 0, tokens[:500]), ("train", 1, tokens[500:])], "split string, chunk_id bigint, tokens array<int>")
+    model = lm.fit_lm(stream, 12).counted()
+    rows = spark.createDataFrame([(0, [1]), (1, [1, 2]), (2, [11, 11]), (3, []), (4, [5, 11])], "prompt_id int, token_ids array<int>")
+    made = [
+        sorted(tuple(r) for r in generate.generate(rows, model, "prompt_id", 5, rule, rule.k, 5, stops=(3,), model_rows=a, file_rows=b).select("prompt_id", "new_ids").collect())
+        for a, b in ((0, 10_000), (10_000, 0), (0, 0))
+    ]
+    assert made[0] == made[1] == made[2]
+    monkeypatch.setattr(generate, "_drawn_step_by_step", None)
+    assert generate.generate(rows, model, "prompt_id", 40, rule, rule.k, model_rows=0).count() == 5
+
+
+def test_rows_are_found_across_blocks(spark, monkeypatch):
+    """Keys of one row and of several blocks, keys that are not there, files in any number."""
+    keys = [3, 3, *[7] * 2_000, 9, *range(20, 900), 5_000_000_000]
+    rows = spark.createDataFrame([(k, i, float(i), 1.0, 0.5) for i, k in enumerate(keys)], "key bigint, id int, hits double, seen double, lower double")
+    held = rowfile.opened(rowfile.publish(rows.repartition(5)))
+    for key in (3, 7, 9, 20, 531, 899, 5_000_000_000, 0, 8, 900, 6_000_000_000):
+        assert held.find(key)["id"].tolist() == [i for i, k in enumerate(keys) if k == key]
