@@ -939,7 +939,7 @@ def finetuned_loss(spark, folder):
     coded = _examples(spark, folder, vocab)
     tensors = stage(finetune.split_tensors(coded, ["conv_id", "user_turn"], SEQ_LENGTH, 0.2), "tensors")
     base = lm.resize_vocab(_base_model(spark, folder), vocab.size)
-    tuned = lm.finetune_lm(base, tensors.filter("split = 'train'"))
+    tuned = lm.finetune_lm(base, tensors.filter("split = 'train'")).counted()
     scores = lm.batch_scores(tuned, tensors.filter("split = 'val'"), ["conv_id", "user_turn"])
     known = F.when(~F.isnan("loss"), F.col("loss"))
     return scores.select("conv_id", "user_turn", F.round(known, 6).alias("loss"), "n_targets")
