@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import END_OF_TEXT, SUBWORD_SPLIT, latin
+from corpusloom.operators.lookup import row_slices
 from corpusloom.operators.rankfile import RankFile, opened, publish
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, byte_rows, count_pieces, special_rows
 from corpusloom.session import stage, task_count
@@ -24,7 +25,8 @@ SURROGATES = (0xD800, 0xE000)
 LOOK_AHEAD = 2_048  # pairs of a round whose merges are looked through at once
 SEGMENTS = 200_000  # different stretches of such pairs on the driver at most
 SHORT_PIECE = 48  # bytes; longer pieces are merged with a queue
-MEMO_PIECES = 500_000  # pieces remembered by one Python worker
+MEMO_PIECES = 100_000  # pieces remembered by one Python worker, and those of one slice
+SLICE_PIECES = 1 << 17  # pieces encoded, or ids spelled, at a time; a longer text is a slice of its own
 
 
 def spelling(token_id: int) -> str:
@@ -275,6 +277,22 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int] | RankFile) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
+def _encoded(column: pa.Array, lengths: np.ndarray, memo: dict[str, list[int]], table: dict[bytes, int] | RankFile) -> pa.Array:
+    distinct = column.flatten().dictionary_encode()
+    encoded = []
+    for piece in distinct.dictionary.to_pylist():
+        ids = memo.get(piece)
+        if ids is None:
+            ids = memo[piece] = merge_piece(piece.encode(), table)
+        encoded.append(ids)
+    per_piece = pa.array(encoded, pa.list_(pa.int32())).take(distinct.indices)
+    # Offsets of pieces within rows, then of ids within pieces.
+    row_ends = lengths.cumsum()
+    id_ends = np.concatenate([[0], per_piece.value_lengths().to_numpy(zero_copy_only=False).cumsum()])
+    ends = np.concatenate([[0], id_ends[row_ends]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), per_piece.flatten(), mask=column.is_null())
+
+
 def piece_encoder(vocab: Vocabulary):
     """An Arrow function: array of pieces -> array of ids, each distinct piece encoded once.
 
@@ -296,24 +314,13 @@ def piece_encoder(vocab: Vocabulary):
         memo: dict[str, list[int]] = dict(specials)
         table = ranks.value if ranks is not None else opened(names)
         for column in batches:
-            distinct = column.flatten().dictionary_encode()
-            if len(memo) > MEMO_PIECES:
-                memo = dict(specials)
-            encoded = []
-            for piece in distinct.dictionary.to_pylist():
-                ids = memo.get(piece)
-                if ids is None:
-                    ids = memo[piece] = merge_piece(piece.encode(), table)
-                encoded.append(ids)
-            per_piece = pa.array(encoded, pa.list_(pa.int32())).take(distinct.indices)
-            # Offsets of pieces within rows, then of ids within pieces.
             lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            row_ends = lengths.cumsum()
-            id_ends = per_piece.value_lengths().to_numpy(zero_copy_only=False).cumsum()
-            ends = [0] + [int(id_ends[e - 1]) if e else 0 for e in row_ends]
-            yield pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), per_piece.flatten(), mask=column.is_null()
-            )
+            made = [pa.array([], pa.list_(pa.int32()))]
+            for first, end in row_slices(lengths, SLICE_PIECES):
+                if len(memo) > MEMO_PIECES:
+                    memo = dict(specials)
+                made.append(_encoded(column.slice(first, end - first), lengths[first:end], memo, table))
+            yield pa.concat_arrays(made)
 
     return F.arrow_udf(encode, "array<int>")
 
@@ -336,12 +343,15 @@ def id_speller(vocab: Vocabulary):
         table = pa.array(shared.value, pa.large_binary())
         unknown = len(table) - 1
         for column in batches:
-            ids = column.flatten().fill_null(unknown).to_numpy(zero_copy_only=False)
-            ids = np.where((ids >= 0) & (ids < unknown), ids, unknown)
-            taken = table.take(pa.array(ids))
-            ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1]
-            at = np.concatenate([[0], column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()])
-            offsets = pa.py_buffer(ends[at].astype(np.int32)) if len(ids) else pa.py_buffer(np.zeros(len(column) + 1, np.int32))
-            yield pa.BinaryArray.from_buffers(pa.binary(), len(column), [None, offsets, taken.buffers()[2]])
+            lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            made = [pa.array([], pa.binary())]
+            for first, end in row_slices(lengths, SLICE_PIECES):
+                ids = column.slice(first, end - first).flatten().fill_null(unknown).to_numpy(zero_copy_only=False)
+                ids = np.where((ids >= 0) & (ids < unknown), ids, unknown)
+                taken = table.take(pa.array(ids))
+                ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+                at = np.concatenate([[0], lengths[first:end].cumsum()])
+                made.append(pa.BinaryArray.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(ends[at].astype(np.int32)), taken.buffers()[2]]))
+            yield pa.concat_arrays(made)
 
     return F.arrow_udf(spell, "binary")

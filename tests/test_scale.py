@@ -7,7 +7,8 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from corpusloom.operators import generate, language_model as lm, lookup, metrics, rowfile, tokenize, vocabulary
+from corpusloom.functions.text import pieces
+from corpusloom.operators import bpe, generate, language_model as lm, lookup, metrics, rowfile, tokenize, vocabulary
 from corpusloom.plans import tables as tb
 
 
@@ -94,3 +95,22 @@ def test_rows_are_found_across_blocks(spark, monkeypatch):
     held = rowfile.opened(rowfile.publish(rows.repartition(5)))
     for key in (3, 7, 9, 20, 531, 899, 5_000_000_000, 0, 8, 900, 6_000_000_000):
         assert held.find(key)["id"].tolist() == [i for i, k in enumerate(keys) if k == key]
+
+
+@pytest.mark.parametrize("most", [1, 5, 1 << 17])
+def test_encoding_and_spelling_by_slices(spark, monkeypatch, most):
+    """Batches are worked on in bounded slices of whole rows; nulls and empty texts keep their place."""
+    texts = ["aa ab", None, "", "b" * 70, "aab abab é", None, "", "x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    vocab = bpe.learn_vocabulary(rows, 6)
+    ranks = {bytes(r["token"]): r["token_id"] for r in vocab.table.filter("NOT is_special").collect()}
+    want = [[i for p in r["p"] or [] for i in bpe.merge_piece(p.encode(), ranks)] for r in rows.orderBy("doc_id").select(pieces(F.col("text")).alias("p")).collect()]
+    monkeypatch.setattr(bpe, "SLICE_PIECES", most)
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 2)
+    coded = tokenize.tokenize(rows, vocab)
+    assert [r["token_ids"] for r in coded.orderBy("doc_id").collect()] == want
+    back = tokenize.detokenize(coded, vocab, ["doc_id"]).orderBy("doc_id").collect()
+    assert [r["text"] for r in back] == [t or "" for t in texts]
+    if most < 10:
+        sizes = np.array([3, 0, 9, 1, 1])
+        assert [(a, b) for a, b in lookup.row_slices(sizes, 5)] == [(0, 2), (2, 3), (3, 5)]
