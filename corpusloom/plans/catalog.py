@@ -865,8 +865,8 @@ def sampled_tokens(spark, folder):
 # --- language model --------------------------------------------------------------------
 
 
-def _base_model(spark, folder, chunks=None):
-    chunks = tb.stream(spark, folder) if chunks is None else chunks
+def _base_model(spark, folder, chunks=None, counted=None):
+    chunks = tb.stream(spark, folder, counted) if chunks is None else chunks
     return lm.fit_lm(chunks.filter("split = 'train'"), VOCAB_SIZE).counted()
 
 
@@ -882,8 +882,9 @@ def trigram_counts(spark, folder):
 
 @query
 def finetuned_counts(spark, folder):
-    vocab = tb.chat_vocabulary(spark, folder)
-    tuned = lm.finetune_lm(lm.resize_vocab(_base_model(spark, folder), vocab.size), _sft_tensors(spark, folder, vocab), 2.0)
+    counted = tb.vocabulary(spark, folder)
+    vocab = vc.extend(counted)
+    tuned = lm.finetune_lm(lm.resize_vocab(_base_model(spark, folder, counted=counted), vocab.size), _sft_tensors(spark, folder, vocab), 2.0)
     return tuned.counts
 
 
@@ -900,8 +901,9 @@ def resumed_counts(spark, folder):
 @query
 def token_scores(spark, folder):
     """Log-probability of every trained target of the instruction examples, after resizing."""
-    vocab = tb.chat_vocabulary(spark, folder)
-    model = lm.resize_vocab(_base_model(spark, folder), vocab.size)
+    counted = tb.vocabulary(spark, folder)
+    vocab = vc.extend(counted)
+    model = lm.resize_vocab(_base_model(spark, folder, counted=counted), vocab.size)
     tensors = stage(_sft_tensors(spark, folder, vocab), "tensors")
     scored = lm.score(model, tensors, ["conv_id", "user_turn"])
     return scored.filter(F.col("w3").isNotNull()).select("conv_id", "user_turn", "pos", rounded("log_prob"))
@@ -935,10 +937,11 @@ def best_version(spark, folder):
 @query
 def finetuned_loss(spark, folder):
     """Loss of the fine-tuned model on each held-out instruction example."""
-    vocab = tb.chat_vocabulary(spark, folder)
+    counted = tb.vocabulary(spark, folder)
+    vocab = vc.extend(counted)
     coded = _examples(spark, folder, vocab)
     tensors = stage(finetune.split_tensors(coded, ["conv_id", "user_turn"], SEQ_LENGTH, 0.2), "tensors")
-    base = lm.resize_vocab(_base_model(spark, folder), vocab.size)
+    base = lm.resize_vocab(_base_model(spark, folder, counted=counted), vocab.size)
     tuned = lm.finetune_lm(base, tensors.filter("split = 'train'")).counted()
     scores = lm.batch_scores(tuned, tensors.filter("split = 'val'"), ["conv_id", "user_turn"])
     known = F.when(~F.isnan("loss"), F.col("loss"))
@@ -959,7 +962,7 @@ def untrained_perplexity(spark, folder):
 def next_candidates(spark, folder):
     """The likeliest tokens after the last two tokens of every conversation."""
     vocab = tb.vocabulary(spark, folder)
-    model = _base_model(spark, folder).stored()
+    model = _base_model(spark, folder, counted=vocab).stored()
     turns = tb.coded_turns(spark, folder, vocab)
     ends = turns.groupBy("conv_id").agg(F.max_by("token_ids", "turn").alias("ids"))
     contexts = ends.select(gn.last_token(F.col("ids"), 2).alias("w1"), gn.last_token(F.col("ids"), 1).alias("w2")).distinct()
@@ -976,7 +979,7 @@ def _prompts(spark, folder):
 def generated_tokens(spark, folder):
     vocab = tb.vocabulary(spark, folder)
     prompts = tk.tokenize_by_lookup(_prompts(spark, folder), vocab, ["prompt_id"], "prompt")
-    made = gn.generate(prompts, _base_model(spark, folder), "prompt_id", 4, gn.nucleus_chooser(), dc.REPLY_TOP_K, seed=3)
+    made = gn.generate(prompts, _base_model(spark, folder, counted=vocab), "prompt_id", 4, gn.nucleus_chooser(), dc.REPLY_TOP_K, seed=3)
     return made.select("prompt_id", written("token_ids").alias("ids"))
 
 
@@ -984,14 +987,14 @@ def generated_tokens(spark, folder):
 def prompt_completions(spark, folder):
     vocab = tb.vocabulary(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
-    return gn.completions(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=4)
+    return gn.completions(_prompts(spark, folder), _base_model(spark, folder, counted=vocab), vocab, encode, n_tokens=4)
 
 
 @query
 def training_samples(spark, folder):
     vocab = tb.vocabulary(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
-    return gn.training_samples(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=4)
+    return gn.training_samples(_prompts(spark, folder), _base_model(spark, folder, counted=vocab), vocab, encode, n_tokens=4)
 
 
 @query
@@ -999,7 +1002,7 @@ def evaluation_completions(spark, folder):
     """Completions at the length of an evaluation."""
     vocab = tb.vocabulary(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
-    return gn.completions(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=dc.EVAL_TOKENS)
+    return gn.completions(_prompts(spark, folder), _base_model(spark, folder, counted=vocab), vocab, encode, n_tokens=dc.EVAL_TOKENS)
 
 
 @query
@@ -1007,13 +1010,14 @@ def evaluation_samples(spark, folder):
     """The samples of an evaluation while training, at their length."""
     vocab = tb.vocabulary(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["prompt_id"], "prompt")
-    return gn.training_samples(_prompts(spark, folder), _base_model(spark, folder), vocab, encode, n_tokens=dc.SAMPLE_TOKENS)
+    return gn.training_samples(_prompts(spark, folder), _base_model(spark, folder, counted=vocab), vocab, encode, n_tokens=dc.SAMPLE_TOKENS)
 
 
 def _replied(spark, folder, max_tokens: int) -> DataFrame:
     """A reply to every conversation from the fine-tuned model, appended as its next turn."""
-    vocab = tb.chat_vocabulary(spark, folder)
-    base = lm.resize_vocab(_base_model(spark, folder), vocab.size)
+    counted = tb.vocabulary(spark, folder)
+    vocab = vc.extend(counted)
+    base = lm.resize_vocab(_base_model(spark, folder, counted=counted), vocab.size)
     tuned = lm.finetune_lm(base, _sft_tensors(spark, folder, vocab), 4.0)
     turns = tb.conversations(spark, folder)
     encode = lambda df: tk.tokenize_by_lookup(df, vocab, ["conv_id", "turn", "role"])

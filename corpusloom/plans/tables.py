@@ -47,14 +47,15 @@ def coded_documents(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize_by_lookup(table(spark, folder, "documents"), vocab, ["doc_id"])
 
 
-def split_documents(spark: SparkSession, folder: str) -> DataFrame:
-    vocab = piece_vocabulary(documents(spark, folder), VOCAB_SIZE)
+def split_documents(spark: SparkSession, folder: str, counted: Vocabulary | None = None) -> DataFrame:
+    """``counted``: the vocabulary of :func:`vocabulary`, if it is at hand."""
+    vocab = counted or piece_vocabulary(documents(spark, folder), VOCAB_SIZE)
     encode = lambda df: tokenize_by_lookup(df, vocab, ["doc_id"])
     return tokenized_corpus(table(spark, folder, "documents"), encode)
 
 
-def stream(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(lay_out_stream(split_documents(spark, folder), chunk=CHUNK), "stream")
+def stream(spark: SparkSession, folder: str, counted: Vocabulary | None = None) -> DataFrame:
+    return stage(lay_out_stream(split_documents(spark, folder, counted), chunk=CHUNK), "stream")
 
 
 def coded_turns(spark: SparkSession, folder: str, vocab: Vocabulary) -> DataFrame:

@@ -114,3 +114,16 @@ def test_encoding_and_spelling_by_slices(spark, monkeypatch, most):
     if most < 10:
         sizes = np.array([3, 0, 9, 1, 1])
         assert [(a, b) for a, b in lookup.row_slices(sizes, 5)] == [(0, 2), (2, 3), (3, 5)]
+
+
+def test_pieces_are_counted_once(spark, monkeypatch):
+    """A query with a vocabulary and a model of the same documents counts their pieces once."""
+    from __spark_entry__ import queries
+
+    counted = []
+    count = vocabulary.count_pieces
+    monkeypatch.setattr(vocabulary, "count_pieces", lambda *a: counted.append(1) or count(*a))
+    for name in ("next_candidates", "finetuned_counts"):
+        counted.clear()
+        queries()[name](spark, SMALL)
+        assert len(counted) == 1
