@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from corpusloom.functions.text import byte_ids, from_latin, pieces
 from corpusloom.operators.bpe import id_speller, piece_encoder
 from corpusloom.operators.lookup import piece_finder
 from corpusloom.operators.vocabulary import N_BYTES, Vocabulary, token_text
+from corpusloom.session import stage
 
 
 def split_pieces(vocab: Vocabulary, text: Column, allow_special: bool = True) -> Column:
@@ -25,6 +29,18 @@ def _by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys)
 
 
+def _by_repetition(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose keys occur once, and the others; null keys are keys like any other.
+
+    The repeated keys are written, so that few of them are sent around: rows stay where they are.
+    """
+    own = {k: f"_own_{k}" for k in keys}
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = stage(repeated.select(*keys), "repeated-keys").withColumnsRenamed(own)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()])
+    return df.join(repeated, same, "left_anti"), df.join(repeated, same, "left_semi")
+
+
 def tokenize(
     df: DataFrame,
     vocab: Vocabulary,
@@ -54,25 +70,29 @@ def tokenize_by_lookup(
 ) -> DataFrame:
     """Whole-piece look-up; pieces outside the vocabulary become their bytes.
 
-    ``keys`` identify a row and are carried through. The one shuffle moves the texts by
-    key. While the vocabulary may be broadcast, each text's pieces are looked up side by side
-    where the text then is, so no piece becomes a row; a larger one is joined. Rows of equal
-    keys become one: first pieces first, then second ones, equal places in order of their ids.
+    ``keys`` identify a row and are carried through. Rows of equal keys become one: first
+    pieces first, then second ones, equal places in order of their ids. While the vocabulary
+    may be broadcast, each text's pieces are looked up side by side where the text is read, so
+    no piece becomes a row; only the keys are counted, and only texts whose key is repeated
+    are moved. A larger vocabulary is joined, and the texts are moved by key.
     """
     known = vocab.table.filter((F.col("token_id") >= N_BYTES) & (F.octet_length("token") > 1)).select(
         F.col("token").cast("string").alias("piece"), "token_id", "is_special"
     )
     if not allow_special:
         known = known.filter(~F.col("is_special"))
-    texts = _by_key(df.select(*keys, F.col(text).alias("_text")), keys)
+    texts = df.select(*keys, F.col(text).alias("_text"))
     if vocab.broadcastable:
         split = lambda t: split_pieces(vocab, t, allow_special)
         places = lambda t: F.transform(split(t), lambda _, at: at)
-        one = texts.groupBy(*keys).agg(F.collect_list("_text").alias("_texts"))
-        repeated = F.size("_texts") > 1
-        found = F.when(repeated, F.flatten(F.transform("_texts", split))).otherwise(split(F.get("_texts", F.lit(0))))
-        ids = piece_finder(known)(found, F.when(repeated, F.flatten(F.transform("_texts", places))))
-        return one.select(*keys, _finish(F.coalesce(ids, ints(F.array())), vocab, add_eos).alias(out))
+        find = piece_finder(known)
+        once, again = _by_repetition(texts, keys)
+        again = again.groupBy(*keys).agg(F.collect_list("_text").alias("_texts"))
+        single = find(split(F.col("_text")), F.lit(None).cast("array<int>"))
+        several = find(F.flatten(F.transform("_texts", split)), F.flatten(F.transform("_texts", places)))
+        done = lambda ids: _finish(F.coalesce(ids, ints(F.array())), vocab, add_eos).alias(out)
+        return once.select(*keys, done(single)).unionAll(again.select(*keys, done(several)))
+    texts = _by_key(texts, keys)
     exploded = texts.select(*keys, F.posexplode_outer(split_pieces(vocab, F.col("_text"), allow_special)).alias("at", "piece"))
     found = exploded.join(known.drop("is_special"), "piece", "left")
     ids = F.when(F.col("token_id").isNull(), byte_ids(F.col("piece"))).otherwise(F.array("token_id"))

@@ -156,7 +156,7 @@ def decoded_documents(spark, folder):
 @query
 def compression_by_language(spark, folder):
     vocab = tb.vocabulary(spark, folder)
-    docs = tb.table(spark, folder, "documents").select(
+    docs = tb.documents(spark, folder).select(
         "doc_id", "lang", "text", F.char_length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes")
     )
     coded = tk.tokenize_by_lookup(docs, vocab, ["doc_id", "lang", "n_chars", "n_bytes"])

@@ -44,14 +44,14 @@ def chat_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
 
 def coded_documents(spark: SparkSession, folder: str) -> DataFrame:
     vocab = piece_vocabulary(documents(spark, folder), VOCAB_SIZE)
-    return tokenize_by_lookup(table(spark, folder, "documents"), vocab, ["doc_id"])
+    return tokenize_by_lookup(documents(spark, folder), vocab, ["doc_id"])
 
 
 def split_documents(spark: SparkSession, folder: str, counted: Vocabulary | None = None) -> DataFrame:
     """``counted``: the vocabulary of :func:`vocabulary`, if it is at hand."""
     vocab = counted or piece_vocabulary(documents(spark, folder), VOCAB_SIZE)
     encode = lambda df: tokenize_by_lookup(df, vocab, ["doc_id"])
-    return tokenized_corpus(table(spark, folder, "documents"), encode)
+    return tokenized_corpus(documents(spark, folder), encode)
 
 
 def stream(spark: SparkSession, folder: str, counted: Vocabulary | None = None) -> DataFrame:

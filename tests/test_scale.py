@@ -38,6 +38,15 @@ def test_lookup_equals_the_join(spark, chat_vocab, monkeypatch, most):
             assert coded() == got
 
 
+def test_texts_are_looked_up_where_they_are_read(spark, chat_vocab):
+    """Only rows of repeated keys, null keys among them, are moved and become one."""
+    docs = spark.range(0, 40, 1, 5).select("id", F.concat(F.lit("a"), F.col("id").cast("string")).alias("text"))
+    coded = lambda df: [(r["id"], bytes(r["token_ids"]).decode()) for r in tokenize.tokenize_by_lookup(df, chat_vocab, ["id"]).collect()]
+    assert coded(docs) == [(i, f"a{i}") for i in range(40)]
+    odd = spark.createDataFrame([(None, "b"), (None, "b"), (3, "a3"), (-1, None), (-1, None)], "id bigint, text string")
+    assert Counter(coded(docs.unionByName(odd))) == Counter([(None, "bb"), (-1, ""), (3, "aa33"), *((i, f"a{i}") for i in range(40) if i != 3)])
+
+
 def test_statistics_encode_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
