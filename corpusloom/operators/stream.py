@@ -2,50 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import in_order, ints
 from corpusloom.functions.keys import hash60
 from corpusloom.operators.examples import shifted
-from corpusloom.operators.ordered import UNBOUNDED, bucket_prefix
+from corpusloom.operators.ordered import bucket_prefix
 from corpusloom.operators.skew import split_join
 from corpusloom.session import stage, task_count
 
 CHUNK_TOKENS = 8192
 BROADCAST_DRAWS = 1_000_000  # 24 bytes each
+STRETCH_TOKENS = 1 << 21  # chunks of a stretch are laid out together
+TASK_TOKENS = 1 << 25  # 128 MB, sorted in memory
 EPOCH_LENGTH = 100_000  # fixed value: window draws per epoch
 
 
-def _placed(docs: DataFrame, ids: str) -> DataFrame:
-    """Rows with the place of their first token in the stream of their split."""
+def _stretched(docs: DataFrame, ids: str, chunk: int) -> tuple[DataFrame, int, int]:
+    """Rows with the start of their bucket, once per stretch it touches; a stretch's chunks; all tokens.
+
+    No bucket holds more tokens than a stretch, so none touches more than two.
+    """
     n = F.col("n_tokens") if "n_tokens" in docs.columns else F.size(ids)
-    keyed = docs.select("split", "bucket", "order_key", F.col(ids).alias("ids"), n.cast("bigint").alias("n"))
+    keyed = docs.select("split", "bucket", "order_key", F.col(ids).alias("ids"), n.cast("bigint").alias("n")).filter("n > 0")
     totals = keyed.groupBy("split", "bucket").agg(F.sum("n").alias("_n"))
-    starts = bucket_prefix(totals, "_n", ("split",)).drop("_n")
-    inside = Window.partitionBy("split", "bucket").orderBy("order_key").rowsBetween(UNBOUNDED, -1)
-    return (
-        keyed.withColumn("_in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(starts, ["split", "bucket"])
-        .withColumn("start", F.col("before") + F.col("_in"))
-        .filter("n > 0")
-    )
-
-
-def _slices(ids: Column, start: Column, n: Column, chunk: int) -> Column:
-    """The parts of one document that fall into each chunk, as (chunk_id, at, part)."""
-    first, last = F.floor(start / chunk), F.floor((start + n - 1) / chunk)
-
-    def part(c: Column) -> Column:
-        at = F.greatest(start, c * chunk)
-        end = F.least(start + n, (c + 1) * chunk)
-        return F.struct(
-            c.alias("chunk_id"),
-            at.alias("at"),
-            F.slice(ids, (at - start + 1).cast("int"), (end - at).cast("int")).alias("part"),
-        )
-
-    return F.transform(F.sequence(first, last), part)
+    sizes = totals.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("all"), F.coalesce(F.max("_n"), F.lit(0)).alias("most")).first()
+    chunks = -(-max(STRETCH_TOKENS, sizes["most"]) // chunk)
+    last = F.col("before") + F.col("_n") - 1
+    touched = F.explode(F.sequence(F.floor(F.col("before") / (chunk * chunks)), F.floor(last / (chunk * chunks))))
+    starts = bucket_prefix(totals, "_n", ("split",)).select("split", "bucket", "before", touched.alias("stretch"))
+    # At most two rows per bucket and split, of which there are 65,536.
+    return keyed.join(F.broadcast(starts), ["split", "bucket"]), chunks, sizes["all"]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, chunks: int) -> Iterator[pa.RecordBatch]:
+    """The chunks of each stretch, from its documents in order; those at its ends come with tokens of others."""
+    names: list[str] = []
+    ends: list[int] = []
+    cut: list[pa.Array] = []
+    held: list[pa.Array] = []
+    at, bucket = 0, None  # the place after the last token seen, and where it was
+
+    def close() -> None:
+        names.append(bucket[0])
+        ends.append(at)
+        cut.append(held[0] if len(held) == 1 else pa.concat_arrays(held))
+        held.clear()
+
+    def made() -> pa.RecordBatch:
+        sizes = np.array([len(x) for x in cut])
+        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.concat_arrays(cut))
+        last = np.array(ends)
+        columns = [pa.array(names, pa.string()), pa.array((last - 1) // chunk), pa.array(last - sizes), pa.array(sizes), tokens]
+        names.clear(), ends.clear(), cut.clear()
+        return pa.RecordBatch.from_arrays(columns, ["split", "chunk_id", "start_pos", "n_tokens", "tokens"])
+
+    for batch in batches:
+        splits, stretches, starts, ids = batch.columns
+        splits, stretches, starts = np.array(splits.to_pylist(), object), stretches.to_numpy(), starts.to_numpy()
+        new = (splits[1:] != splits[:-1]) | (stretches[1:] != stretches[:-1]) | (starts[1:] != starts[:-1])
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(splits)]
+        for first, end in zip(edges[:-1], edges[1:], strict=True):
+            if first == end:
+                continue
+            here = (splits[first], int(stretches[first]), int(starts[first]))
+            if held and here[:2] != bucket[:2]:
+                close()
+            if here != bucket:  # else the bucket goes on from the batch before
+                bucket, at = here, here[2]
+            tokens = ids.slice(first, end - first).flatten()
+            begin = here[1] * chunk * chunks
+            start, after = at, at + len(tokens)
+            at, upto = max(start, begin), min(after, begin + chunk * chunks)
+            while at < upto:
+                take = min(chunk - at % chunk, upto - at)
+                held.append(tokens.slice(at - start, take))
+                at += take
+                if at % chunk == 0:
+                    close()
+            at = after  # the tokens of other stretches are passed over
+        if cut:
+            yield made()
+    if held:
+        close()
+        yield made()
 
 
 def lay_out_stream(docs: DataFrame, ids: str = "token_ids", chunk: int = CHUNK_TOKENS) -> DataFrame:
@@ -53,31 +98,17 @@ def lay_out_stream(docs: DataFrame, ids: str = "token_ids", chunk: int = CHUNK_T
 
     ``docs`` carries ``split, bucket, order_key`` from a split operator and should be a
     stored table, as it is read twice; with a stored ``n_tokens`` the first pass reads
-    only that. Documents move once, to their
-    bucket; a bucket is a contiguous stretch of the stream, so whole chunks are built
-    there, and only the chunks cut by a bucket's edge meet in a second, small shuffle.
+    only that. Documents move once, to their stretch of whole chunks, and are sorted there;
+    those of a bucket on the border of two stretches go to both. As many tasks take part as
+    sort their share in memory, or as the session is sized for.
     """
-    placed = _placed(docs, ids)
-    cut = placed.select("split", "bucket", F.inline(_slices(F.col("ids"), F.col("start"), F.col("n"), chunk)))
-    together = lambda df, *keys: (
-        df.groupBy(*keys)
-        .agg(
-            F.min("at").alias("at"),
-            F.sum(F.size("part")).alias("n"),
-            F.collect_list(F.struct("at", "part")).alias("_parts"),
-        )
-        .withColumn("part", in_order(F.col("_parts"), "part"))
-        .drop("_parts")
-    )
-    local = together(cut, "split", "bucket", "chunk_id").drop("bucket")
-    whole = local.filter(F.col("n") == chunk)
-    edges = together(local.filter(F.col("n") < chunk), "split", "chunk_id")
-    return whole.unionByName(edges).select(
-        "split",
-        F.col("chunk_id").cast("bigint").alias("chunk_id"),
-        F.col("at").cast("bigint").alias("start_pos"),
-        F.col("n").alias("n_tokens"),
-        ints(F.col("part")).alias("tokens"),
+    placed, chunks, total = _stretched(docs, ids, chunk)
+    tasks = -(-total // TASK_TOKENS)
+    number = [tasks] if tasks > task_count(docs.sparkSession) else []
+    in_place = placed.repartition(*number, "split", "stretch").sortWithinPartitions("split", "stretch", "before", "order_key")
+    return in_place.select("split", "stretch", "before", ints(F.col("ids"))).mapInArrow(
+        lambda batches: _chunks(batches, chunk, chunks),
+        "split string, chunk_id bigint, start_pos bigint, n_tokens bigint, tokens array<int>",
     )
 
 

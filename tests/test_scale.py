@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import pieces
 from corpusloom.operators import bpe, generate, language_model as lm, lookup, metrics, rowfile, tokenize, vocabulary
+from corpusloom.operators import stream as st
 from corpusloom.plans import tables as tb
 
 
@@ -47,6 +48,30 @@ def test_texts_are_looked_up_where_they_are_read(spark, chat_vocab):
     assert Counter(coded(docs.unionByName(odd))) == Counter([(None, "bb"), (-1, ""), (3, "aa33"), *((i, f"a{i}") for i in range(40) if i != 3)])
 
 
+@pytest.mark.parametrize(("stretch", "records"), [(1, 2), (50, 3), (1 << 20, 10_000)])
+def test_layout_sorts_ids_once(spark, monkeypatch, stretch, records):
+    """Buckets of several documents, over batches and stretches; empty documents fill nothing."""
+    some = np.random.default_rng(2)
+    sizes = some.integers(0, 30, size=60).tolist()
+    ids = {i: some.integers(0, 99, size=n).tolist() for i, n in enumerate(sizes)}
+    rows = [("val" if i % 9 == 0 else "train", f"{i // 4:04x}", f"{i:06d}", t) for i, t in ids.items()]
+    docs = spark.createDataFrame(rows, "split string, bucket string, order_key string, token_ids array<int>").repartition(7)
+    monkeypatch.setattr(st, "STRETCH_TOKENS", stretch)
+    monkeypatch.setattr(st, "TASK_TOKENS", stretch * 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    try:
+        laid = st.lay_out_stream(docs, chunk=16)
+        assert "collect_list" not in plan_of(laid)
+        got = sorted((r["split"], r["chunk_id"], r["start_pos"], r["n_tokens"], r["tokens"]) for r in laid.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for split in ("train", "val"):
+        whole = [t for r in rows if r[0] == split for t in r[3]]
+        want += [(split, c // 16, c, len(whole[c : c + 16]), whole[c : c + 16]) for c in range(0, len(whole), 16)]
+    assert got == want
+
+
 def test_statistics_encode_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
