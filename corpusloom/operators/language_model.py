@@ -12,10 +12,12 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import IGNORED, ints
+from corpusloom.operators.bitmap import among
 from corpusloom.operators.metrics import NOT_A_NUMBER
 from corpusloom.operators.skew import split_join
 from corpusloom.operators.vocabulary import BROADCAST_ROWS
@@ -25,6 +27,7 @@ START = -1
 INT_MIN = -(1 << 31)
 COUNTED_TOKENS = 1 << 21  # 17 MB a column while they are sorted
 TRIGRAM = ["w1", "w2", "w3"]
+MET = ["c3", "n2", "c2", "n1", "c1"]
 WEIGHT = 0.7  # share of each order's own estimate against the order below
 
 
@@ -59,7 +62,7 @@ class NgramModel:
         return self._bounded(self.counts.groupBy("w3").agg(F.sum("n").alias("c1")))
 
     def total(self) -> Column:
-        return self.counts.agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("n")).scalar()
+        return self.tokens.agg(F.coalesce(F.sum("c1"), F.lit(0.0)).alias("n")).scalar()
 
     def mix(self, hits: Column, seen: Column, lower: Column) -> Column:
         """A seen context mixes its own estimate with the order below; an unseen one defers."""
@@ -79,6 +82,21 @@ class NgramModel:
         """The same model with its counts written: what follows reads them, not the text."""
         return replace(self, counts=stage(self.counts, "ngram-trigrams", path))
 
+    def summed(self) -> "NgramModel":
+        """The same model with its tables of a row per token written, if tokens are few and they are not."""
+        if self.size > BROADCAST_ROWS or "tokens" in self.__dict__:
+            return self
+        kept = replace(self)
+        for table in ("contexts", "tokens"):
+            kept.__dict__[table] = self._bounded(stage(getattr(self, table), f"ngram-{table}"))
+        return kept
+
+    def under(self, weight: float, step: int) -> "NgramModel":
+        """The same tables under another weight."""
+        other = replace(self, weight=weight, step=step)
+        other.__dict__.update({t: self.__dict__[t] for t in ("pairs", "pair_contexts", "contexts", "tokens") if t in self.__dict__})
+        return other
+
     def stored(self, name: str = "ngram") -> "NgramModel":
         """The same model with all its tables written, for use token by token."""
         kept = self.counted()
@@ -100,7 +118,12 @@ def _triples(tokens: Column) -> Column:
 
 def packed_triples(arrays: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """The different triples of some token arrays as three columns, and how often each occurs."""
-    w1, w2, w3 = (np.concatenate([a[i : len(a) - 2 + i] for a in arrays if len(a) > 2] or [np.zeros(0, np.int32)]).astype(np.int64) for i in range(3))
+    return packed(*(np.concatenate([a[i : len(a) - 2 + i] for a in arrays if len(a) > 2] or [np.zeros(0, np.int32)]) for i in range(3)))
+
+
+def packed(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different triples of three columns as three columns, and how often each occurs."""
+    w1, w2, w3 = (w.astype(np.int64) for w in (w1, w2, w3))
     least = min((int(a.min()) for a in (w1, w2, w3) if len(a)), default=0)
     if all(int(a.max()) - least < 1 << 21 for a in (w1, w2, w3) if len(a)):
         keys, n = np.unique(((w1 - least) << 42) + ((w2 - least) << 21) + w3 - least, return_counts=True)
@@ -178,8 +201,12 @@ def fit_lm(stream: DataFrame, size: int, weight: float = WEIGHT) -> NgramModel:
 
 
 def merged(model: NgramModel, more: DataFrame) -> NgramModel:
-    both = model.counts.unionByName(more).groupBy(*TRIGRAM).agg(F.sum("n").alias("n"))
-    return replace(model, counts=both)
+    """Counts added up; those of the model that ``more`` surely lacks stay where they are."""
+    more = stage(more, "more-counts")
+    key = F.xxhash64(*TRIGRAM)
+    maybe = among(more.select(key.alias("h")))
+    both = model.counts.filter(maybe(key)).unionByName(more).groupBy(*TRIGRAM).agg(F.sum("n").alias("n"))
+    return replace(model, counts=model.counts.filter(~maybe(key)).unionByName(both))
 
 
 def finetune_lm(model: NgramModel, examples: DataFrame, weight: float = 1.0) -> NgramModel:
@@ -199,14 +226,14 @@ def resize_vocab(model: NgramModel, size: int) -> NgramModel:
     return replace(model, size=size)
 
 
-def score_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
-    """``log_prob`` of each distinct triple.
+def met_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
+    """Each distinct triple with its counts ``c3, n2, c2, n1, c1`` in the model, null where there is none.
 
-    Count tables are first cut to the wanted keys, so a large model is filtered in place
-    when the wanted side is small enough to send around.
+    Count tables are first cut to the wanted keys where they are read, by a bitmap of hashes, so
+    that of a large model little more is shuffled than is asked for.
     """
     def only(table: DataFrame, keys: list[str]) -> DataFrame:
-        return table.join(wanted.select(*keys).distinct(), keys, "left_semi")
+        return table.filter(among(wanted.select(F.xxhash64(*keys).alias("h")))(F.xxhash64(*keys)))
 
     def by_token(found: DataFrame, table: DataFrame, key: str) -> DataFrame:
         """Small tables are sent around; beyond that a frequent token's rows are split."""
@@ -218,7 +245,13 @@ def score_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
         .join(only(model.pairs, ["w2", "w3"]), ["w2", "w3"], "left")
     )
     found = by_token(by_token(found, model.contexts, "w2"), model.tokens, "w3")
-    return found.select(*TRIGRAM, F.log(model.p3()).alias("log_prob"))
+    return found.select(*TRIGRAM, *MET)
+
+
+def score_triples(model: NgramModel, wanted: DataFrame) -> DataFrame:
+    """``log_prob`` of each distinct triple."""
+    model = model.summed()
+    return met_triples(model, wanted).select(*TRIGRAM, F.log(model.p3()).alias("log_prob"))
 
 
 def score(model: NgramModel, examples: DataFrame, keep: list[str]) -> DataFrame:
@@ -235,19 +268,65 @@ def score(model: NgramModel, examples: DataFrame, keep: list[str]) -> DataFrame:
     return scored.unionByName(ignored)
 
 
-def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str]) -> DataFrame:
-    """Mean loss per batch, NaN where every target is ignored.
+def _triple_counter(model: NgramModel):
+    """An Arrow function: inputs and targets of a row -> its different triples, and how often each occurs.
 
-    Repeated triples of a batch are counted before they are scored, so a hot triple joins
-    once per batch and not once per position.
+    Tokens that the model has not seen all have the same estimate there, and what precedes one
+    that it has not seen in front of another does not matter. They become one id below all others,
+    so that they are counted together. Ignored targets and null tokens are left out.
     """
-    positions = example_positions(examples, batch)
-    wanted = positions.filter(F.col("w3").isNotNull())
-    counted = wanted.groupBy(*batch, *TRIGRAM).agg(F.count(F.lit(1)).alias("_n"))
-    counted = stage(counted, "batch-triples")
+    known = None
+    if model.size <= BROADCAST_ROWS:
+        last, next_ = (np.array([r[0] for r in t.collect() if r[0] is not None], np.int64) for t in (model.contexts.select("w2"), model.tokens.select("w3")))
+        known = (last, next_, min([START, *last.tolist(), *next_.tolist()]) - 1)
+    shared = model.counts.sparkSession.sparkContext.broadcast(known)
+
+    def columns(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, ...]:
+        n = min(len(x), len(y))
+        x, y = x.slice(0, n), y.slice(0, n)
+        w2, w3 = (pc.fill_null(a, 0).to_numpy(zero_copy_only=False).astype(np.int64) for a in (x, y))
+        there = x.is_valid().to_numpy(zero_copy_only=False)
+        use = there & y.is_valid().to_numpy(zero_copy_only=False) & (w3 != IGNORED)
+        use[1:] &= there[:-1]
+        w1 = np.concatenate([[START], w2[:-1]])[: len(w2)]
+        w1, w2, w3 = w1[use], w2[use], w3[use]
+        if shared.value is not None:
+            last, next_, unseen = shared.value
+            met = np.isin(w2, last)
+            w1, w2, w3 = np.where(met, w1, unseen), np.where(met, w2, unseen), np.where(np.isin(w3, next_), w3, unseen)
+        return packed(w1, w2, w3)
+
+    def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        empty = np.zeros(0, np.int32)
+        for xs, ys in batches:
+            rows = [columns(x.values, y.values) if x.is_valid and y.is_valid else (empty,) * 4 for x, y in zip(xs, ys)]
+            ends = np.concatenate([[0], np.cumsum([len(r[3]) for r in rows])]).astype(np.int32)
+            parts = [pa.array(np.concatenate([empty, *c]), t) for c, t in zip(zip(*rows), (pa.int32(),) * 3 + (pa.int64(),))]
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(parts, [*TRIGRAM, "n"]))
+
+    return F.arrow_udf(count, "array<struct<w1:int,w2:int,w3:int,n:bigint>>")
+
+
+def met_batches(model: NgramModel, examples: DataFrame, batch: list[str]) -> DataFrame:
+    """The different triples of each batch, how often each occurs (``_n``), and its counts in the model, written.
+
+    Repeated triples of a batch are counted before they are joined, so a hot triple joins once
+    per batch and not once per position. No weight is used: models of one set of counts share it.
+    """
+    model = model.summed()
+    counter = _triple_counter(model)
+    counted = examples.select(*batch, F.inline(counter(ints(F.col("x")), ints(F.col("y")))))
+    counted = stage(counted.groupBy(*batch, *TRIGRAM).agg(F.sum("n").alias("_n")), "batch-triples")
     counts = stage(counted.groupBy(*TRIGRAM).agg(F.count(F.lit(1)).alias("n")), "triples")
-    scores = score_triples(model, counts.select(*TRIGRAM))
-    sums = split_join(counted, scores, TRIGRAM, "inner", counts).groupBy(*batch).agg(
+    met = met_triples(model, counts.select(*TRIGRAM))
+    return stage(split_join(counted, met, TRIGRAM, "inner", counts), "batch-counts")
+
+
+def batch_scores(model: NgramModel, examples: DataFrame, batch: list[str], met: DataFrame | None = None) -> DataFrame:
+    """Mean loss per batch, NaN where every target is ignored; ``met``: :func:`met_batches`, if at hand."""
+    model = model.summed()
+    met = met_batches(model, examples, batch) if met is None else met
+    sums = met.withColumn("log_prob", F.log(model.p3())).groupBy(*batch).agg(
         F.sum(F.col("_n") * F.col("log_prob")).alias("_sum"), F.sum("_n").alias("n_targets")
     )
     every = examples.select(*batch).distinct().join(sums, batch, "left")

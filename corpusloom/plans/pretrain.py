@@ -45,10 +45,17 @@ def split_sizes(tokens: DataFrame) -> DataFrame:
 
 
 def evaluate(
-    model: NgramModel, examples: DataFrame, max_batches: int = EVALUATION_BATCHES, cap: float = EVALUATION_CAP
+    model: NgramModel,
+    examples: DataFrame,
+    max_batches: int = EVALUATION_BATCHES,
+    cap: float = EVALUATION_CAP,
+    met: DataFrame | None = None,
 ) -> DataFrame:
-    """Loss and perplexity over batches: ``examples`` carry ``batch_id, x, y``."""
-    scored = batch_scores(model, first_batches(examples, max_batches), ["batch_id"])
+    """Loss and perplexity over batches: ``examples`` carry ``batch_id, x, y``.
+
+    ``met``: the examples' triples with their counts, shared by models that differ in weight.
+    """
+    scored = batch_scores(model, first_batches(examples, max_batches), ["batch_id"], met)
     return overall_loss(scored).withColumn("perplexity", perplexity(F.col("loss"), cap))
 
 

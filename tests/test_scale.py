@@ -11,6 +11,7 @@ from corpusloom.functions.text import pieces
 from corpusloom.operators import bpe, generate, language_model as lm, lookup, metrics, rowfile, tokenize, vocabulary
 from corpusloom.operators import stream as st
 from corpusloom.plans import tables as tb
+from test_model import Slow
 
 
 def plan_of(df):
@@ -105,6 +106,30 @@ def test_counting_explodes_edges_only(spark, monkeypatch):
         assert {tuple(r)[:3]: r["n"] for r in counts.collect()} == Counter(zip(ids, ids[1:], ids[2:]))
 
 
+def test_unseen_tokens_are_counted_together(spark):
+    """Triples that the model cannot tell apart are one row; estimates are those of the model token by token."""
+    stream = spark.createDataFrame([("train", 0, [1, 2, 3, 1, 2, 3])], "split string, chunk_id bigint, tokens array<int>")
+    model = lm.fit_lm(stream, 1000)
+    far = list(range(100, 400))
+    rows = spark.createDataFrame([(0, far[:-1], far[1:]), (1, [1, None, 2, 9], [2, 3, 1, 1, 5]), (2, None, [1])], "batch_id int, x array<int>, y array<int>")
+    met = lm.met_batches(model, rows, ["batch_id"])
+    assert [r["_n"] for r in met.filter("batch_id = 0").collect()] == [299]
+    got = {r["batch_id"]: (r["loss"], r["n_targets"]) for r in lm.batch_scores(model, rows, ["batch_id"]).collect()}
+    slow = Slow([1, 2, 3, 1, 2, 3], 1000)
+    assert got[0] == (pytest.approx(-np.log(slow.prob(-1, 100, 101))), 299)
+    assert got[1] == (pytest.approx(-np.log([slow.prob(-1, 1, 2), slow.prob(2, 9, 1)]).mean()), 2)
+    assert np.isnan(got[2][0]) and got[2][1] == 0
+
+
+def test_merging_moves_what_both_hold(spark):
+    stream = spark.createDataFrame([("train", 0, list(range(60)))], "split string, chunk_id bigint, tokens array<int>")
+    model = lm.fit_lm(stream, 100).counted()
+    grown = lm.merged(model, spark.createDataFrame([(0, 1, 2, 5.0), (7, 7, 7, 1.0)], "w1 int, w2 int, w3 int, n double"))
+    assert plan_of(grown.counts).count("FileScan parquet") == 3 and "Union" in plan_of(grown.counts)
+    rows = {tuple(r)[:3]: r["n"] for r in grown.counts.collect()}
+    assert rows == {(-1, -1, 0): 1.0, (-1, 0, 1): 1.0, (7, 7, 7): 1.0} | {(i, i + 1, i + 2): 6.0 if i == 0 else 1.0 for i in range(58)}
+
+
 @pytest.mark.parametrize("rule", [generate.nucleus_chooser(0.7, 12, 0.9), generate.sample_chooser(0.8, 4)])
 def test_a_model_in_files_draws_what_the_joins_draw(spark, monkeypatch, rule):
     """Beyond the bound of the arrays there is still one pass, not a job a token."""
