@@ -10,6 +10,9 @@ All but the last return the columns of ``documents``.
 4. contamination: documents that share ten words in a row with ``benchmark`` go.
 5. mixing: what is left is mixed by source weights; ``copies`` says how often a row is taken.
 
+The stages run in one session, on executors that keep what they once took, so the batches of
+texts that go to Python are bounded for all of them.
+
 Null texts are empty documents and pass all filters; the mix takes no copy of them.
 """
 
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import contamination, jaccard, mixing, repeats, toxicity
 from corpusloom.llm.language import fold_of
-from corpusloom.session import stage
+from corpusloom.session import bound_batches, stage
 
 
 #: Fifty words of the shortest kind that texts here are made of; a shorter passage is a phrase.
@@ -28,20 +31,24 @@ PASSAGE = 250
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(docs, labels.filter(fold_of(F.col("doc_id"), 5) != 0))
     return toxicity.kept(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return jaccard.one_per_class(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return repeats.without_repeats(docs, length=PASSAGE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return contamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -1,12 +1,15 @@
 """The pipeline, stage by stage, against brute force over whole tables."""
 
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from helpers import contamination, jaccard_classes, kept_bytes, mixed
 from pyspark.sql import functions as F
 
-from corpusloom.llm import toxicity
+from corpusloom.llm import contamination as decontamination
+from corpusloom.llm import jaccard, repeats, toxicity
 from corpusloom.llm.language import fold_of
-from corpusloom.session import stage
+from corpusloom.session import BATCH_BYTES, bound_batches, stage
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -58,3 +61,43 @@ def test_run_is_the_stages_one_after_the_other(spark):
     again = corpus_pipeline.run(spark, FOLDER)
     assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "copies"]
+
+
+@pytest.fixture
+def batch_limit(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    yield name
+    spark.conf.unset(name)
+
+
+@pytest.mark.parametrize(
+    ("stage_name", "module", "operator"),
+    [
+        ("toxicity", toxicity, "kept"),
+        ("near_duplicates", jaccard, "one_per_class"),
+        ("repeats", repeats, "without_repeats"),
+        ("contamination", decontamination, "decontaminated"),
+    ],
+)
+def test_stages_bound_the_batches_of_their_texts(spark, monkeypatch, batch_limit, stage_name, module, operator):
+    """20 MB of texts in one partition come in batches of BATCH_BYTES and at most a text more, all of them."""
+    size, n = 100_000, 200
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([len(batch)])], ["bytes", "rows"])
+
+    docs = spark.range(0, n, 1, 1).select(F.col("id").alias("doc_id"), F.expr(f"repeat('a', {size})").alias("text"))
+    monkeypatch.setattr(module, operator, lambda docs, *args, **options: docs.mapInArrow(sizes, "bytes bigint, rows bigint"))
+    monkeypatch.setattr(toxicity, "learn", lambda *args: None)
+    found = dict(corpus_pipeline.STAGES)[stage_name](spark, docs, FOLDER).collect()
+    assert sum(r["rows"] for r in found) == n
+    assert max(r["bytes"] for r in found) <= BATCH_BYTES + 2 * size
+
+
+@pytest.mark.parametrize(("before", "after"), [("1m", "1m"), ("4194304", "4194304"), ("64mb", str(BATCH_BYTES))])
+def test_a_lower_limit_of_the_session_stays(spark, batch_limit, before, after):
+    spark.conf.set(batch_limit, before)
+    bound_batches(spark)
+    assert spark.conf.get(batch_limit) == after
